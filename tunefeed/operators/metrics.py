@@ -19,6 +19,9 @@ UPLOAD_EVERY = 100
 # Fixed value: prefix of evaluation metrics.
 EVAL_PREFIX = "eval_"
 
+# Variant types that are numbers to Python; one test, so one look at the type.
+_NUMERIC = r"^(BIGINT|DOUBLE|FLOAT|BOOLEAN|DECIMAL\(\d+,\d+\))$"
+
 _STRICT_JSON = {"allowSingleQuotes": "false"}
 
 
@@ -42,8 +45,7 @@ def explode_metrics(
     # explode_outer, because explode would have the optimizer parse each record
     # a second time to test that the map is not empty.
     entries = df.select(*keep, F.explode_outer(parse_logs(F.col(logs))).alias("key", "entry"))
-    kind = F.schema_of_variant("entry")
-    numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | kind.startswith("DECIMAL")
+    numeric = F.schema_of_variant("entry").rlike(_NUMERIC)
     return entries.filter(F.col("key").isNotNull() & numeric).select(
         *keep, "key", F.try_variant_get("entry", "$", "double").alias("value")
     )

@@ -7,9 +7,11 @@ table with one row per bucket, so each window sees one bucket only.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,17 +35,36 @@ def number_rows(
     """Add the dense 0-based position of each row in key order (NULLs last).
 
     The keys together are unique; they are integers, dates or timestamps. The
-    data is shuffled once, by bucket. With ``keep_below`` only positions under
-    it are kept, and buckets that lie wholly beyond it are dropped before the
-    shuffle.
+    bucket sizes come from a first pass over the key columns; then the data is
+    shuffled once, by bucket. With ``keep_below`` only positions under it are
+    kept: buckets beyond it are dropped before the shuffle, and a bound on the
+    leading key goes to the scan.
     """
     bucketed = _range_buckets(df, keys, rows_per_bucket)
-    sizes = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"))
-    # At most MAX_BUCKETS rows: fit for one window task and for a broadcast.
-    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_BUCKET, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_OFFSET))
+    sizes = (
+        bucketed.groupBy(_BUCKET)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count(keys[0]).alias("n_keyed"),
+            F.max(keys[0]).cast("string").alias("top"),
+        )
+        .orderBy(_BUCKET)
+        .collect()  # at most MAX_BUCKETS rows
+    )
+    starts = list(itertools.accumulate((r["n"] for r in sizes), initial=0))[:-1]
     if keep_below is not None:
-        offsets = offsets.filter(F.col(_OFFSET) < keep_below)
+        needed = sum(start < keep_below for start in starts)
+        bounded = _below_bound(bucketed, keys[0], sizes[:needed]) if needed < len(sizes) else None
+        bucketed = bucketed if bounded is None else bounded
+        sizes, starts = sizes[:needed], starts[:needed]
+    offsets = df.sparkSession.createDataFrame(
+        pa.table(
+            {
+                _BUCKET: pa.array([r[_BUCKET] for r in sizes], pa.int32()),
+                _OFFSET: pa.array(starts, pa.int64()),
+            }
+        )
+    )
     in_bucket = Window.partitionBy(_BUCKET).orderBy(*_ascending(keys))
     numbered = bucketed.join(F.broadcast(offsets), _BUCKET).withColumn(
         out, F.col(_OFFSET) + F.row_number().over(in_bucket) - 1
@@ -53,6 +74,15 @@ def number_rows(
     return numbered.drop(_BUCKET, _OFFSET)
 
 
+def _below_bound(bucketed: DataFrame, key: str, sizes: list) -> DataFrame | None:
+    """Filter on the largest leading key of the buckets, when that is safe."""
+    kind = bucketed.schema[key].dataType
+    if isinstance(kind, T.TimestampType) or any(r["n"] != r["n_keyed"] for r in sizes):
+        return None
+    # Buckets rise with the keys: the last one holds the largest leading key.
+    return bucketed.filter(F.col(key) <= F.lit(sizes[-1]["top"]).cast(kind))
+
+
 def number_within(
     df: DataFrame,
     group: list[str],

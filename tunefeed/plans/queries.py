@@ -40,7 +40,9 @@ MAX_LENGTH = 2048
 
 
 def _turn_rows(df: DataFrame, messages: Column) -> DataFrame:
-    turns = df.select("conv_id", F.posexplode(messages).alias("pos", "m"))
+    # A message list is never empty. The outer form keeps the optimizer from
+    # computing each list once more to test that.
+    turns = df.select("conv_id", F.posexplode_outer(messages).alias("pos", "m"))
     return turns.select("conv_id", F.col("pos").cast("bigint").alias("pos"), "m.role", "m.content")
 
 
@@ -219,7 +221,10 @@ def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = batching.pack_sequences(_planned_documents(spark, sf_dir), MAX_LENGTH)
+    # Packing reads its input twice; written out, texts are tokenized once.
+    path = shared_path(spark, "token_counts")
+    _planned_documents(spark, sf_dir).write.parquet(path)
+    packed = batching.pack_sequences(spark.read.parquet(path), MAX_LENGTH)
     return packed.select("doc_id", "rank", "block", "block_pos", "token_from", "piece_tokens")
 
 

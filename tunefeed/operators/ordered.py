@@ -238,16 +238,15 @@ def _score(numbers: list[Column], lows: list, highs: list) -> Column:
         used += 1
     small = size < 2**62 and all(abs(v or 0) < 2**61 for v in [*lows, *highs])
     exact = "bigint" if small else "decimal(38,0)"
-    digits = []
+
+    def number(value: int) -> Column:
+        return F.lit(str(value)).cast(exact)
+
+    score = number(0)
     for c, lo, hi, span in zip(numbers[:used], lows, highs, spans):
-        if lo is None:
-            digits.append((F.lit(0).cast(exact), span))
-            continue
-        shifted = c.cast(exact) - F.lit(lo).cast(exact)
-        digits.append((F.coalesce(shifted.cast(exact), F.lit(hi - lo + 1).cast(exact)), span))
-    score = digits[0][0]
-    for digit, span in digits[1:]:
-        score = (score * F.lit(span).cast(exact) + digit).cast(exact)
+        if lo is not None:
+            digit = F.coalesce((c.cast(exact) - number(lo)).cast(exact), number(hi - lo + 1))
+            score = (score * number(span) + digit).cast(exact)
     return score.cast("double")
 
 

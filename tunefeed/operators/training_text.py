@@ -9,6 +9,7 @@ from tunefeed.functions.chat import DEFAULT_TEMPLATE, ChatTemplate, render_chat,
 from tunefeed.functions.messages import (
     CONVERSATION_COLUMN,
     MESSAGES,
+    SYSTEM_CONTENT,
     ensure_system_turn,
     example_columns,
     is_conversation,
@@ -64,7 +65,46 @@ def turns_to_conversations(
     content: str = "text",
     gather_turns: int = GATHER_TURNS,
 ) -> DataFrame:
-    """One row per conversation out of a table with one row per turn.
+    """One row per conversation out of a table with one row per turn."""
+    fields = {"role": F.col(role), "content": F.col(content)}
+    gathered = _gather_turns(turns, key, order, fields, gather_turns)
+    conv = F.arrays_zip(
+        F.col("turns")["role"].alias("role"), F.col("turns")["content"].alias("content")
+    )
+    return gathered.select(key, conv.cast(MESSAGES).alias(CONVERSATION_COLUMN))
+
+
+def turns_to_text(
+    turns: DataFrame,
+    template: ChatTemplate = DEFAULT_TEMPLATE,
+    key: str = "conv_id",
+    order: str = "turn",
+    role: str = "role",
+    content: str = "text",
+    gather_turns: int = GATHER_TURNS,
+) -> DataFrame:
+    """Equal to ``project_text(turns_to_conversations(...), keep=(key,))``.
+
+    Each turn is rendered where it is read, in compiled code; what is gathered
+    are strings to join.
+    """
+    fields = {
+        "is_system": F.col(role).eqNullSafe("system"),
+        "piece": template.turn(F.col(role), F.col(content)),
+    }
+    gathered = _gather_turns(turns, key, order, fields, gather_turns)
+    pieces = F.col("turns")["piece"]
+    opening = F.array(template.turn(F.lit("system"), F.lit(SYSTEM_CONTENT)))
+    complete = F.when(F.get("turns", F.lit(0))["is_system"], pieces).otherwise(
+        F.concat(opening, pieces)
+    )
+    return gathered.select(key, F.array_join(complete, template.turn_separator).alias("text"))
+
+
+def _gather_turns(
+    turns: DataFrame, key: str, order: str, fields: dict[str, Column], gather_turns: int
+) -> DataFrame:
+    """``key`` and ``turns``, the array of (``order``, fields) in order.
 
     ``(key, order)`` is unique and ``order`` counts from 0. The largest value
     of ``order`` (a scan of one narrow column) bounds every group: below
@@ -73,17 +113,12 @@ def turns_to_conversations(
     only sorted parts meet. A conversation is one training row, so a row's size
     limits it in the end; nothing is cut.
     """
-    item = F.struct(F.col(order), F.col(role).alias("role"), F.col(content).alias("content"))
-    gathered = F.sort_array(F.collect_list(item)).alias("turns")
+    item = F.struct(F.col(order), *[c.alias(name) for name, c in fields.items()])
+    sorted_turns = F.sort_array(F.collect_list(item)).alias("turns")
     last = turns.agg(F.max(order)).first()[0]
     if last is None or last < gather_turns:
-        packed = turns.groupBy(key).agg(gathered)
-    else:
-        part = F.floor(F.col(order) / gather_turns).alias("part")
-        parts = turns.groupBy(F.col(key), part).agg(gathered)
-        in_order = F.sort_array(F.collect_list(F.struct("part", "turns")))
-        packed = parts.groupBy(key).agg(F.flatten(in_order["turns"]).alias("turns"))
-    fields = F.arrays_zip(
-        F.col("turns")["role"].alias("role"), F.col("turns")["content"].alias("content")
-    )
-    return packed.select(key, fields.cast(MESSAGES).alias(CONVERSATION_COLUMN))
+        return turns.groupBy(key).agg(sorted_turns)
+    part = F.call_function("div", F.col(order), F.lit(gather_turns)).alias("part")
+    parts = turns.groupBy(F.col(key), part).agg(sorted_turns)
+    in_order = F.sort_array(F.collect_list(F.struct("part", "turns")))
+    return parts.groupBy(key).agg(F.flatten(in_order["turns"]).alias("turns"))

@@ -20,7 +20,12 @@ from tunefeed.operators import batching, metrics, registry
 from tunefeed.operators.batching import BatchPlan
 from tunefeed.operators.inference import generate_batch, prompt_messages, render_prompts
 from tunefeed.operators.ordered import number_rows as number
-from tunefeed.operators.training_text import append_text, project_text, with_messages
+from tunefeed.operators.training_text import (
+    append_text,
+    project_text,
+    turns_to_text,
+    with_messages,
+)
 from tunefeed.plans.views import (
     conversation_rows,
     damaged_log_rows,
@@ -157,7 +162,7 @@ def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sft_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the training text of every conversation."""
-    return project_text(conversation_rows(spark, sf_dir), keep=("conv_id",))
+    return turns_to_text(table(spark, sf_dir, "conversations"))
 
 
 def sft_text_keep(spark: SparkSession, sf_dir: str) -> DataFrame:

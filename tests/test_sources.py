@@ -1,0 +1,107 @@
+import hashlib
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tunefeed.session import shared_path
+from tunefeed.sources.artifacts import artifact_manifest
+from tunefeed.sources.datasets import load_split, read_jsonl, resolve_source, write_jsonl
+
+
+def triples(spark):
+    rows = [(" 日本 ", None, "é\n\"x\""), (None, "", None), ("a b", "\t", "\\")]
+    return spark.createDataFrame(rows, "instruction string, input string, output string")
+
+
+def test_jsonl_round_trip(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = triples(spark)
+    write_jsonl(df, path)
+    write_jsonl(df, path)  # overwrites
+    assert read_jsonl(spark, path, df.schema).exceptAll(df).count() == 0
+    assert read_jsonl(spark, path).count() == 3
+    lines = [l for f in (tmp_path / "out").glob("part-*") for l in f.read_text("utf-8").split("\n") if l]
+    assert len(lines) == 3 and all(set(json.loads(l)) == {"instruction", "input", "output"} for l in lines)
+    assert any("日本" in l for l in lines) and not any("\\u65e5" in l for l in lines)
+
+
+def test_python_writes_spark_reads(spark, tmp_path):
+    rows = [
+        {"instruction": "i", "input": None, "output": "o"},
+        {"conversations": [{"content": "c", "role": "user", "x": 1}]},
+        {"instruction": "だ"},
+    ]
+    path = tmp_path / "a.jsonl"
+    path.write_text("".join(json.dumps(r, ensure_ascii=False) + "\n" for r in rows), "utf-8")
+    got = read_jsonl(spark, str(path)).collect()
+    assert got[0]["input"] is None and got[2]["instruction"] == "だ"
+    assert [tuple(t) for t in got[1]["conversations"]] == [("user", "c")]
+
+
+def test_broken_line_stops_the_job(spark, tmp_path):
+    path = tmp_path / "bad.jsonl"
+    path.write_text('{"instruction": "a"}\n{"instruction":\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_jsonl(spark, str(path)).collect()
+
+
+def test_jsonl_wins_over_dataset_and_split_is_pruned(spark, tmp_path):
+    base, jsonl = str(tmp_path / "sets"), str(tmp_path / "j")
+    df = triples(spark)
+    df.withColumn("split", F.when(F.col("input") == "", "test").otherwise("train")).write.partitionBy(
+        "split"
+    ).parquet(f"{base}/d")
+    assert resolve_source(spark, base, "d").count() == 2
+    assert resolve_source(spark, base, "d", split=None).count() == 3
+    write_jsonl(df.limit(1), jsonl)
+    assert resolve_source(spark, base, "d", jsonl_path=jsonl).count() == 1
+    plan = load_split(spark, base, "d", "test")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+    assert load_split(spark, base, "d", "test").columns == df.columns
+
+
+@pytest.mark.parametrize("folder", ["run", "a b/run"])
+def test_artifact_manifest(spark, tmp_path, folder):
+    root = tmp_path / folder
+    nested = root / "run" / "deep"
+    nested.mkdir(parents=True)
+    (root / "model.bin").write_bytes(b"abc")
+    (root / "config.json").write_bytes(b"{}")
+    (nested / "part.bin").write_bytes(b"12345")
+    (root / "run" / "inner.txt").write_bytes(b"1")
+
+    def names(df):
+        return sorted(r["path"].rsplit("/", 1)[1] for r in df.collect())
+
+    assert names(artifact_manifest(spark, str(root), recursive=False)) == ["config.json", "model.bin"]
+    whole = artifact_manifest(spark, str(root), with_hash=True)
+    assert names(whole) == ["config.json", "inner.txt", "model.bin", "part.bin"]
+    rows = {r["path"].rsplit("/", 1)[1]: r for r in whole.collect()}
+    assert rows["part.bin"]["length"] == 5
+    assert rows["model.bin"]["sha256"] == hashlib.sha256(b"abc").hexdigest()
+
+
+def test_large_files_are_listed_without_a_hash(spark, tmp_path, monkeypatch):
+    from tunefeed.sources import artifacts
+
+    monkeypatch.setattr(artifacts, "MAX_HASHED_BYTES", 4)
+    (tmp_path / "s").write_bytes(b"1234")
+    (tmp_path / "l").write_bytes(b"12345")
+    rows = {r["length"]: r["sha256"] for r in artifact_manifest(spark, str(tmp_path), with_hash=True).collect()}
+    assert rows[5] is None and rows[4] == hashlib.sha256(b"1234").hexdigest()
+
+
+def test_listing_does_not_read_contents(spark, tmp_path):
+    (tmp_path / "f").write_bytes(b"x")
+    plan = artifact_manifest(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
+def test_shared_path_is_under_the_sessions_folder(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    a, b = shared_path(spark, "x"), shared_path(spark, "x")
+    assert a != b
+    assert a.startswith(spark.conf.get("spark.checkpoint.dir"))
+    if before:
+        assert spark.conf.get("spark.checkpoint.dir") == before

@@ -323,17 +323,17 @@ def run_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- inference
 
 
-def first_words_model():
-    """Stands in for a model: it repeats the first words of the last turn."""
-
-    def generate(prompts: list[str], max_new_tokens: int) -> list[str]:
-        last = [p.rsplit("<|user|>", 1)[1].split("<|end|>", 1)[0] for p in prompts]
-        return [" ".join(t.split()[:max_new_tokens]) for t in last]
+def generate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model repeats the first words of the last turn. It is defined in
+    here, so it travels to the workers by value."""
 
-    return generate
+    def first_words_model():
+        def generate(prompts: list[str], max_new_tokens: int) -> list[str]:
+            last = [p.rsplit("<|user|>", 1)[1].split("<|end|>", 1)[0] for p in prompts]
+            return [" ".join(t.split()[:max_new_tokens]) for t in last]
 
+        return generate
 
-def generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompts = _prompts(spark, sf_dir)
     return generate_batch(prompts, first_words_model, max_new_tokens=20, keep=("item_id",))
 

@@ -21,6 +21,8 @@ ROWS_PER_BUCKET = 1_000_000
 # Bounds what the driver and a broadcast hold: one number or row per bucket.
 MAX_BUCKETS = 100_000
 _SAMPLE_PER_BUCKET = 20
+# Fewer digits than this are not worth a key's place in the bucket number.
+_LEAST_DIGITS = 2**16
 _BUCKET = "__bucket"
 _OFFSET = "__offset"
 
@@ -228,25 +230,41 @@ def _key_number(df: DataFrame, key: str) -> Column:
 def _score(numbers: list[Column], lows: list, highs: list) -> Column:
     """Keys as digits of one number: it sorts as the keys do, NULLs last.
 
-    Exact in BIGINT or DECIMAL, then rounded to DOUBLE, which keeps the order.
-    Trailing keys that no longer fit are left out; then they only tie.
+    The number is a BIGINT; if the keys are too wide for that the last digit is
+    made coarser, so that close values tie, which only moves bucket borders.
+    Where hardly any digit would be left for a second key, it is a DECIMAL.
     """
-    spans = [(hi - lo + 2) if lo is not None else 1 for lo, hi in zip(lows, highs)]
-    used, size = 0, 1
-    while used < len(spans) and size * spans[used] < 10**37:
-        size *= spans[used]
-        used += 1
-    small = size < 2**62 and all(abs(v or 0) < 2**61 for v in [*lows, *highs])
-    exact = "bigint" if small else "decimal(38,0)"
+    ranges = [(c, lo, hi) for c, lo, hi in zip(numbers, lows, highs) if lo is not None]
+    narrow = _digits(ranges, 2**62)
+    if len(narrow) > 1 or len(ranges) < 2:
+        return _combine(narrow, "bigint")
+    return _combine(_digits(ranges, 10**37), "decimal(38,0)")
 
+
+def _digits(ranges: list[tuple[Column, int, int]], room: int) -> list[tuple]:
+    """(key, unit, lowest digit, number of digits) per key, as far as room goes."""
+    digits = []
+    for key, lo, hi in ranges:
+        if digits and room < _LEAST_DIGITS:
+            break
+        unit = -(-(hi - lo + 2) // (room - 3))
+        low, high = (abs(v) // unit * (-1 if v < 0 else 1) for v in (lo, hi))
+        digits.append((key, unit, low, high - low + 2))
+        if unit > 1:
+            break  # keys that tie here must not be told apart by the next key
+        room //= high - low + 2
+    return digits
+
+
+def _combine(digits: list[tuple], exact: str) -> Column:
     def number(value: int) -> Column:
         return F.lit(str(value)).cast(exact)
 
     score = number(0)
-    for c, lo, hi, span in zip(numbers[:used], lows, highs, spans):
-        if lo is not None:
-            digit = F.coalesce((c.cast(exact) - number(lo)).cast(exact), number(hi - lo + 1))
-            score = (score * number(span) + digit).cast(exact)
+    for key, unit, low, count in digits:
+        scaled = key if unit == 1 else F.call_function("div", key, F.lit(unit).cast("bigint"))
+        digit = F.coalesce(scaled.cast(exact) - number(low), number(count - 1))
+        score = (score * number(count) + digit).cast(exact)
     return score.cast("double")
 
 

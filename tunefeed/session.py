@@ -17,6 +17,8 @@ def local_session(cpus: int | str = "*", app: str = "tunefeed") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Small test data: keep all cores busy after a shuffle.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

@@ -117,10 +117,14 @@ def test_cap_tokens_takes_the_callers_tokenizer(spark):
     ]
 
 
-def test_feed_has_one_directory_per_rank(spark, tmp_path):
+@pytest.mark.parametrize("shuffle", [True, False])
+def test_feed_has_one_directory_per_rank(spark, tmp_path, shuffle):
     path = str(tmp_path / "feed")
     plan = BatchPlan(3, 1, 2)
-    write_training_feed(planned(spark, 200, plan), path, plan.world_size, rows_per_shard=20)
+    write_training_feed(planned(spark, 200, plan), path, plan.world_size, 20, shuffle)
+    for part in (tmp_path / "feed").glob("rank=*/part-*"):
+        positions = [r["p"] for r in spark.read.parquet(str(part)).collect()]
+        assert positions == sorted(positions)
     assert sorted(d.name for d in (tmp_path / "feed").glob("rank=*")) == [f"rank={r}" for r in range(3)]
     assert read_training_feed(spark, path).count() == 200
     one = read_training_feed(spark, path, rank=1)

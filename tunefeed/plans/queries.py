@@ -77,9 +77,8 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "feed")
     planned = batching.plan_batches(mixed_rows(spark, sf_dir), ["conv_id"], PLAN)
-    feed.write_training_feed(
-        project_text(planned, keep=("conv_id", "p", "rank", "step", "micro")), path, PLAN.world_size
-    )
+    rows = project_text(planned, keep=("conv_id", "p", "rank", "step", "micro"))
+    feed.write_training_feed(rows, path, PLAN.world_size, shuffle=False)
     return (
         feed.read_training_feed(spark, path)
         .groupBy("rank")

@@ -9,25 +9,23 @@ ROWS_PER_SHARD = 500_000
 
 
 def write_training_feed(
-    df: DataFrame, path: str, world_size: int, rows_per_shard: int = ROWS_PER_SHARD
+    df: DataFrame,
+    path: str,
+    world_size: int,
+    rows_per_shard: int = ROWS_PER_SHARD,
+    shuffle: bool = True,
 ) -> None:
     """Write rows with ``p`` (dense position) and ``rank`` as parquet.
 
     A rank is written by many tasks: shards are runs of ``rows_per_shard`` rows
     of one rank, equal in size as positions are dense. Rows in a file are in
-    order of ``p``.
+    order of ``p``. With few ranks ``shuffle=False`` saves a shuffle: tasks keep
+    the rows they have, and each writes one file per rank.
     """
     in_rank = F.call_function("div", F.col("p"), F.lit(world_size))
     shard = F.call_function("div", in_rank, F.lit(rows_per_shard))
-    (
-        df.withColumn("__shard", shard)
-        .repartition("rank", "__shard")
-        .sortWithinPartitions("rank", "__shard", "p")
-        .drop("__shard")
-        .write.mode("overwrite")
-        .partitionBy("rank")
-        .parquet(path)
-    )
+    rows = df.repartition("rank", shard) if shuffle else df
+    rows.sortWithinPartitions("rank", "p").write.mode("overwrite").partitionBy("rank").parquet(path)
 
 
 def read_training_feed(spark: SparkSession, path: str, rank: int | None = None) -> DataFrame:

@@ -27,6 +27,11 @@ class BatchPlan:
     accumulation: int = 8
     max_steps: int = -1
 
+    @classmethod
+    def on_nodes(cls, nodes: int, gpus_per_node: int, **settings: int) -> BatchPlan:
+        """One rank per GPU."""
+        return cls(world_size=nodes * gpus_per_node, **settings)
+
     @property
     def rows_per_step(self) -> int:
         return self.world_size * self.per_device_batch * self.accumulation

@@ -165,7 +165,8 @@ def _split_large_groups(
     if biggest is None or biggest <= max_group_rows:
         return None
     limit = max(max_group_rows, rows // MAX_BUCKETS)
-    hot = counts.filter(F.col("n") > limit).select(*group, F.lit(True).alias("__hot"))
+    found = counts.filter(F.col("n") > limit).select(*group).toArrow()
+    hot = df.sparkSession.createDataFrame(found).withColumn("__hot", F.lit(True))
     bucketed = _range_buckets(df, order, limit)
     return (
         bucketed.join(F.broadcast(hot), group, "left")
@@ -197,22 +198,35 @@ def _range_buckets(df: DataFrame, keys: list[str], rows_per_bucket: int) -> Data
         return df.withColumn(_BUCKET, F.lit(0))
     shuffle_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = min(MAX_BUCKETS, max(shuffle_tasks, math.ceil(rows / rows_per_bucket)))
-    scored = df.withColumn("__score", _score(list(numbers.values()), lows, highs))
-    wanted = _SAMPLE_PER_BUCKET * n
-    keys_only = scored.select("__score")
-    if rows > wanted:
-        keys_only = keys_only.sample(wanted / rows, seed=7)
-    sample = keys_only.toArrow().column(0).to_numpy()
-    cuts = np.unique(np.quantile(sample, np.arange(1, n) / n)) if len(sample) else np.array([])
-    splits = [-math.inf, *cuts.tolist(), math.inf]
-    if len(splits) < 3:
-        splits.insert(1, 0.0)
+    ranges = [(c, lo, hi) for c, lo, hi in zip(numbers.values(), lows, highs) if lo is not None]
+    digits, kind = _digits(ranges, 2**62), "bigint"
+    cuts = _cuts(df, _combine(digits, kind), rows, n)
+    if len(cuts) < n - 1 and len(digits) < len(ranges):
+        # Some value is so common that it needs the keys left out so far.
+        digits, kind = _digits(ranges, 10**37), "decimal(38,0)"
+        cuts = _cuts(df, _combine(digits, kind), rows, n)
+    splits = [-math.inf, *(cuts or [0.0]), math.inf]
     bucketizer = Bucketizer(splits=splits, inputCol="__score", outputCol=_BUCKET)
-    return bucketizer.transform(scored).withColumn(_BUCKET, F.col(_BUCKET).cast("int")).drop(
-        "__score"
+    scored = df.withColumn("__score", _combine(digits, kind))
+    return (
+        bucketizer.transform(scored)
+        .withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
+        .drop("__score")
     )
 
 
+def _cuts(df: DataFrame, score: Column, rows: int, n: int) -> list[float]:
+    """Up to n - 1 distinct values that part the rows about evenly."""
+    scores = df.select(score.alias("score"))
+    wanted = _SAMPLE_PER_BUCKET * n
+    if rows > wanted:
+        scores = scores.sample(wanted / rows, seed=7)
+    sample = scores.toArrow().column(0).to_numpy()  # about ``wanted`` numbers
+    if not len(sample):
+        return []
+    return np.unique(np.quantile(sample, np.arange(1, n) / n)).tolist()
+
+
 def _key_number(df: DataFrame, key: str) -> Column:
     kind = df.schema[key].dataType
     if isinstance(kind, T.IntegralType):
@@ -227,22 +241,13 @@ def _key_number(df: DataFrame, key: str) -> Column:
     raise TypeError(f"order by integers, dates or timestamps, not {kind.simpleString()} ({key})")
 
 
-def _score(numbers: list[Column], lows: list, highs: list) -> Column:
-    """Keys as digits of one number: it sorts as the keys do, NULLs last.
+def _digits(ranges: list[tuple[Column, int, int]], room: int) -> list[tuple]:
+    """(key, unit, lowest digit, number of digits) per key, as far as room goes.
 
-    The number is a BIGINT; if the keys are too wide for that the last digit is
-    made coarser, so that close values tie, which only moves bucket borders.
-    Where hardly any digit would be left for a second key, it is a DECIMAL.
+    The keys become digits of one number that sorts as they do, NULLs last. A
+    key too wide for the room left is divided by a unit: close values then tie,
+    which only moves bucket borders, and no further key is used.
     """
-    ranges = [(c, lo, hi) for c, lo, hi in zip(numbers, lows, highs) if lo is not None]
-    narrow = _digits(ranges, 2**62)
-    if len(narrow) > 1 or len(ranges) < 2:
-        return _combine(narrow, "bigint")
-    return _combine(_digits(ranges, 10**37), "decimal(38,0)")
-
-
-def _digits(ranges: list[tuple[Column, int, int]], room: int) -> list[tuple]:
-    """(key, unit, lowest digit, number of digits) per key, as far as room goes."""
     digits = []
     for key, lo, hi in ranges:
         if digits and room < _LEAST_DIGITS:
@@ -257,6 +262,8 @@ def _digits(ranges: list[tuple[Column, int, int]], room: int) -> list[tuple]:
 
 
 def _combine(digits: list[tuple], exact: str) -> Column:
+    """The number, exact in BIGINT or DECIMAL; as DOUBLE it keeps the order."""
+
     def number(value: int) -> Column:
         return F.lit(str(value)).cast(exact)
 

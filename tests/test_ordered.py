@@ -115,3 +115,30 @@ def test_previous_keeps_null_values(spark):
     for limit in (20, 10**6):
         looked = previous_within(df, ["g"], ["i"], "v", "before", max_group_rows=limit)
         assert {r["i"]: r["before"] for r in looked.collect()} == expected
+
+
+def test_rows_without_an_order_value_come_last(spark):
+    rows = [(1, i, i * 2) for i in range(200)] + [(1, None, -1)]
+    df = spark.createDataFrame(rows, "g long, i long, v long").repartition(3)
+    for limit in (20, 10**6):
+        numbered = number_within(df, ["g"], ["i"], "nth", max_group_rows=limit)
+        assert numbered.filter("i IS NULL").first()["nth"] == 201
+        looked = previous_within(df, ["g"], ["i"], "v", "before", max_group_rows=limit)
+        assert looked.filter("i IS NULL").first()["before"] == 398
+
+
+@pytest.mark.parametrize("hot", [5, 2**62 + 1, -(2**63), 2**63 - 1])
+def test_a_hot_value_in_a_wide_leading_key_is_split(spark, hot):
+    """The second key is needed, though the first takes nearly 64 bits."""
+    rng = random.Random(12)
+    near = [min(max(hot + d, -(2**63)), 2**63 - 1) for d in range(-3, 4)]
+    rows = [
+        (hot if i % 3 == 0 else near[i % 7] if i % 50 == 1 else rng.randrange(-(2**63), 2**63), i)
+        for i in range(3000)
+    ] + [(None, i) for i in range(3000, 3010)]
+    df = spark.createDataFrame(rows, "a long, b long").repartition(4)
+    sizes = ordered._range_buckets(df, ["a", "b"], 100).groupBy("__bucket").count()
+    assert sizes.agg(F.max("count")).first()[0] < 400
+    got = check_numbering(number_rows(df, ["a", "b"], rows_per_bucket=100), ["a", "b"])
+    assert len(got) == 3010
+    assert number_rows(df, ["a", "b"], rows_per_bucket=100, keep_below=1234).count() == 1234

@@ -12,7 +12,7 @@ from tunefeed.plans.queries import QUERIES
 from tunefeed.plans.views import log_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-WITH_PYTHON = {"generate_batch"}
+WITH_PYTHON = {"generate_batch", "artifact_manifest"}
 
 
 def physical(df):

@@ -31,8 +31,7 @@ def test_experiments_are_created_once(spark, tmp_path):
     spark.createDataFrame([("a",)], "name string").write.parquet(path)
     asked = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "name string")
     assert sorted(r[0] for r in missing_experiments(asked, spark.read.parquet(path)).collect()) == ["b", "c"]
-    get_or_create_experiments(asked, spark.read.parquet(path), path)
-    again = spark.read.parquet(path)
+    again = get_or_create_experiments(asked, spark.read.parquet(path), path)
     assert sorted(r[0] for r in again.collect()) == ["a", "b", "c"]
     assert missing_experiments(asked, again).count() == 0
 

@@ -82,14 +82,18 @@ def test_artifact_manifest(spark, tmp_path, folder):
     assert rows["model.bin"]["sha256"] == hashlib.sha256(b"abc").hexdigest()
 
 
-def test_large_files_are_listed_without_a_hash(spark, tmp_path, monkeypatch):
+def test_large_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
     from tunefeed.sources import artifacts
 
-    monkeypatch.setattr(artifacts, "MAX_HASHED_BYTES", 4)
-    (tmp_path / "s").write_bytes(b"1234")
-    (tmp_path / "l").write_bytes(b"12345")
-    rows = {r["length"]: r["sha256"] for r in artifact_manifest(spark, str(tmp_path), with_hash=True).collect()}
-    assert rows[5] is None and rows[4] == hashlib.sha256(b"1234").hexdigest()
+    monkeypatch.setattr(artifacts, "MAX_CELL_BYTES", 4)
+    big = bytes(range(256)) * (40 << 10)  # more than one piece
+    for name, data in {"s": b"1234", "l 日": b"12345", "b": big}.items():
+        (tmp_path / name).write_bytes(data)
+    rows = artifact_manifest(spark, str(tmp_path), with_hash=True).collect()
+    got = {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in rows}
+    assert got == {
+        n: hashlib.sha256(d).hexdigest() for n, d in (("s", b"1234"), ("l 日", b"12345"), ("b", big))
+    }
 
 
 def test_listing_does_not_read_contents(spark, tmp_path):

@@ -159,6 +159,16 @@ def test_other_turn_keys_are_dropped_and_order_does_not_matter(spark):
     assert [tuple(m) for m in got] == [("system", "/no_think"), ("user", "b")]
 
 
+def test_turns_may_be_maps(spark):
+    df = spark.createDataFrame(
+        [([{"role": "system", "content": "s"}, {"content": "c", "x": "y"}],)],
+        "conversations array<map<string,string>>",
+    )
+    row = append_text(with_messages(df)).first()
+    assert [tuple(m) for m in row["messages"]] == [("system", "s"), (None, "c")]
+    assert row["text"] == "<|system|>s<|end|>\n<||>c<|end|>"
+
+
 def test_project_keeps_text_only(spark):
     df = spark.createDataFrame(random_rows(5), SCHEMA)
     assert project_text(df).columns == ["text"]

@@ -30,8 +30,8 @@ def system_turn() -> Column:
 def example_columns(df: DataFrame) -> dict[str, Column]:
     """The four columns an example may have; an absent one is a typed NULL.
 
-    A turn may carry more keys than role and content, in any order; only these
-    two are kept, matched by name. A key that is absent is NULL.
+    A turn is a struct or a map and may carry more keys than role and content,
+    in any order; only these two are kept, by name. An absent key is NULL.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     cols = {
@@ -41,22 +41,23 @@ def example_columns(df: DataFrame) -> dict[str, Column]:
         cols[CONVERSATION_COLUMN] = F.lit(None).cast(MESSAGES)
         return cols
     conv, element = df[CONVERSATION_COLUMN], fields[CONVERSATION_COLUMN].elementType
-    if element.fieldNames() != ["role", "content"]:
+    if isinstance(element, T.MapType):
+        conv = F.transform(
+            conv, lambda t: _turn_of(lambda k: F.try_element_at(t, F.lit(k)))
+        )
+    elif element.fieldNames() != ["role", "content"]:
         present = set(element.fieldNames())
-
-        def pick(t: Column) -> Column:
-            return F.struct(
-                *[
-                    (t[k] if k in present else F.lit(None)).cast("string").alias(k)
-                    for k in ("role", "content")
-                ]
-            )
-
-        conv = F.transform(conv, pick)
+        conv = F.transform(
+            conv, lambda t: _turn_of(lambda k: t[k] if k in present else F.lit(None))
+        )
     cols[CONVERSATION_COLUMN] = conv
     return cols
 
 
+def _turn_of(value) -> Column:
+    return F.struct(*[value(k).cast("string").alias(k) for k in ("role", "content")])
+
+
 def is_conversation(conversations: Column) -> Column:
     """True when the list holds at least one turn (never NULL)."""
     return F.coalesce(F.size(conversations), F.lit(0)) > 0

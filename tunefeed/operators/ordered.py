@@ -40,7 +40,7 @@ def number_rows(
     bucket sizes come from a first pass over the key columns; then the data is
     shuffled once, by bucket. With ``keep_below`` only positions under it are
     kept: buckets beyond it are dropped before the shuffle, and a bound on the
-    leading key goes to the scan.
+    leading key goes to the scan. ``df`` must give the same rows on each read.
     """
     bucketed = _range_buckets(df, keys, rows_per_bucket)
     sizes = (
@@ -134,7 +134,7 @@ def previous_within(
     tails = (
         split.filter(F.col(_BUCKET) >= 0)
         .groupBy(*group, _BUCKET)
-        .agg(F.max_by(value, F.struct(*order)).alias("tail"))
+        .agg(F.max_by(value, F.struct(*_comparable(order))).alias("tail"))
         .select(
             *group,
             _BUCKET,
@@ -199,15 +199,15 @@ def _range_buckets(df: DataFrame, keys: list[str], rows_per_bucket: int) -> Data
     shuffle_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = min(MAX_BUCKETS, max(shuffle_tasks, math.ceil(rows / rows_per_bucket)))
     ranges = [(c, lo, hi) for c, lo, hi in zip(numbers.values(), lows, highs) if lo is not None]
-    digits, kind = _digits(ranges, 2**62), "bigint"
-    cuts = _cuts(df, _combine(digits, kind), rows, n)
+    digits = _digits(ranges, 2**53)
+    scored = df.withColumn("__score", _combine(digits))
+    cuts = _cuts(scored, rows, n)
     if len(cuts) < n - 1 and len(digits) < len(ranges):
         # Some value is so common that it needs the keys left out so far.
-        digits, kind = _digits(ranges, 10**37), "decimal(38,0)"
-        cuts = _cuts(df, _combine(digits, kind), rows, n)
+        scored = _spread_common_values(df, ranges, rows, n)
+        cuts = _cuts(scored, rows, n)
     splits = [-math.inf, *(cuts or [0.0]), math.inf]
     bucketizer = Bucketizer(splits=splits, inputCol="__score", outputCol=_BUCKET)
-    scored = df.withColumn("__score", _combine(digits, kind))
     return (
         bucketizer.transform(scored)
         .withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
@@ -215,18 +215,71 @@ def _range_buckets(df: DataFrame, keys: list[str], rows_per_bucket: int) -> Data
     )
 
 
-def _cuts(df: DataFrame, score: Column, rows: int, n: int) -> list[float]:
-    """Up to n - 1 distinct values that part the rows about evenly."""
-    scores = df.select(score.alias("score"))
-    wanted = _SAMPLE_PER_BUCKET * n
-    if rows > wanted:
-        scores = scores.sample(wanted / rows, seed=7)
-    sample = scores.toArrow().column(0).to_numpy()  # about ``wanted`` numbers
+def _cuts(scored: DataFrame, rows: int, n: int) -> list[float]:
+    """Up to n - 1 distinct scores that part the rows about evenly."""
+    sample = _sample(scored, F.col("__score"), rows, n)
     if not len(sample):
         return []
     return np.unique(np.quantile(sample, np.arange(1, n) / n)).tolist()
 
 
+def _sample(df: DataFrame, number: Column, rows: int, n: int) -> np.ndarray:
+    """About ``_SAMPLE_PER_BUCKET * n`` of the numbers, NULLs left out."""
+    numbers = df.select(number.alias("number"))
+    wanted = _SAMPLE_PER_BUCKET * n
+    if rows > wanted:
+        numbers = numbers.sample(wanted / rows, seed=7)
+    return numbers.toArrow().column(0).drop_null().to_numpy()
+
+
+def _spread_common_values(df: DataFrame, ranges: list[tuple], rows: int, n: int) -> DataFrame:
+    """A score for a leading key that is wide and has very common values.
+
+    Each common value gets a class of its own, where the other keys decide; the
+    classes between them are ordered by the leading key.
+    """
+    lead = ranges[0][0]
+    sample = _sample(df, lead, rows, n)
+    values, counts = np.unique(sample, return_counts=True)
+    # Doubles tell classes apart; of values with one double the commonest counts.
+    common: dict[float, int] = {}
+    for i in np.argsort(counts):
+        if counts[i] * n > len(sample):
+            common[float(values[i])] = int(values[i])
+    borders = sorted({b for v in common for b in (v, float(np.nextafter(v, math.inf)))})
+    bucketizer = Bucketizer(
+        splits=[-math.inf, *(borders or [0.0]), math.inf],
+        inputCol="__lead",
+        outputCol="__class",
+        handleInvalid="keep",  # NaN stands for NULL and makes one more class, the last
+    )
+    places = sorted(common)
+    known = df.sparkSession.createDataFrame(
+        pa.table(
+            {
+                "__class": pa.array([borders.index(v) + 1 for v in places], pa.int64()),
+                "__common": pa.array([common[v] for v in places], pa.int64()),
+            }
+        )
+    )
+    as_double = F.coalesce(lead.cast("double"), F.lit(math.nan))
+    classed = bucketizer.transform(df.withColumn("__lead", as_double))
+    classed = classed.withColumn("__class", F.col("__class").cast("bigint"))
+    room = 2**30
+    value = F.col("__common")
+    inside = (
+        F.when(value.isNull(), _whole(_digits(ranges[:1], room)))
+        .when(lead < value, F.lit(0))
+        .when(lead > value, F.lit(room + 1))
+        .otherwise(_whole(_digits(ranges[1:], room)) + 1)
+    )
+    return (
+        classed.join(F.broadcast(known), "__class", "left")
+        .withColumn("__score", (F.col("__class") * (room + 2) + inside).cast("double"))
+        .drop("__lead", "__class", "__common")
+    )
+
+
 def _key_number(df: DataFrame, key: str) -> Column:
     kind = df.schema[key].dataType
     if isinstance(kind, T.IntegralType):
@@ -244,9 +297,10 @@ def _key_number(df: DataFrame, key: str) -> Column:
 def _digits(ranges: list[tuple[Column, int, int]], room: int) -> list[tuple]:
     """(key, unit, lowest digit, number of digits) per key, as far as room goes.
 
-    The keys become digits of one number that sorts as they do, NULLs last. A
-    key too wide for the room left is divided by a unit: close values then tie,
-    which only moves bucket borders, and no further key is used.
+    The keys become digits of one number below ``room``, which sorts as they do,
+    NULLs last, and is exact as a DOUBLE. A key too wide for the room left is
+    divided by a unit: close values then tie, which only moves bucket borders,
+    and no further key is used.
     """
     digits = []
     for key, lo, hi in ranges:
@@ -261,18 +315,22 @@ def _digits(ranges: list[tuple[Column, int, int]], room: int) -> list[tuple]:
     return digits
 
 
-def _combine(digits: list[tuple], exact: str) -> Column:
-    """The number, exact in BIGINT or DECIMAL; as DOUBLE it keeps the order."""
+def _combine(digits: list[tuple]) -> Column:
+    return _whole(digits).cast("double")
 
-    def number(value: int) -> Column:
-        return F.lit(str(value)).cast(exact)
 
-    score = number(0)
+def _whole(digits: list[tuple]) -> Column:
+    score = F.lit(0).cast("bigint")
     for key, unit, low, count in digits:
         scaled = key if unit == 1 else F.call_function("div", key, F.lit(unit).cast("bigint"))
-        digit = F.coalesce(scaled.cast(exact) - number(low), number(count - 1))
-        score = (score * number(count) + digit).cast(exact)
-    return score.cast("double")
+        digit = F.coalesce(scaled - F.lit(low).cast("bigint"), F.lit(count - 1).cast("bigint"))
+        score = score * F.lit(count).cast("bigint") + digit
+    return score
+
+
+def _comparable(keys: list[str]) -> list[Column]:
+    """Fields of a struct that compares as ``_ascending`` sorts."""
+    return [c for k in keys for c in (F.isnull(k).alias(f"no_{k}"), F.col(k))]
 
 
 def _ascending(keys: list[str]) -> list[Column]:

@@ -13,9 +13,7 @@ from tunefeed.operators.metrics import SAVE_EVERY
 SAVE_TOTAL_LIMIT = 2
 
 
-def checkpoints(
-    logs: DataFrame, output_dir: Column, save_every: int = SAVE_EVERY
-) -> DataFrame:
+def checkpoints(logs: DataFrame, output_dir: Column, save_every: int = SAVE_EVERY) -> DataFrame:
     """Manifest (``run_id``, ``step``, ``path``) of the checkpoints runs wrote."""
     return logs.filter(F.col("step") % save_every == 0).select(
         "run_id", "step", checkpoint_path(output_dir, F.col("step")).alias("path")
@@ -40,13 +38,13 @@ def missing_experiments(requested: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def get_or_create_experiments(requested: DataFrame, existing: DataFrame, path: str) -> DataFrame:
-    """Append the missing names to the parquet table at ``path``; return them.
+    """Append the missing names to the parquet table at ``path``; return the
+    table as it is then.
 
     ``existing`` is that table as read before. One writer at a time.
     """
-    missing = missing_experiments(requested, existing)
-    missing.write.mode("append").parquet(path)
-    return missing
+    missing_experiments(requested, existing).write.mode("append").parquet(path)
+    return requested.sparkSession.read.parquet(path)
 
 
 def run_tags(settings: DataFrame) -> DataFrame:
@@ -60,10 +58,7 @@ def run_params(runs: DataFrame, params: list[str], run_id: str = "run_id") -> Da
     Values are written as Python's ``str`` does; a missing one is ``None``.
     """
     pairs = F.array(
-        *[
-            F.struct(F.lit(p).alias("key"), python_str(runs, p).alias("value"))
-            for p in params
-        ]
+        *[F.struct(F.lit(p).alias("key"), python_str(runs, p).alias("value")) for p in params]
     )
     return runs.select(F.col(run_id).alias("run_id"), F.inline(pairs))
 
@@ -83,11 +78,10 @@ def _float_str(value: Column, java: Column) -> Column:
     """Java writes 2.0E-4 where Python writes 0.0002, and so on."""
     mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
     exponent = F.substring_index(java, "E", -1).try_cast("int")
-    scientific = F.concat(
-        mantissa,
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(exponent).cast("string"), F.greatest(F.length(F.abs(exponent).cast("string")), F.lit(2)), "0"),
-    )
+    sign = F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+"))
+    places = F.abs(exponent).cast("string")
+    padded = F.when(F.length(places) < 2, F.concat(F.lit("0"), places)).otherwise(places)
+    scientific = F.concat(mantissa, sign, padded)
     plain = F.regexp_replace(java.try_cast("decimal(38,21)").cast("string"), r"0+$", "")
     plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
     return (

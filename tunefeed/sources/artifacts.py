@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Spark reads a file as one binary cell up to this many bytes.
-MAX_HASHED_BYTES = 1 << 30
+# Files up to this many bytes are hashed as one binary cell, larger ones in
+# pieces, so a task's memory does not depend on the size of a file.
+MAX_CELL_BYTES = 64 << 20
 
 
 def artifact_manifest(
@@ -18,8 +22,7 @@ def artifact_manifest(
 
     Flat: regular files of the folder itself. Recursive: the whole tree. Names
     that start with ``_`` or ``.`` are left out by Spark. Contents are read only
-    for hashes, and only of files up to ``MAX_HASHED_BYTES``: a larger one is
-    listed with a NULL hash.
+    for hashes; a filter on ``length`` is applied before a file is opened.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     if not recursive:
@@ -29,12 +32,39 @@ def artifact_manifest(
     columns = ["path", "length", F.col("modificationTime").alias("modified")]
     if not with_hash:
         return files.select(*columns)
-    small = files.filter(F.col("length") <= MAX_HASHED_BYTES)
-    large = files.filter(F.col("length") > MAX_HASHED_BYTES)
+    small = files.filter(F.col("length") <= MAX_CELL_BYTES)
+    large = files.filter(F.col("length") > MAX_CELL_BYTES).select(*columns)
+    schema = T.StructType([*large.schema.fields, T.StructField("sha256", T.StringType())])
     return small.select(*columns, F.sha2("content", 256).alias("sha256")).unionByName(
-        large.select(*columns, F.lit(None).cast("string").alias("sha256"))
+        large.mapInPandas(_hash_in_pieces(), schema)
     )
 
 
+def _hash_in_pieces() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    piece = 8 << 20
+
+    def sha256(path: str) -> str:
+        import hashlib
+        from urllib.parse import quote
+
+        from pyarrow import fs
+
+        if path.startswith("file:"):
+            system, name = fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+        else:
+            system, name = fs.FileSystem.from_uri(quote(path, safe=":/@=+"))
+        digest = hashlib.sha256()
+        with system.open_input_stream(name) as stream:
+            while data := stream.read(piece):
+                digest.update(data)
+        return digest.hexdigest()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(sha256=[sha256(p) for p in batch["path"]])
+
+    return run
+
+
 def _without_scheme(path: str) -> str:
     return re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", path).rstrip("/")

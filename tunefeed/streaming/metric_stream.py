@@ -40,8 +40,10 @@ def write_metric_stream(
     table_path: str,
     checkpoint_path: str,
     keep: tuple[str, ...] = ("run_id", "step"),
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Append the metrics of all records present, then stop.
+    """Append the metrics of all records present, then stop; with ``every``
+    (such as ``"1 minute"``) go on until stopped.
 
     Without state. The checkpoint and the file sink's own log give each metric
     once, also after a restart or on a second start.
@@ -51,6 +53,6 @@ def write_metric_stream(
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
+        .trigger(**({"processingTime": every} if every else {"availableNow": True}))
         .start(table_path)
     )

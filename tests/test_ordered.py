@@ -101,6 +101,7 @@ def test_within_groups_against_brute_force(spark, limit):
         before[i] = last.get(g, (None, None))[0]
         last[g] = (t, i)
     numbered = number_within(df, ["g"], ["t", "i"], "nth", max_group_rows=limit)
+    assert dict(numbered.dtypes)["nth"] == "bigint"
     got = {r["i"]: r["nth"] for r in numbered.collect()}
     assert got == nth
     looked = previous_within(df, ["g"], ["t", "i"], "t", "before", max_group_rows=limit)
@@ -142,3 +143,10 @@ def test_a_hot_value_in_a_wide_leading_key_is_split(spark, hot):
     got = check_numbering(number_rows(df, ["a", "b"], rows_per_bucket=100), ["a", "b"])
     assert len(got) == 3010
     assert number_rows(df, ["a", "b"], rows_per_bucket=100, keep_below=1234).count() == 1234
+
+
+def test_no_group_is_split_when_the_list_of_groups_would_be_too_long(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "MAX_BUCKETS", 10)
+    df = spark.range(1000).selectExpr("id % 100 AS g", "id AS i")
+    got = number_within(df, ["g"], ["i"], "nth", max_group_rows=5)
+    assert got.groupBy("nth").count().filter("count = 100").count() == 10

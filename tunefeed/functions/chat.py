@@ -50,9 +50,8 @@ def render_prompt(
     messages: Column, template: ChatTemplate = DEFAULT_TEMPLATE, role: str = "assistant"
 ) -> Column:
     """All turns and the header of the turn the model is to write."""
-    return F.concat(
-        render_chat(messages, template), F.lit(template.turn_separator), template.header(F.lit(role))
-    )
+    header = F.concat(F.lit(template.turn_separator), template.header(F.lit(role)))
+    return F.concat(render_chat(messages, template), header)
 
 
 def render_triple(

@@ -95,9 +95,8 @@ def number_within(
     """Add the 1-based position of each row in its group, in ``order``."""
     split = _split_large_groups(df, group, order, max_group_rows)
     if split is None:
-        return df.withColumn(
-            out, F.row_number().over(Window.partitionBy(*group).orderBy(*_ascending(order)))
-        )
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy(*_ascending(order)))
+        return df.withColumn(out, nth.cast("bigint"))
     window = Window.partitionBy(*group, _BUCKET).orderBy(*_ascending(order))
     before = (
         Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)

@@ -102,10 +102,33 @@ def test_listing_does_not_read_contents(spark, tmp_path):
     assert "content" not in plan
 
 
+class FakeSession:
+    """A session without spark.checkpoint.dir."""
+
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+        self.conf, self.sparkContext = self, self
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = f"file:{folder}/id"
+
+
 def test_shared_path_is_under_the_sessions_folder(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
     a, b = shared_path(spark, "x"), shared_path(spark, "x")
     assert a != b
-    assert a.startswith(spark.conf.get("spark.checkpoint.dir"))
-    if before:
-        assert spark.conf.get("spark.checkpoint.dir") == before
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert a.startswith(base)
+
+
+def test_only_a_local_session_may_take_its_own_folder():
+    assert shared_path(FakeSession("yarn", "s3://b/c/"), "x").startswith("s3://b/c/tunefeed/x-")
+    session = FakeSession("local[2]")
+    assert shared_path(session, "x").startswith(session.folder)
+    with pytest.raises(ValueError):
+        shared_path(FakeSession("spark://host:7077"), "x")

@@ -29,13 +29,14 @@ def local_session(cpus: int | str = "*", app: str = "tunefeed") -> SparkSession:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the folder all executors share.
 
-    That is ``spark.checkpoint.dir``. Only a local session may lack it; then a
-    temporary folder of this machine is taken and set.
+    That is ``spark.checkpoint.dir``, or what was set on the context. Only a
+    local session may lack both; then a temporary folder of this machine is set.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tunefeed-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tunefeed-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/tunefeed/{name}-{uuid.uuid4().hex}"

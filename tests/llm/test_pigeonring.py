@@ -1,0 +1,90 @@
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tunefeed.llm import pigeonring
+from tunefeed.llm.components import components
+from tunefeed.llm.pigeonring import links, near_duplicates
+
+
+def fingerprint(text, size=3):
+    text = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    grams = [" ".join(w[i : i + size]) for i in range(len(w) - size + 1)] if len(w) >= size else [" ".join(w)] if w else []
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(fps):
+    """Smallest id reachable over links of three bits, by brute force."""
+    ids = sorted(fps)
+    seen = {}
+    for i in ids:
+        if i in seen:
+            continue
+        todo = [i]
+        seen[i] = i
+        while todo:
+            a = todo.pop()
+            for b in ids:
+                if b not in seen and (fps[a] ^ fps[b]).bit_count() <= 3:
+                    seen[b] = i
+                    todo.append(b)
+    return seen
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_no_link_is_lost(spark, monkeypatch, hot):
+    monkeypatch.setattr(pigeonring, "HOT", hot)
+    rng = np.random.default_rng(hot)
+    made = set()
+    for _ in range(25):
+        base = int(rng.integers(0, 1 << 63)) * 2 + int(rng.integers(0, 2))
+        for _ in range(12):
+            x = base
+            for bit in rng.choice(64, rng.integers(0, 5), replace=False):
+                x ^= 1 << int(bit)
+            made.add(x)
+    made |= {0, 1, (1 << 64) - 1, 1 << 63}
+    df = spark.createDataFrame([(signed(x),) for x in made], "fp long")
+    got = {(r.u, r.v) for r in links(df).collect()}
+    want = {(signed(a), signed(b)) for a in made for b in made if signed(a) < signed(b) and (a ^ b).bit_count() <= 3}
+    assert got == want and len(want) > 100
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(200)] + [(500, 400), (400, 500), (7, 7), (900, 901)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(201)}, 400: 400, 500: 400, 900: 900, 901: 900}
+    assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_edges(spark):
+    long = " ".join(f"w{i % 997}" for i in range(60_000))
+    texts = [(5, None), (6, ""), (3, " \n"), (9, "One two"), (8, "one  TWO"), (1, long), (2, long + " end"), (None, long), (2, long + " end"), (4, "é É a")]
+    df = spark.createDataFrame([(*t, 1, "r") for t in texts], "doc_id long, text string, fp int, root string")
+    rows = near_duplicates(df).collect()
+    assert len(rows) == len(texts)
+    want = {t: f"{fingerprint(t):016x}" for _, t in texts}
+    assert sorted((r.doc_id or 0, r.fingerprint) for r in rows) == sorted((d or 0, want[t]) for d, t in texts)
+    names = {r.doc_id: r.component_id for r in rows}
+    assert names == {5: 3, 6: 3, 3: 3, 9: 8, 8: 8, 1: 1, 2: 1, None: 1, 4: 4}
+    assert near_duplicates(df.limit(0)).collect() == []
+    only = near_duplicates(df.filter("doc_id IS NULL")).collect()
+    assert [r.component_id for r in only] == [None]
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    fps = {r.doc_id: fingerprint(r.text) for r in docs.select("doc_id", "text").collect()}
+    want = groups(fps)
+    got = near_duplicates(docs).collect()
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in got} == {(d, f"{fps[d]:016x}", want[d]) for d in fps}
+    assert docs.select(F.countDistinct("doc_id")).first()[0] == len(got)

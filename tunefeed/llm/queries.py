@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tunefeed.llm.packing import pack_documents
 from tunefeed.llm.pigeonring import near_duplicates
 from tunefeed.llm.positional_index import build_index, contamination
+from tunefeed.llm.sharding import shard_rows
 from tunefeed.llm.token_counts import count_tokens
 
 
@@ -15,6 +17,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.coalesce("text", F.lit(""))
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw.cast("binary")).alias("text_crc32")
+    )
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return shard_rows(rows, 8).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
 
@@ -32,6 +43,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,

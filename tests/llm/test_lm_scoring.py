@@ -1,0 +1,80 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tunefeed.llm import context_mixing as mixing
+from tunefeed.llm.lm_scoring import score_documents
+
+
+def tokens(text):
+    text = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", text), "\n"]
+
+
+def held(key):
+    return key is not None and zlib.crc32(str(key).encode()) % 5 == 1
+
+
+def base(docs):
+    count = Counter(t for k, text in docs if not held(k) for t in tokens(text))
+    n, v = sum(count.values()), len(count)
+    return n, [
+        (k, held(k), len(t), sum(count[x] > 0 for x in t), sum(math.log10((count[x] + 0.5) / (n + 0.5 * (v + 1))) for x in t))
+        for k, text in docs
+        for t in [tokens(text)]
+    ]
+
+
+def check(rows, docs):
+    n, want = base(docs)
+    got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.base_score) for r in rows]
+    by = lambda r: (str(r[0]), r[2], round(r[4], 6))
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got, key=by), sorted(want, key=by), strict=True):
+        assert g[:4] == w[:4] and g[4] == pytest.approx(w[4], rel=1e-9)
+    assert all(r.train_tokens == n and r.score < 0 and math.isfinite(r.score) for r in rows)
+
+
+def test_edges(spark):
+    docs = [(i, t) for i, t in enumerate(["", None, "The the\nTHE", "é É", "x" * 3_000_000, "b\x00c ok", "only here", "the"] * 3)] + [(None, "the null"), (2, "The the\nTHE")]
+    df = spark.createDataFrame([(*d, "s", 1) for d in docs], "doc_id long, text string, slice string, c int")
+    check(score_documents(df).collect(), docs)
+    assert score_documents(df.limit(0)).collect() == []
+    only = spark.createDataFrame([(k, "some text") for k in range(200) if held(k)], "doc_id long, text string")
+    rows = score_documents(only).collect()
+    assert all(r.held_out and r.n_known == 0 and r.train_tokens == 0 for r in rows)
+
+
+def test_bytes_after_a_context_add_up_to_one():
+    rng = np.random.default_rng(2)
+    data = rng.integers(97, 101, 5000).astype(np.uint8)
+    gram, _ = mixing.grams(data, np.array([0, 2000, 5000]))
+    slot, n = mixing.slot_counts(*(lambda u, c: (u, c[:, None]))(*np.unique(gram, return_counts=True)))
+    zeros, ones = np.zeros((2, len(mixing.ORDERS) << mixing.SLOT_BITS))
+    zeros[slot], ones[slot] = n[:, 0], n[:, 1]
+    model = mixing.Model(mixing.packed(zeros, ones).reshape(len(mixing.ORDERS), -1), mixing.new_weights())
+    model.learn(gram, np.ones(gram.size))
+    for context in (gram[0], gram[300], np.uint64(0)):
+        every = (context & ~np.uint64(0xFF)) | np.arange(256, dtype=np.uint64)
+        assert (10 ** model.log10(every)).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_held_out_text_is_learned_from_others_only(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = {r.doc_id: r for r in score_documents(docs).collect()}
+    check(list(rows.values()), [tuple(d) for d in docs.collect()])
+    out = [r for r in rows.values() if r.held_out]
+    bits = np.mean([r.bits_per_byte for r in out])
+    assert bits < 3.2 and sum(r.score for r in out) > sum(r.base_score for r in out)
+    # Changing one held-out text changes no other score.
+    from pyspark.sql import functions as F
+
+    key = out[0].doc_id
+    other = docs.withColumn("text", F.when(F.col("doc_id") == key, "zzz qqq").otherwise(F.col("text")))
+    again = {r.doc_id: r.score for r in score_documents(other).collect()}
+    assert {k: v for k, v in again.items() if k != key} == pytest.approx({k: r.score for k, r in rows.items() if k != key}, rel=1e-6)
+    assert again[key] != rows[key].score

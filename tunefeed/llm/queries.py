@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunefeed.llm.lm_scoring import score_documents
 from tunefeed.llm.packing import pack_documents
 from tunefeed.llm.pigeonring import near_duplicates
 from tunefeed.llm.positional_index import build_index, contamination
@@ -26,6 +27,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(rows, 8).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +49,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_lm_scoring": op2_lm_scoring,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,

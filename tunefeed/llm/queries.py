@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunefeed.llm.language_id import languages
 from tunefeed.llm.lm_scoring import score_documents
 from tunefeed.llm.packing import pack_documents
 from tunefeed.llm.pigeonring import near_duplicates
@@ -31,6 +32,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +55,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_lm_scoring": op2_lm_scoring,
+    "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,

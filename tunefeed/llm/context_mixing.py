@@ -23,7 +23,12 @@ from tunefeed.llm.arrow_text import LOWER
 ORDERS = (1, 2, 3, 4, 5, 6)
 EDGE = 0xFF
 #: Slots of an order's table: 2 to this power, whatever the size of the corpus.
-SLOT_BITS = 21
+SLOT_BITS = (16, 18, 21, 21, 21, 21)
+#: The last three bytes choose one of so many parts (2 to this power) of the longer orders'
+#: tables, so that a part can be counted by itself.
+PART_BITS = 7
+#: Orders whose tables have parts.
+LONG = tuple(o for o in ORDERS if o >= 3)
 GATES = (len(ORDERS) + 1) * 8
 #: Logits that the adaptive map tells apart.
 STEPS = 33
@@ -54,17 +59,25 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, bounds
 
 
-def _slots(gram: np.ndarray, order: int) -> np.ndarray:
+def parts(gram: np.ndarray) -> np.ndarray:
+    """Part of the longer orders' tables that an n-gram's context is in."""
+    last = (gram >> np.uint64(8)) & np.uint64(0xFFFFFF)
+    return ((last * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PART_BITS)).astype(np.int64)
+
+
+def slots(gram: np.ndarray, order: int) -> np.ndarray:
     """Slot of each of the eight decisions of each n-gram: shape (8, n)."""
+    width = SLOT_BITS[order - 1] - (PART_BITS if order in LONG else 0)
+    part = (parts(gram) << width).astype(np.int32) if order in LONG else np.int32(0)
     context = (gram >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
     byte = gram & np.uint64(0xFF)
     hashed = context * np.uint64(0x9E3779B97F4A7C15) + np.uint64(order)
     hashed ^= hashed >> np.uint64(29)
-    out = np.empty((8, gram.size), np.int64)
+    out = np.empty((8, gram.size), np.int32)
     for i in range(8):
         node = np.uint64(1 << i) | (byte >> np.uint64(8 - i))
         mixed = (hashed + node * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xC2B2AE3D27D4EB4F)
-        out[i] = (mixed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        out[i] = (mixed >> np.uint64(64 - width)).astype(np.int32) + part
     return out
 
 
@@ -73,22 +86,6 @@ def bits(gram: np.ndarray) -> np.ndarray:
     return np.stack([(byte >> (7 - i)) & 1 for i in range(8)]).astype(bool)
 
 
-def slot_counts(gram: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct order * 2^SLOT_BITS + slot, and sums (2 * weights.shape[1]) of zeros and ones."""
-    keys, rows = [], []
-    bit = bits(gram)
-    for i, order in enumerate(ORDERS):
-        slot = _slots(gram, order).ravel() + (i << SLOT_BITS)
-        by = np.argsort(slot, kind="stable")
-        slot, one = slot[by], bit.ravel()[by]
-        w = np.tile(weights, (8, 1))[by]
-        first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
-        keys.append(slot[first])
-        both = np.concatenate([np.where(one[:, None], 0, w), np.where(one[:, None], w, 0)], axis=1)
-        rows.append(np.add.reduceat(both, first, axis=0))
-    return np.concatenate(keys), np.concatenate(rows)
-
-
 def packed(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Slots as 16 bits: level of the count above, logit below; 0 where nothing was seen."""
     total = zeros + ones
@@ -100,7 +97,7 @@ def packed(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    table: np.ndarray  # (orders, slots) of packed slots
+    tables: list[np.ndarray]  # packed slots of each order
     weights: np.ndarray  # (gates, orders + 1)
     map: np.ndarray | None = None  # (256 * STEPS) probabilities of the adaptive map
 
@@ -109,7 +106,7 @@ class Model:
         out = np.empty((len(ORDERS) + 1, 8 * gram.size), np.float32)
         gate = np.zeros(8 * gram.size, np.uint8)
         for i, order in enumerate(ORDERS):
-            code = self.table[i][_slots(gram, order).ravel()]
+            code = self.tables[i][slots(gram, order).ravel()]
             seen = code > 0
             out[i] = np.where(seen, _LOGITS[code & 0xFFF], 0)
             gate = np.where(seen, (8 * (i + 1) + (code >> 12)).astype(np.uint8), gate)
@@ -142,7 +139,7 @@ class Model:
         node = np.concatenate([(1 << i) | (byte >> (8 - i)) for i in range(8)])
         return node * STEPS + np.rint((z + _LIMIT) * ((STEPS - 1) / (2 * _LIMIT))).astype(np.int64)
 
-    def log10(self, gram: np.ndarray, block: int = 1 << 17) -> np.ndarray:
+    def log10(self, gram: np.ndarray, block: int = 1 << 14) -> np.ndarray:
         """log10 of the probability of each n-gram's byte after its context."""
         out = np.empty(gram.size)
         for low in range(0, gram.size, block):

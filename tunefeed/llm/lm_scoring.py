@@ -10,7 +10,7 @@ to the shared folder, so that every later pass sees the same slices.
   the adaptive map are learned from one training document in eight, against tables without
   those: each partition of n-grams runs online passes, and weights are averaged between
   passes by the partitions' masses. The final tables hold all training documents.
-* Scoring: one pass over the slices with the model (25 MB, whatever the corpus).
+* Scoring: one pass over the slices with the model (17 MB, whatever the corpus).
 
 Held-out documents (``remainder`` of crc32 of the key's text modulo ``folds``) add nothing
 to any count, table or weight. A null key counts as remainder 0. A null text is an empty
@@ -37,12 +37,15 @@ SLICE = 4 << 20
 #: Online passes over the n-grams that weights are learned from.
 PASSES = 2
 #: Distinct n-grams that a task holds before it hands them on.
-HELD = 3_000_000
+HELD = 6_000_000
+#: Slices that one task counts.
+SLICES = 32
 
 _FIT, _MIX, _HELD_OUT = 0, 1, 2
 #: Stands for the end of a text; no word has white space.
 _END = b"\n"
-_CHUNK_BITS = 14
+_COUNTS = ("f0", "f1", "a0", "a1")
+_ROWS = pa.schema([("order", pa.int64()), ("at", pa.int64()), ("fit", pa.binary()), ("every", pa.binary()), *((c, pa.float64()) for c in _COUNTS)])
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -104,17 +107,22 @@ def _summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     by = np.argsort(keys, kind="stable")
     keys, rows = keys[by], rows[by]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if keys.size else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(rows, first, axis=0) if keys.size else rows
+    return keys[first], np.add.reduceat(rows, first, axis=0, dtype=rows.dtype) if keys.size else rows
 
 
 def _grams(parts: DataFrame) -> DataFrame:
-    """gram, fit, mix: how often training documents of each role have it."""
+    """gram, fit, mix: how often training documents of each role have it.
+
+    A task counts ``SLICES`` slices or so; an n-gram has one row or more per task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, waiting = (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)), []
+        held, waiting = (np.zeros(0, np.uint64), np.zeros((0, 2), np.int32)), []
 
         def rows(keys: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(count[:, 0]), pa.array(count[:, 1])], ["gram", "fit", "mix"])
+            part = mixing.parts(keys).astype(np.int32)
+            columns = [keys.view(np.int64), part, count[:, 0].astype(np.int32), count[:, 1].astype(np.int32)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "part", "fit", "mix"])
 
         for batch in batches:
             for roles, sizes, texts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -124,7 +132,7 @@ def _grams(parts: DataFrame) -> DataFrame:
                 role = np.repeat(role, np.diff(bounds))
                 for kind in (_FIT, _MIX):
                     found, n = np.unique(gram[role == kind], return_counts=True)
-                    waiting.append((found, np.stack([n * (kind == _FIT), n * (kind == _MIX)], axis=1)))
+                    waiting.append((found, np.stack([n * (kind == _FIT), n * (kind == _MIX)], axis=1).astype(np.int32)))
                 if sum(f.size for f, _ in waiting) > HELD // 4:
                     every = [held, *waiting]
                     held, waiting = _summed(np.concatenate([f for f, _ in every]), np.concatenate([c for _, c in every])), []
@@ -136,10 +144,11 @@ def _grams(parts: DataFrame) -> DataFrame:
         if keys.size:
             yield rows(keys, count)
 
-    found = parts.select("roles", "sizes", "texts").mapInArrow(run, "gram long, fit long, mix long")
-    path = shared_path(parts.sparkSession, "grams")
-    found.groupBy("gram").agg(F.sum("fit").alias("fit"), F.sum("mix").alias("mix")).write.parquet(path)
-    return parts.sparkSession.read.parquet(path)
+    slices_, spark = parts.count(), parts.sparkSession
+    found = parts.select("roles", "sizes", "texts").coalesce(max(1, slices_ // SLICES))
+    path = shared_path(spark, "grams")
+    found.mapInArrow(run, "gram long, part int, fit int, mix int").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 18) -> Iterator[list[np.ndarray]]:
@@ -154,32 +163,64 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 18) -> Iterato
         yield [np.concatenate([b.column(i).to_numpy() for b in waiting]) for i in range(waiting[0].num_columns)]
 
 
-def _tables(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Packed slots of the training documents without, and with, those for the weights."""
+def _tables(grams: DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Packed slots of the training documents without, and with, those for the weights.
+
+    All n-grams of a part of the longer orders' tables meet in one task, which adds them to
+    arrays of fixed size as they come. The two short orders are added up by slot.
+    """
+    short = [o for o in mixing.ORDERS if o not in mixing.LONG]
+    base = np.concatenate([[0], np.cumsum([1 << mixing.SLOT_BITS[o - 1] for o in short])])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, fit, mix in _gathered(batches):
-            slot, n = mixing.slot_counts(gram.view(np.uint64), np.stack([fit, fit + mix], axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(slot), *(pa.array(n[:, i]) for i in range(4))], ["slot", "f0", "a0", "f1", "a1"])
-
-    def pack(table: pa.Table) -> pa.Table:
-        slot, f0, a0, f1, a1 = (table.column(c).to_numpy() for c in ("slot", "f0", "a0", "f1", "a1"))
-        out = np.zeros((2, 1 << _CHUNK_BITS), np.uint16)
-        at = slot & ((1 << _CHUNK_BITS) - 1)
-        out[0, at], out[1, at] = mixing.packed(f0, f1), mixing.packed(a0, a1)
-        chunk = pa.array(slot[:1] >> _CHUNK_BITS)
-        return pa.table({"chunk": chunk, "fit": [out[0].tobytes()], "every": [out[1].tobytes()]})
-
-    slots = grams.mapInArrow(count, "slot long, f0 long, a0 long, f1 long, a1 long")
-    slots = slots.groupBy("slot").agg(*(F.sum(c).alias(c) for c in ("f0", "a0", "f1", "a1")))
-    # A chunk has 2^14 slots; all chunks are two tables of fixed size.
-    chunks = slots.groupBy(F.shiftright("slot", _CHUNK_BITS)).applyInArrow(pack, "chunk long, fit binary, every binary")
-    out = np.zeros((2, len(mixing.ORDERS) << mixing.SLOT_BITS), np.uint16)
-    for row in chunks.toLocalIterator():
-        at = slice(row.chunk << _CHUNK_BITS, (row.chunk + 1) << _CHUNK_BITS)
-        out[0, at], out[1, at] = np.frombuffer(row.fit, np.uint16), np.frombuffer(row.every, np.uint16)
-    shape = (len(mixing.ORDERS), 1 << mixing.SLOT_BITS)
-    return out[0].reshape(shape), out[1].reshape(shape)
+        low = np.zeros((2, 2 * int(base[-1])))
+        long: dict[tuple[int, int], np.ndarray] = {}
+        for gram, part, fit, mix in _gathered(batches):
+            gram, weights = gram.view(np.uint64), (np.tile(fit, 8), np.tile(fit + mix, 8))
+            bit = mixing.bits(gram).ravel()
+            for i, order in enumerate(short):
+                at = 2 * (mixing.slots(gram, order).ravel() + base[i]) + bit
+                for j in range(2):
+                    low[j] += np.bincount(at, weights=weights[j], minlength=low.shape[1])
+            by = np.argsort(part, kind="stable")
+            for rows in np.split(by, np.flatnonzero(np.diff(part[by])) + 1):
+                own, p = gram[rows], int(part[rows[0]])
+                bit, weights = mixing.bits(own).ravel(), (np.tile(fit[rows], 8), np.tile((fit + mix)[rows], 8))
+                for order in mixing.LONG:
+                    size = 1 << (mixing.SLOT_BITS[order - 1] - mixing.PART_BITS)
+                    at = 2 * (mixing.slots(own, order).ravel() & (size - 1)) + bit
+                    table = long.setdefault((order, p), np.zeros((2, 2 * size)))
+                    for j in range(2):
+                        table[j] += np.bincount(at, weights=weights[j], minlength=2 * size)
+        for (order, p), table in long.items():
+            fit, every = (mixing.packed(t[0::2], t[1::2]).tobytes() for t in table)
+            yield pa.RecordBatch.from_pydict({"order": [order], "at": [p], "fit": [fit], "every": [every], **{c: [0.0] for c in _COUNTS}}, schema=_ROWS)
+        seen = np.flatnonzero(low[1, 0::2] + low[1, 1::2])
+        none = pa.nulls(seen.size, pa.binary())
+        counts = [pa.array(c[seen]) for c in (low[0, 0::2], low[0, 1::2], low[1, 0::2], low[1, 1::2])]
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(seen.size, np.int64)), pa.array(seen), none, none, *counts], schema=_ROWS)
+
+    path, spark = shared_path(grams.sparkSession, "tables"), grams.sparkSession
+    counted = grams.repartition("part").select("gram", "part", "fit", "mix").mapInArrow(
+        count, "order long, at long, fit binary, every binary, f0 double, f1 double, a0 double, a1 double"
+    )
+    counted.write.parquet(path)
+    rows = spark.read.parquet(path)
+    out = [[np.zeros(1 << bits, np.uint16) for bits in mixing.SLOT_BITS] for _ in range(2)]
+    # Tables of fixed size, whatever the corpus.
+    for row in rows.filter("order > 0").select("order", "at", "fit", "every").toLocalIterator():
+        size = 1 << (mixing.SLOT_BITS[row.order - 1] - mixing.PART_BITS)
+        for i, blob in enumerate((row.fit, row.every)):
+            out[i][row.order - 1][row.at * size : (row.at + 1) * size] = np.frombuffer(blob, np.uint16)
+    low = rows.filter("order = 0").groupBy("at").agg(*(F.sum(c).alias(c) for c in _COUNTS)).toArrow()
+    at = low.column("at").to_numpy()
+    f0, f1, a0, a1 = (low.column(c).to_numpy() for c in _COUNTS)
+    for i, (zeros, ones) in enumerate(((f0, f1), (a0, a1))):
+        flat = np.zeros(int(base[-1]), np.uint16)
+        flat[at] = mixing.packed(zeros, ones)
+        for j, order in enumerate(short):
+            out[i][order - 1] = flat[base[j] : base[j + 1]]
+    return out[0], out[1]
 
 
 def train(grams: DataFrame) -> mixing.Model:

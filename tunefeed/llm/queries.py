@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tunefeed.llm.language_id import languages
 from tunefeed.llm.lm_scoring import score_documents
 from tunefeed.llm.packing import pack_documents
+from tunefeed.llm.personal_data import find_personal_data
 from tunefeed.llm.pigeonring import near_duplicates
 from tunefeed.llm.positional_index import build_index, contamination
 from tunefeed.llm.sharding import shard_rows
@@ -48,6 +49,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
+    "op9_personal_data": op9_personal_data,
     "op10_near_duplicates": op10_near_duplicates,
 }
 

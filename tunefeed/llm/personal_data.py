@@ -9,7 +9,8 @@ the token's, its neighbours' up to two away, and pairs of them, each with the sp
 It is trained from ``LABELLED``, a small table with marked spans, by gradient ascent on the
 conditional likelihood (forward-backward), and decoded by Viterbi for many sequences at
 once. A sequence is a stretch of tokens at most two away from a digit, an @ or a +; all four
-kinds hold one of those. Its spans are added where they touch no pattern's span.
+kinds hold one of those. Its spans are added where they hold what
+their kind must hold (``_RUNS``'s signs, or a count of digits) and touch no pattern's span.
 
 Null text: empty. Empty table: no rows. Repeated rows each come back. Long texts are read
 whole. Only the named columns are read, so others may have any name.
@@ -93,6 +94,22 @@ phone book 2021-2022, pages 555-560
 ratio 16:9, score 3-2, 21-19 and 7-6
 section 4.2.1, figure 3.7, table 12.
 from 1914-1918 and 1939-1945 they
+to. [card:2362971821055609] Ed it was
+Anwh [card:9380942693487180] rely. Then
+une, [card:9582442921002355] in the
+| word | [card:9093441080585879] | other |
+it.
+Sta [card:9890149938096989] than [card:2381604611877803] The
+orly. [card:1683436113538828] Nd. It
+host.example.com [card:5755695738806562] On the
+17.173 and [card:9807915762804490] are
+Des [phone:+1 (826) 555-4081] [ip:190.137.223.204] du
+the token = "b44e15e09fd311c3cf3163b66d5a9875b883d8ce" the that
+or token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" From it
+la token = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f" of, on
+token = "ffc3105535f423f352535e4ac53b5fefe076ac6d"### el
+| token = "027aea05eb92c454086e6575cd38d76a884acaff" | of
+hash e51a5499e3950eabef3742d6cf40b27b4e61a74a and dafbac99949115180e7593de87b4492bcef9890b too
 article 5 (3) of 2016/679 and 95/46
 id 4711, id 1234567890, id 99
 5 6 7 8 9 10 11 12 13 14 15 16
@@ -345,6 +362,16 @@ def field_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> list[tup
     return out
 
 
+def _plausible(kind: int, found: bytes) -> bool:
+    digits = sum(48 <= c <= 57 for c in found)
+    if KINDS[kind] == "email":
+        return b"@" in found[1:-1]
+    if KINDS[kind] == "ip":
+        return _PATTERNS["ip"].fullmatch(found) is not None and _valid("ip", found)
+    low, high = (13, 19) if KINDS[kind] == "card" else (7, 15)
+    return low <= digits <= high and not re.search(rb"[^0-9 ()+./-]", found)
+
+
 def all_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> tuple[list, list]:
     """Patterns' spans, and those with the field's spans that touch none of them."""
     base = pattern_spans(data, offsets)
@@ -353,7 +380,7 @@ def all_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> tuple[list
         taken[a] += 1
         taken[b] -= 1
     covered = np.concatenate([[0], np.cumsum(np.cumsum(taken)[:-1] > 0)])
-    more = [s for s in field_spans(field, data, offsets) if covered[s[1]] == covered[s[0]]]
+    more = [s for s in field_spans(field, data, offsets) if covered[s[1]] == covered[s[0]] and _plausible(s[2], data[s[0] : s[1]].tobytes())]
     return base, sorted([*base, *more])
 
 

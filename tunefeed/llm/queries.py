@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunefeed.llm.kmeans_tree import nearest
 from tunefeed.llm.language_id import languages
 from tunefeed.llm.lm_scoring import score_documents
 from tunefeed.llm.packing import pack_documents
@@ -49,6 +50,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_personal_data": op9_personal_data,
     "op10_near_duplicates": op10_near_duplicates,
 }

@@ -13,6 +13,7 @@ from tunefeed.llm.packing import pack_documents
 from tunefeed.llm.personal_data import find_personal_data
 from tunefeed.llm.pigeonring import near_duplicates
 from tunefeed.llm.positional_index import build_index, contamination
+from tunefeed.llm.secret_scan import scan
 from tunefeed.llm.sharding import shard_rows
 from tunefeed.llm.token_counts import count_tokens
 
@@ -34,6 +35,12 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(_table(spark, sf_dir, "documents"))
+    length = F.length("secret").cast("long").alias("length")
+    return found.select("doc_id", "nth", length, F.sha2("secret", 256).alias("secret_sha256"), "probability")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(_table(spark, sf_dir, "documents"))
 
@@ -65,6 +72,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_secret_scan": op3_secret_scan,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,

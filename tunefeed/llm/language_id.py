@@ -172,18 +172,24 @@ def train(df: DataFrame, *, text: str = "text", label: str = "lang", sample: int
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(1).take(pa.array(rows, pa.int64())),
-                    pa.array([found[i][0] for i in rows], pa.list_(pa.int64())),
-                    pa.array([found[i][1] for i in rows], pa.list_(pa.float64())),
+                    pa.array([found[i][0].astype(np.int32) for i in rows], pa.list_(pa.int32())),
+                    pa.array([found[i][1].astype(np.float32) for i in rows], pa.list_(pa.float32())),
                 ],
                 ["label", "buckets", "shares"],
             )
 
-    drawn = labelled.filter(draw < share).mapInArrow(run, "label string, buckets array<long>, shares array<double>")
+    drawn = labelled.filter(draw < share).mapInArrow(run, "label string, buckets array<int>, shares array<float>")
     # About ``sample`` rows of at most one entry per bucket each.
-    rows = drawn.toArrow()
-    order = np.argsort([hash(tuple(b[:8])) for b in rows.column("buckets").to_pylist()], kind="stable")
-    buckets, shares, labels = rows.column("buckets").to_pylist(), rows.column("shares").to_pylist(), rows.column("label").to_pylist()
-    return fit([(np.array(buckets[i], np.int64), np.array(shares[i])) for i in order], [labels[i] for i in order])
+    rows = drawn.toArrow().combine_chunks()
+    if not rows.num_rows:
+        return fit([], [])
+    lists = [rows.column(c).chunk(0) for c in ("buckets", "shares")]
+    bounds = lists[0].offsets.to_numpy()
+    bucket, share = (x.values.to_numpy(zero_copy_only=False) for x in lists)
+    labels = rows.column("label").to_pylist()
+    # An order that does not depend on which task came first.
+    order = np.lexsort((np.add.reduceat(bucket, bounds[:-1], dtype=np.int64), np.diff(bounds)))
+    return fit([(bucket[bounds[i] : bounds[i + 1]], share[bounds[i] : bounds[i + 1]]) for i in order], [labels[i] for i in order])
 
 
 def identify(df: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:

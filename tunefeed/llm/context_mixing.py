@@ -1,10 +1,10 @@
 """A byte model by online logistic context mixing, in numpy over distinct n-grams.
 
 A byte is eight binary decisions. For each, one predictor per context order (the last 1 to
-6 bytes, hashed with the bits decided so far) gives a probability from counts. The logits
+5 bytes, hashed with the bits decided so far) gives a probability from counts. The logits
 are added up under weights that a gate selects: the longest order seen before, and how
 often. The sum's probability is refined by an adaptive map over the decision and the logit.
-As contexts end with the last six bytes, all n-grams of seven bytes that are equal have one
+As contexts end with the last five bytes, all n-grams of six bytes that are equal have one
 probability, so a slice of text is evaluated once per distinct n-gram.
 
 A-Z count as a-z. Before the first byte and after the last stands the byte 0xFF, which no text has; its
@@ -20,10 +20,10 @@ import pyarrow as pa
 
 from tunefeed.llm.arrow_text import LOWER
 
-ORDERS = (1, 2, 3, 4, 5, 6)
+ORDERS = (1, 2, 3, 4, 5)
 EDGE = 0xFF
 #: Slots of an order's table: 2 to this power, whatever the size of the corpus.
-SLOT_BITS = (16, 18, 21, 21, 21, 21)
+SLOT_BITS = (16, 18, 21, 21, 21)
 #: The last three bytes choose one of so many parts (2 to this power) of the longer orders'
 #: tables, so that a part can be counted by itself.
 PART_BITS = 7

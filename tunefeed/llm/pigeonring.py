@@ -20,11 +20,16 @@ Repeated rows come back once each. Only the named columns are read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tunefeed.llm.arrow_text import slices, text_bytes
 from tunefeed.llm.components import components
-from tunefeed.llm.fingerprints import SHINGLE, with_fingerprint
+from tunefeed.llm.fingerprints import SHINGLE, fingerprints, with_fingerprint
 from tunefeed.session import shared_path
 
 #: Most bits in which linked fingerprints differ.
@@ -67,11 +72,10 @@ def _linked(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Pairs on a key that keep to the chain of three and to the distance."""
     pairs = left.join(right.withColumnRenamed("fp", "other"), on)
     differing = F.col("fp").bitwiseXOR(F.col("other"))
-    chain = F.lit(None)
+    chain = F.lit(64)
     for begin in range(4):
-        chain = F.when(F.col("begin") == begin, F.bit_count(F.shiftrightunsigned(_ring(differing, begin), _SEGMENT))) if begin == 0 else chain.when(
-            F.col("begin") == begin, F.bit_count(F.shiftrightunsigned(_ring(differing, begin), _SEGMENT))
-        )
+        three = F.bit_count(F.shiftrightunsigned(_ring(differing, begin), _SEGMENT))
+        chain = F.when(F.col("begin") == begin, three).otherwise(chain)
     return pairs.filter((F.col("fp") < F.col("other")) & (chain <= 2) & (F.bit_count(differing) <= DISTANCE)).selectExpr("fp AS u", "other AS v")
 
 
@@ -117,6 +121,31 @@ def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", s
     return rows.join(names, "fp", "left").select(F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def keep_one(df: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+    """One row of ``df`` per group of near-duplicates: that with the smallest key (null last).
+
+    Rows are written with their fingerprint and a number first, so that one row is kept even
+    where keys repeat or are null.
+    """
+    spark = df.sparkSession
+    path, columns = shared_path(spark, "numbered"), df.columns
+    at = columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, at):
+            found = pa.array(fingerprints(*text_bytes(part.column(at)), size).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*part.columns, found], [*columns, "__fp"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    df.mapInArrow(run, f"{fields}, __fp long").withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    narrow = rows.select(F.col(key).alias("key"), F.col("__fp").alias("fp"), "__row")
+    roots = component_names(narrow.select("key", "fp")).select("fp", "root")
+    first = F.min(F.struct(F.col("key").isNull(), "key", "__row"))
+    kept = narrow.join(roots, "fp").groupBy("root").agg(first.alias("first")).select("first.__row")
+    return rows.join(kept, "__row", "left_semi").select(columns)
+
+
 def component_names(rows: DataFrame) -> DataFrame:
     """fp, root and component_id (smallest key reachable) of each distinct fp of (key, fp)."""
     spark = rows.sparkSession

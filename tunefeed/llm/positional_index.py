@@ -301,6 +301,21 @@ def contamination(index: DataFrame, items: DataFrame, *, key: str = "doc_id", it
     )
 
 
+def drop_contaminated(df: DataFrame, items: DataFrame, *, item: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
+    """The rows of ``df`` in which no window of an item stands.
+
+    Rows are numbered in a written copy, so repeated or null keys do not matter.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "numbered")
+    df.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    found = contamination(build_index(rows, key="__row", text=text), items, key="__row", item=item, size=size)
+    hit = shared_path(spark, "contaminated")
+    found.filter("contaminated").select("__row").write.parquet(hit)
+    return rows.join(spark.read.parquet(hit), "__row", "left_anti").select(df.columns)
+
+
 def _covered(ranges: Column) -> Column:
     """Length of the union of sorted ranges."""
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("upto"))

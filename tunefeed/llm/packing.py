@@ -106,11 +106,9 @@ def _token_ids(tokenizer, data: np.ndarray, offsets: np.ndarray, end: int) -> tu
     """Ids of all texts with an end id after each, and each text's range of them."""
     start, bounds = tokenizer.pretokens(data, offsets)
     distinct, codes = tokenizer.coded(data, start)
-    lists = tokenizer.ids(distinct.to_pylist())
-    size = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(size.sum()))
-    at, n = (np.cumsum(size) - size)[codes], size[codes]
-    ids = flat[ragged_index(at, n)]
+    flat, begin, size = tokenizer.ids(distinct.to_pylist())
+    n = size[codes]
+    ids = flat[ragged_index(begin[codes], n)]
     count = sums(n, bounds)
     special = [i for i in range(count.size) if tokenizer.has_special(data[offsets[i] : offsets[i + 1]])] if tokenizer.has_special(data) else []
     texts = np.split(ids, np.cumsum(count)[:-1]) if special else []

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from tunefeed.llm.arrow_text import begins, strings
 
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = range(5)
 #: Distinct pre-tokens whose ids a worker remembers.
-MEMO = 400_000
+MEMO = 800_000
 
 
 @lru_cache(maxsize=4)
@@ -43,7 +44,7 @@ class ByteTokenizer:
         self.library.no_padding()
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self._class = np.full(0x110000, UNKNOWN, dtype=np.uint8)
-        self._memo: dict[bytes, list[int]] = {}
+        self._forget()
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -107,12 +108,29 @@ class ByteTokenizer:
         coded = whole.dictionary_encode()
         return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def ids(self, pretokens: list[bytes]) -> list[list[int]]:
-        """Token ids of pre-tokens that hold no special string."""
+    def ids(self, pretokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token ids of pre-tokens without special strings: ids, and each one's begin and size."""
+        if len(self._memo) + len(pretokens) > MEMO:
+            self._forget()
         memo = self._memo
         new = [p for p in pretokens if p not in memo]
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = pretokens
-        memo.update(zip(new, self.encode([p.decode() for p in new]), strict=True))
-        return [memo[p] for p in pretokens]
+        if new:
+            lists = self.encode([p.decode() for p in new])
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
+            first, at = len(memo), self._end[len(memo)]
+            while at + flat.size > self._flat.size:
+                self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
+            while first + len(new) >= self._end.size:
+                self._end = np.concatenate([self._end, np.zeros_like(self._end)])
+            self._flat[at : at + flat.size] = flat
+            self._end[first + 1 : first + 1 + len(new)] = at + np.cumsum(size)
+            memo.update(zip(new, range(first, first + len(new)), strict=True))
+        place = np.fromiter(map(memo.__getitem__, pretokens), np.int64, len(pretokens))
+        return self._flat, self._end[place], self._end[place + 1] - self._end[place]
+
+    def _forget(self) -> None:
+        """Empty the memo: pre-token -> place; ``_end[place]`` .. ``_end[place + 1]`` in ``_flat``."""
+        self._memo: dict[bytes, int] = {}
+        self._flat = np.zeros(1 << 16, np.uint32)
+        self._end = np.zeros(1 << 14, np.int64)

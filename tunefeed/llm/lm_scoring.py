@@ -93,7 +93,7 @@ def _slices(df: DataFrame, key: str, text: str, folds: int, remainder: int) -> D
     schema = f"keys array<{kind}>, roles binary, sizes binary, texts binary, terms array<binary>, counts array<long>"
     cut = df.select(F.col(key).alias("key"), role.cast("int").alias("role"), F.col(text).alias("text")).mapInArrow(run, schema)
     path = shared_path(df.sparkSession, "slices")
-    cut.withColumn("slice", F.monotonically_increasing_id()).write.parquet(path)
+    cut.withColumn("slice", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -147,7 +147,7 @@ def _grams(parts: DataFrame) -> DataFrame:
     slices_, spark = parts.count(), parts.sparkSession
     found = parts.select("roles", "sizes", "texts").coalesce(max(1, slices_ // SLICES))
     path = shared_path(spark, "grams")
-    found.mapInArrow(run, "gram long, part int, fit int, mix int").write.parquet(path)
+    found.mapInArrow(run, "gram long, part int, fit int, mix int").write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -270,7 +270,7 @@ def score_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text", f
     parts = _slices(df, key, text, folds, remainder)
     path = shared_path(spark, "words")
     seen = parts.select(F.explode(F.arrays_zip("terms", "counts")).alias("t")).select("t.terms", "t.counts").filter("counts > 0")
-    seen.groupBy("terms").agg(F.sum("counts").alias("c")).write.parquet(path)
+    seen.groupBy("terms").agg(F.sum("counts").alias("c")).write.option("compression", "zstd").parquet(path)
     counts = spark.read.parquet(path)
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     model = spark.sparkContext.broadcast(train(_grams(parts)))

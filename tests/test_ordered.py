@@ -36,7 +36,7 @@ def test_number_rows_with_a_hot_key(spark, per_bucket):
 
 def test_buckets_split_a_hot_key(spark):
     df = spark.createDataFrame(rows_with_a_hot_key(3000, 2), "a long, b long")
-    sizes = ordered._range_buckets(df, ["a", "b"], 100).groupBy("__bucket").count()
+    sizes = ordered._ranged(df, ["a", "b"], 100).groupBy("__bucket").count()
     assert sizes.agg(F.max("count")).first()[0] < 400
     assert sizes.count() >= 20
 
@@ -66,9 +66,43 @@ def test_number_rows_by_time(spark, kind):
     assert number_rows(df, ["t", "i"], rows_per_bucket=30, keep_below=77).count() == 77
 
 
-def test_text_keys_are_refused(spark):
-    with pytest.raises(TypeError):
-        number_rows(spark.createDataFrame([("a",)], "s string"), ["s"])
+def test_text_keys(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", "", None]), "x" * rng.randrange(4), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "s string, t string, i int").repartition(3)
+    assert len(check_numbering(number_rows(df, ["s", "t", "i"], rows_per_bucket=20), ["s", "t", "i"])) == 500
+    some = number_rows(df, ["s", "t", "i"], rows_per_bucket=20, keep_below=33)
+    assert len(check_numbering(some, ["s", "t", "i"])) == 33
+
+
+def test_equal_keys_get_positions_of_their_own(spark):
+    df = spark.createDataFrame([(1, "x")] * 50 + [(None, "y")] * 50, "a long, b string")
+    numbered = number_rows(df, ["a"], rows_per_bucket=10)
+    assert len(check_numbering(numbered, ["a"])) == 100
+
+
+@pytest.mark.parametrize("shape", ["bulk load", "hot second", "hot first and second", "text"])
+def test_no_bucket_is_large_whatever_key_is_hot(spark, shape):
+    """Half of the rows share a value of a key that is not the last one."""
+    half = F.col("id") % 2 == 0
+    wide = F.xxhash64("id")
+    keys = {
+        "bulk load": [F.lit(1), F.when(half, F.lit(10**15)).otherwise(wide), F.col("id")],
+        "hot second": [F.col("id") % 2 * 0, F.when(half, F.lit(2**62)).otherwise(wide), F.col("id")],
+        "hot first and second": [F.when(half, F.lit(2**61)).otherwise(wide), F.when(half, F.lit(-(2**61))).otherwise(wide), F.col("id")],
+        "text": [F.lit("s"), F.when(half, F.lit("hot")).otherwise(F.hex(wide)), F.lpad(F.col("id").cast("string"), 9, "0")],
+    }[shape]
+    df = spark.range(20_000).select(*[k.alias(n) for k, n in zip(keys, "abc")])
+    sizes = ordered._ranged(df, ["a", "b", "c"], 500).groupBy("__bucket").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 1000
+
+
+def test_rows_without_a_group_are_split(spark):
+    df = spark.range(3000).selectExpr("CAST(NULL AS long) AS g", "id AS i")
+    cells = ordered._split_groups(df, ["g"], ["i"], 100).groupBy("g", "__bucket").count()
+    assert cells.agg(F.max("count")).first()[0] <= 200
+    got = number_within(df, ["g"], ["i"], "nth", max_group_rows=100)
+    assert got.filter("nth = i + 1").count() == 3000
 
 
 def test_empty_table(spark):
@@ -138,7 +172,7 @@ def test_a_hot_value_in_a_wide_leading_key_is_split(spark, hot):
         for i in range(3000)
     ] + [(None, i) for i in range(3000, 3010)]
     df = spark.createDataFrame(rows, "a long, b long").repartition(4)
-    sizes = ordered._range_buckets(df, ["a", "b"], 100).groupBy("__bucket").count()
+    sizes = ordered._ranged(df, ["a", "b"], 100).groupBy("__bucket").count()
     assert sizes.agg(F.max("count")).first()[0] < 400
     got = check_numbering(number_rows(df, ["a", "b"], rows_per_bucket=100), ["a", "b"])
     assert len(got) == 3010

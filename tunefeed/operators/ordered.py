@@ -1,8 +1,10 @@
 """Numbering and look-back over ordered rows, without a single-task window.
 
-Rows are cut into buckets of similar size along the order. What a bucket needs
+Rows are ranged by all keys (``repartitionByRange``: any orderable type, every key
+counts), sorted and written once. A row's place in the written table, partition
+and row, then is a fact that every later read agrees on; what a partition needs
 from those before it (how many rows there are, or the last value) comes from a
-table with one row per bucket, so each window sees one bucket only.
+table with one row per partition, or per group and partition.
 """
 
 from __future__ import annotations
@@ -10,19 +12,17 @@ from __future__ import annotations
 import itertools
 import math
 
-import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunefeed.session import shared_path
+
 ROWS_PER_BUCKET = 1_000_000
 # Bounds what the driver and a broadcast hold: one number or row per bucket.
 MAX_BUCKETS = 100_000
-_SAMPLE_PER_BUCKET = 20
-# Fewer digits than this are not worth a key's place in the bucket number.
-_LEAST_DIGITS = 2**16
+_PLACE = "__place"
 _BUCKET = "__bucket"
 _OFFSET = "__offset"
 
@@ -36,53 +36,65 @@ def number_rows(
 ) -> DataFrame:
     """Add the dense 0-based position of each row in key order (NULLs last).
 
-    The keys together are unique; they are integers, dates or timestamps. The
-    bucket sizes come from a first pass over the key columns; then the data is
-    shuffled once, by bucket. With ``keep_below`` only positions under it are
-    kept: buckets beyond it are dropped before the shuffle, and a bound on the
-    leading key goes to the scan. ``df`` must give the same rows on each read.
+    Keys are of any orderable type. Rows with equal keys get positions of their
+    own, in an order that is fixed once the call returns. The data is shuffled
+    once and written to the shared folder. With ``keep_below`` only positions
+    under it are kept: a pass over the keys alone finds their upper bound, and
+    rows beyond it are neither shuffled nor written; a bound on the leading key
+    goes to the scan.
     """
-    bucketed = _range_buckets(df, keys, rows_per_bucket)
-    sizes = (
-        bucketed.groupBy(_BUCKET)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count(keys[0]).alias("n_keyed"),
-            F.max(keys[0]).cast("string").alias("top"),
-        )
-        .orderBy(_BUCKET)
-        .collect()  # at most MAX_BUCKETS rows
-    )
-    starts = list(itertools.accumulate((r["n"] for r in sizes), initial=0))[:-1]
     if keep_below is not None:
-        needed = sum(start < keep_below for start in starts)
-        bounded = _below_bound(bucketed, keys[0], sizes[:needed]) if needed < len(sizes) else None
-        bucketed = bucketed if bounded is None else bounded
-        sizes, starts = sizes[:needed], starts[:needed]
+        df = _bounded(df, keys, rows_per_bucket, keep_below)
+    ranged = _ranged(df, keys, rows_per_bucket)
+    sizes = ranged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).orderBy(_BUCKET).collect()
+    starts = list(itertools.accumulate((r["n"] for r in sizes), initial=0))[:-1]
+    # At most MAX_BUCKETS rows of two numbers.
     offsets = df.sparkSession.createDataFrame(
         pa.table(
             {
-                _BUCKET: pa.array([r[_BUCKET] for r in sizes], pa.int32()),
+                _BUCKET: pa.array([r[_BUCKET] for r in sizes], pa.int64()),
                 _OFFSET: pa.array(starts, pa.int64()),
             }
         )
     )
-    in_bucket = Window.partitionBy(_BUCKET).orderBy(*_ascending(keys))
-    numbered = bucketed.join(F.broadcast(offsets), _BUCKET).withColumn(
-        out, F.col(_OFFSET) + F.row_number().over(in_bucket) - 1
-    )
+    row = F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = ranged.join(F.broadcast(offsets), _BUCKET).withColumn(out, F.col(_OFFSET) + row)
     if keep_below is not None:
         numbered = numbered.filter(F.col(out) < keep_below)
-    return numbered.drop(_BUCKET, _OFFSET)
+    return numbered.drop(_BUCKET, _OFFSET, _PLACE)
+
+
+def _bounded(df: DataFrame, keys: list[str], rows_per_bucket: int, keep_below: int) -> DataFrame:
+    """The rows up to the end of the key range that position ``keep_below`` - 1 is in."""
+    parts = _ranged(df.select(*keys), keys, rows_per_bucket)
+    last = F.max_by(F.struct(*[_plain(df, k).alias(k) for k in keys]), _PLACE).alias("last")
+    sizes = parts.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"), last).orderBy(_BUCKET)
+    before = 0
+    for r in sizes.collect():  # at most MAX_BUCKETS rows
+        before += r["n"]
+        if before >= keep_below:
+            break
+    else:
+        return df
+    bound = [_literal(df.schema[k].dataType, r["last"][k]) for k in keys]
+    ends = F.struct(*[c for b in bound for c in (F.isnull(b), b)])
+    below = df.filter(F.struct(*_comparable(keys)) <= ends)
+    if r["last"][keys[0]] is not None:
+        below = below.filter(F.col(keys[0]) <= bound[0])
+    return below
 
 
-def _below_bound(bucketed: DataFrame, key: str, sizes: list) -> DataFrame | None:
-    """Filter on the largest leading key of the buckets, when that is safe."""
-    kind = bucketed.schema[key].dataType
-    if isinstance(kind, T.TimestampType) or any(r["n"] != r["n_keyed"] for r in sizes):
-        return None
-    # Buckets rise with the keys: the last one holds the largest leading key.
-    return bucketed.filter(F.col(key) <= F.lit(sizes[-1]["top"]).cast(kind))
+def _plain(df: DataFrame, key: str) -> Column:
+    """A key as text from which ``_literal`` makes the same value again."""
+    if isinstance(df.schema[key].dataType, T.TimestampType):
+        return F.unix_micros(key).cast("string")
+    return F.col(key).cast("string")
+
+
+def _literal(kind: T.DataType, text: str | None) -> Column:
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(text).cast("bigint"))
+    return F.lit(text).cast(kind)
 
 
 def number_within(
@@ -93,17 +105,14 @@ def number_within(
     max_group_rows: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group, in ``order``."""
-    split = _split_large_groups(df, group, order, max_group_rows)
+    split = _split_groups(df, group, order, max_group_rows)
     if split is None:
         nth = F.row_number().over(Window.partitionBy(*group).orderBy(*_ascending(order)))
         return df.withColumn(out, nth.cast("bigint"))
-    window = Window.partitionBy(*group, _BUCKET).orderBy(*_ascending(order))
-    before = (
-        Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    window = Window.partitionBy(*group, _BUCKET).orderBy(_PLACE)
+    before = Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        split.filter(F.col(_BUCKET) >= 0)
-        .groupBy(*group, _BUCKET)
+        split.groupBy(*group, _BUCKET)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(*group, _BUCKET, F.sum("n").over(before).alias(_OFFSET))
     )
@@ -111,7 +120,7 @@ def number_within(
     return (
         _join_cells(numbered, offsets, group)
         .withColumn(out, F.coalesce(_OFFSET, F.lit(0)) + F.col(out))
-        .drop(_BUCKET, _OFFSET)
+        .drop(_BUCKET, _OFFSET, _PLACE)
     )
 
 
@@ -124,16 +133,15 @@ def previous_within(
     max_group_rows: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Add ``value`` of the preceding row of the same group, NULL on the first."""
-    split = _split_large_groups(df, group, order, max_group_rows)
+    split = _split_groups(df, group, order, max_group_rows)
     if split is None:
         return df.withColumn(
             out, F.lag(value).over(Window.partitionBy(*group).orderBy(*_ascending(order)))
         )
-    window = Window.partitionBy(*group, _BUCKET).orderBy(*_ascending(order))
+    window = Window.partitionBy(*group, _BUCKET).orderBy(_PLACE)
     tails = (
-        split.filter(F.col(_BUCKET) >= 0)
-        .groupBy(*group, _BUCKET)
-        .agg(F.max_by(value, F.struct(*_comparable(order))).alias("tail"))
+        split.groupBy(*group, _BUCKET)
+        .agg(F.max_by(value, _PLACE).alias("tail"))
         .select(
             *group,
             _BUCKET,
@@ -146,190 +154,57 @@ def previous_within(
     return (
         _join_cells(looked, tails, group)
         .withColumn(out, F.when(F.col("__first"), F.col(_OFFSET)).otherwise(F.col(out)))
-        .drop(_BUCKET, _OFFSET, "__first")
+        .drop(_BUCKET, _OFFSET, _PLACE, "__first")
     )
 
 
-def _split_large_groups(
+def _split_groups(
     df: DataFrame, group: list[str], order: list[str], max_group_rows: int
 ) -> DataFrame | None:
     """None when no group is larger than ``max_group_rows``: a plain window will
-    do. Else the rows with a bucket number, which is -1 in all smaller groups.
-
-    No more than ``rows / limit`` groups can be larger than the limit, which
-    bounds the broadcast below. Rows without a group key are not split.
+    do. Else the rows ranged by group and order, so that no range is much larger
+    than the limit. Rows without a group key are a group like others.
     """
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    biggest, rows = counts.agg(F.max("n"), F.sum("n")).first()
+    biggest = counts.agg(F.max("n")).first()[0]
     if biggest is None or biggest <= max_group_rows:
         return None
-    limit = max(max_group_rows, rows // MAX_BUCKETS)
-    found = counts.filter(F.col("n") > limit).select(*group).toArrow()
-    hot = df.sparkSession.createDataFrame(found).withColumn("__hot", F.lit(True))
-    bucketed = _range_buckets(df, order, limit)
-    return (
-        bucketed.join(F.broadcast(hot), group, "left")
-        .withColumn(_BUCKET, F.when(F.col("__hot"), F.col(_BUCKET)).otherwise(F.lit(-1)))
-        .drop("__hot")
-    )
+    return _ranged(df, [*group, *order], max_group_rows)
 
 
 def _join_cells(df: DataFrame, cells: DataFrame, group: list[str]) -> DataFrame:
     """Bring one value per (group, bucket) to rows that already lie that way."""
-    return df.join(cells, [*group, _BUCKET], "left")
+    names = {c: f"__cell_{i}" for i, c in enumerate([*group, _BUCKET])}
+    cells = cells.withColumnsRenamed(names)
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    return df.join(cells, same, "left").drop(*names.values())
 
 
-def _range_buckets(df: DataFrame, keys: list[str], rows_per_bucket: int) -> DataFrame:
-    """Add ``__bucket``, a function of the keys that never falls as they rise.
+def _ranged(df: DataFrame, keys: list[str], rows_per_bucket: int) -> DataFrame:
+    """The rows as a written table, with ``__bucket``, which never falls as the
+    keys rise, and ``__place``, which rises with them.
 
-    Cut points are quantiles of a sample of the keys, held as constants in the
-    plan: a task that runs again, or a second read of the table, puts each row
-    into the same bucket. The sample shifts bucket sizes only. All keys count,
-    so many rows with one leading key spread over buckets by the next key.
+    The borders come from a sample that Spark takes; they shift bucket sizes only.
+    Rows with equal keys are told apart by where they were read, so they spread too.
     """
-    numbers = {k: _key_number(df, k) for k in keys}
-    bounds = df.agg(
-        F.count(F.lit(1)),
-        *[f(c) for c in numbers.values() for f in (F.min, F.max)],
-    ).first()
-    rows, lows, highs = bounds[0], bounds[1::2], bounds[2::2]
-    if not rows:
-        return df.withColumn(_BUCKET, F.lit(0))
     shuffle_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = min(MAX_BUCKETS, max(shuffle_tasks, math.ceil(rows / rows_per_bucket)))
-    ranges = [(c, lo, hi) for c, lo, hi in zip(numbers.values(), lows, highs) if lo is not None]
-    digits = _digits(ranges, 2**53)
-    scored = df.withColumn("__score", _combine(digits))
-    cuts = _cuts(scored, rows, n)
-    if len(cuts) < n - 1 and len(digits) < len(ranges):
-        # Some value is so common that it needs the keys left out so far.
-        scored = _spread_common_values(df, ranges, rows, n)
-        cuts = _cuts(scored, rows, n)
-    splits = [-math.inf, *(cuts or [0.0]), math.inf]
-    bucketizer = Bucketizer(splits=splits, inputCol="__score", outputCol=_BUCKET)
-    return (
-        bucketizer.transform(scored)
-        .withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
-        .drop("__score")
+    n = min(MAX_BUCKETS, max(shuffle_tasks, math.ceil(df.count() / rows_per_bucket)))
+    ascending = [*_ascending(keys), F.col(_PLACE)]
+    path = shared_path(df.sparkSession, "ordered")
+    (
+        df.withColumn(_PLACE, F.monotonically_increasing_id())
+        .repartitionByRange(n, *ascending)
+        .sortWithinPartitions(*ascending)
+        .withColumn(_PLACE, F.monotonically_increasing_id())
+        .write.parquet(path)
     )
-
-
-def _cuts(scored: DataFrame, rows: int, n: int) -> list[float]:
-    """Up to n - 1 distinct scores that part the rows about evenly."""
-    sample = _sample(scored, F.col("__score"), rows, n)
-    if not len(sample):
-        return []
-    return np.unique(np.quantile(sample, np.arange(1, n) / n)).tolist()
-
-
-def _sample(df: DataFrame, number: Column, rows: int, n: int) -> np.ndarray:
-    """About ``_SAMPLE_PER_BUCKET * n`` of the numbers, NULLs left out."""
-    numbers = df.select(number.alias("number"))
-    wanted = _SAMPLE_PER_BUCKET * n
-    if rows > wanted:
-        numbers = numbers.sample(wanted / rows, seed=7)
-    return numbers.toArrow().column(0).drop_null().to_numpy()
-
-
-def _spread_common_values(df: DataFrame, ranges: list[tuple], rows: int, n: int) -> DataFrame:
-    """A score for a leading key that is wide and has very common values.
-
-    Each common value gets a class of its own, where the other keys decide; the
-    classes between them are ordered by the leading key.
-    """
-    lead = ranges[0][0]
-    sample = _sample(df, lead, rows, n)
-    values, counts = np.unique(sample, return_counts=True)
-    # Doubles tell classes apart; of values with one double the commonest counts.
-    common: dict[float, int] = {}
-    for i in np.argsort(counts):
-        if counts[i] * n > len(sample):
-            common[float(values[i])] = int(values[i])
-    borders = sorted({b for v in common for b in (v, float(np.nextafter(v, math.inf)))})
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *(borders or [0.0]), math.inf],
-        inputCol="__lead",
-        outputCol="__class",
-        handleInvalid="keep",  # NaN stands for NULL and makes one more class, the last
-    )
-    places = sorted(common)
-    known = df.sparkSession.createDataFrame(
-        pa.table(
-            {
-                "__class": pa.array([borders.index(v) + 1 for v in places], pa.int64()),
-                "__common": pa.array([common[v] for v in places], pa.int64()),
-            }
-        )
-    )
-    as_double = F.coalesce(lead.cast("double"), F.lit(math.nan))
-    classed = bucketizer.transform(df.withColumn("__lead", as_double))
-    classed = classed.withColumn("__class", F.col("__class").cast("bigint"))
-    room = 2**30
-    value = F.col("__common")
-    inside = (
-        F.when(value.isNull(), _whole(_digits(ranges[:1], room)))
-        .when(lead < value, F.lit(0))
-        .when(lead > value, F.lit(room + 1))
-        .otherwise(_whole(_digits(ranges[1:], room)) + 1)
-    )
-    return (
-        classed.join(F.broadcast(known), "__class", "left")
-        .withColumn("__score", (F.col("__class") * (room + 2) + inside).cast("double"))
-        .drop("__lead", "__class", "__common")
-    )
-
-
-def _key_number(df: DataFrame, key: str) -> Column:
-    kind = df.schema[key].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.col(key).cast("bigint")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(key).cast("bigint")
-    if isinstance(kind, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_diff("MICROSECOND", epoch, F.col(key))
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(key)
-    raise TypeError(f"order by integers, dates or timestamps, not {kind.simpleString()} ({key})")
-
-
-def _digits(ranges: list[tuple[Column, int, int]], room: int) -> list[tuple]:
-    """(key, unit, lowest digit, number of digits) per key, as far as room goes.
-
-    The keys become digits of one number below ``room``, which sorts as they do,
-    NULLs last, and is exact as a DOUBLE. A key too wide for the room left is
-    divided by a unit: close values then tie, which only moves bucket borders,
-    and no further key is used.
-    """
-    digits = []
-    for key, lo, hi in ranges:
-        if digits and room < _LEAST_DIGITS:
-            break
-        unit = -(-(hi - lo + 2) // (room - 3))
-        low, high = (abs(v) // unit * (-1 if v < 0 else 1) for v in (lo, hi))
-        digits.append((key, unit, low, high - low + 2))
-        if unit > 1:
-            break  # keys that tie here must not be told apart by the next key
-        room //= high - low + 2
-    return digits
-
-
-def _combine(digits: list[tuple]) -> Column:
-    return _whole(digits).cast("double")
-
-
-def _whole(digits: list[tuple]) -> Column:
-    score = F.lit(0).cast("bigint")
-    for key, unit, low, count in digits:
-        scaled = key if unit == 1 else F.call_function("div", key, F.lit(unit).cast("bigint"))
-        digit = F.coalesce(scaled - F.lit(low).cast("bigint"), F.lit(count - 1).cast("bigint"))
-        score = score * F.lit(count).cast("bigint") + digit
-    return score
+    stored = df.sparkSession.read.parquet(path)
+    return stored.withColumn(_BUCKET, F.shiftright(_PLACE, 33))
 
 
 def _comparable(keys: list[str]) -> list[Column]:
     """Fields of a struct that compares as ``_ascending`` sorts."""
-    return [c for k in keys for c in (F.isnull(k).alias(f"no_{k}"), F.col(k))]
+    return [c for k in keys for c in (F.isnull(k), F.col(k))]
 
 
 def _ascending(keys: list[str]) -> list[Column]:

@@ -24,20 +24,30 @@ def load_split(
 ) -> DataFrame:
     """Parquet dataset ``base/dataset``; a split is a ``split=`` directory of it.
 
-    The filter on the directory name prunes the listing: other splits are not read.
+    The filter on the directory name prunes the listing: other splits are not
+    read. A data set without such directories is one split, whatever its name.
     """
     df = spark.read.parquet(f"{base.rstrip('/')}/{dataset}")
-    return df if split is None else df.filter(F.col("split") == split).drop("split")
+    if split is None or "split" not in df.columns:
+        return df
+    return df.filter(F.col("split") == split).drop("split")
 
 
 def read_jsonl(
-    spark: SparkSession, path: str | list[str], schema: T.StructType = EXAMPLE_SCHEMA
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:
-    """JSON lines under an explicit schema (no extra pass to infer one).
+    """JSON lines with all their columns; a broken line stops the job.
 
-    A field that is absent is NULL; a broken line stops the job.
+    Without a schema the types are inferred over all lines, which reads the file
+    once more. A field that is absent is NULL; ``EXAMPLE_SCHEMA``'s columns are
+    always there.
     """
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    reader = spark.read.option("mode", "FAILFAST")
+    if schema is not None:
+        return reader.schema(schema).json(path)
+    found = reader.json(path)
+    absent = [f for f in EXAMPLE_SCHEMA if f.name not in found.columns]
+    return found.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -51,7 +61,7 @@ def resolve_source(
     dataset: str,
     jsonl_path: str = "",
     split: str | None = "train",
-    schema: T.StructType = EXAMPLE_SCHEMA,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """The JSON-lines path when given, else the named dataset."""
     if jsonl_path:

@@ -10,6 +10,7 @@ from tunefeed.operators.metrics import (
     eval_metrics,
     explode_metrics,
     final_metrics,
+    metric_key_rejects,
     metric_rejects,
     rank0_only,
     time_per_step,
@@ -63,11 +64,11 @@ def test_a_broken_record_is_rejected_alone(spark):
 
 
 def test_eval_final_and_rank(spark):
-    rows = [(1, 10, 0, "train", '{"loss": 1}'), (1, 10, 0, "eval", '{"loss": 2, "s": "x"}'), (1, 20, 1, "train", '{"loss": 3}')]
+    rows = [(1, 10, 0, "train", '{"loss": 1}'), (1, 10, 0, "eval", '{"loss": 2, "s": "x"}'), (1, 20, 1, "train", '{"loss": 3}'), (1, 20, 0, "final", '{"loss": 4, "t": 5}')]
     df = spark.createDataFrame(rows, "run_id long, step long, global_rank int, kind string, logs string")
     assert [tuple(r) for r in eval_metrics(df).collect()] == [(1, 10, "eval_loss", 2.0)]
-    assert rank0_only(df).count() == 2
-    assert {tuple(r) for r in final_metrics(df).collect()} == {(1, "loss", v, None) for v in (1.0, 2.0, 3.0)}
+    assert rank0_only(df).count() == 3
+    assert {tuple(r) for r in final_metrics(df).collect()} == {(1, "loss", 4.0, None), (1, "t", 5.0, None)}
 
 
 @pytest.mark.parametrize("logging_steps, divisor", [(10, 10), (1, 1), (0, 1), (-3, 1)])
@@ -76,9 +77,9 @@ def test_time_per_step(spark, logging_steps, divisor, limit):
     start = dt.datetime(2024, 3, 10, 1, 59, 58)
     rows = [(1, i, start + dt.timedelta(milliseconds=1500 * i)) for i in range(20)]
     rows += [(2, 100 + i, start + dt.timedelta(minutes=i)) for i in range(3)]
-    df = spark.createDataFrame(rows, "run_id long, event_id long, logged_at timestamp_ntz")
+    df = spark.createDataFrame(rows, "run_id long, step long, logged_at timestamp_ntz")
     timed = time_per_step(df, logging_steps, limit)
-    got = {r["event_id"]: r["time_per_step"] for r in timed.collect()}
+    got = {r["step"]: r["time_per_step"] for r in timed.collect()}
     assert got[0] is None and got[100] is None
     assert all(got[i] == 1.5 / divisor for i in range(1, 20))
     assert all(got[i] == 60.0 / divisor for i in (101, 102))
@@ -92,3 +93,26 @@ def test_cadence(spark):
     assert [r["step"] for r in rows if r["save_due"]] == [0, 200, 400, 600, 800, 1000]
     assert [r["step"] for r in rows if r["upload_due"]] == list(range(0, 1001, 100))
     assert cadence(spark.range(25).select(F.col("id").alias("step"))).filter("log_due").count() == 3
+
+
+def test_zero_cadence_counts_as_one(spark):
+    row = cadence(spark.range(7, 8).withColumnRenamed("id", "step"), log_every=0, save_every=-2).first()
+    assert row["log_due"] and row["save_due"]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['{"loss": 1.0}{"loss": 2.0}', '{"loss": 1.0} garbage', '{"a": 1}, {"a": 2}', '{"a": 1}] x', '{"a": 1}]', '{"a": 1}, "end": 1', '{"a": 1}} ', '{"a": 1', '] {"a": 1}', '{"a": 1},', '{"a": 1},"x":{"b":2}'],
+)
+def test_text_after_the_object_is_a_reject(spark, text):
+    df = log_frame(spark, [text, '{"b": 2}'])
+    assert exploded(df) == {(1, "b"): 2.0}
+    assert [(r["step"], r["reason"]) for r in metric_rejects(df).collect()] == [(0, "not JSON")]
+
+
+def test_keys_are_rejected_alone(spark):
+    df = log_frame(spark, ['{"a": 1, "b": 2, "a": 3}', '{"big": 1%s, "x": 4, "i": Infinity, "e": 1e400}' % ("0" * 400), '{"s": "t", "s": "u"}'])
+    assert exploded(df) == {(0, "b"): 2.0, (1, "x"): 4.0, (1, "i"): INF, (1, "e"): INF}
+    got = sorted((r["step"], r["key"], r["reason"]) for r in metric_key_rejects(df).collect())
+    assert got == [(0, "a", "duplicate key")] * 2 + [(1, "big", "out of range")]
+    assert metric_rejects(df).count() == 0

@@ -10,9 +10,9 @@ USER_ROOT = "/Workspace/Users"
 CHECKPOINT_PREFIX = "/checkpoint-"
 
 
-def user_path(name: Column, user: Column | None = None) -> Column:
-    """``/Workspace/Users/<user>/<name>``, by default for the session's user."""
-    return F.concat_ws("/", F.lit(USER_ROOT), F.current_user() if user is None else user, name)
+def user_path(name: Column, user: Column | None = None, root: str = USER_ROOT) -> Column:
+    """``<root>/<user>/<name>``, by default for the session's user."""
+    return F.concat_ws("/", F.lit(root), F.current_user() if user is None else user, name)
 
 
 def checkpoint_path(output_dir: Column, step: Column) -> Column:

@@ -25,12 +25,49 @@ _NUMERIC = r"^(BIGINT|DOUBLE|FLOAT|BOOLEAN|DECIMAL\(\d+,\d+\))$"
 _STRICT_JSON = {"allowSingleQuotes": "false"}
 
 
-def parse_logs(logs: Column) -> Column:
-    """JSON object -> map of variants; NULL when it is no object or is broken.
+def _parsed(df: DataFrame, logs: str) -> DataFrame:
+    """Add ``__record``, the JSON object as a map of variants (a key twice is there
+    twice), and ``__whole``, whether the text is that object and nothing else.
 
-    NaN and Infinity, which Python writes unquoted, are read as such.
+    NaN and Infinity, which Python writes unquoted, are read as such. Spark's reader
+    stops where its value ends, so the text is read inside brackets, where a second
+    value shows, and inside an object, where anything that closes the brackets does.
     """
-    return F.from_json(logs, "map<string,variant>", _STRICT_JSON)
+    text = F.col(logs)
+    listed = F.from_json(
+        F.concat(F.lit("["), text, F.lit("]")), "array<map<string,variant>>", _STRICT_JSON
+    )
+    field = F.from_json(
+        F.concat(F.lit('{"record":'), text, F.lit(',"end":1}')), "end int", _STRICT_JSON
+    )
+    read = df.withColumns({"__list": listed, "__whole": F.coalesce(field["end"] == 1, F.lit(False))})
+    one = F.col("__whole") & (F.size("__list") == 1)
+    return read.withColumn("__record", F.when(one, F.get("__list", F.lit(0)))).drop("__list")
+
+
+def _entries(df: DataFrame, keep: tuple[str, ...], logs: str) -> DataFrame:
+    """``keep``, ``key``, ``value`` and ``reason`` (NULL: good) of the numeric entries."""
+    keys = F.map_keys("__record")
+    twice = F.when(
+        F.size(F.array_distinct(keys)) < F.size(keys),
+        F.filter(keys, lambda k: F.size(F.filter(keys, lambda other: other == k)) > 1),
+    )
+    # explode_outer, because explode would have the optimizer parse each record
+    # a second time to test that the map is not empty.
+    rows = _parsed(df, logs).select(
+        *keep, F.col(logs).alias("__logs"), twice.alias("__twice"), F.explode_outer("__record").alias("key", "entry")
+    )
+    numeric = F.schema_of_variant("entry").rlike(_NUMERIC)
+    value = F.try_variant_get("entry", "$", "double")
+    # Text of the number, looked at only where the value is infinite.
+    written = F.from_json("__logs", "map<string,string>", _STRICT_JSON)[F.col("key")]
+    too_large = F.when(F.abs(value) == float("inf"), written.rlike(r"^-?[0-9]+$"))
+    reason = F.when(F.array_contains("__twice", F.col("key")), F.lit("duplicate key")).when(
+        too_large, F.lit("out of range")
+    )
+    return rows.filter(F.col("key").isNotNull() & numeric).select(
+        *keep, "key", value.alias("value"), reason.alias("reason")
+    )
 
 
 def explode_metrics(
@@ -39,29 +76,34 @@ def explode_metrics(
     """One row (``key``, ``value`` DOUBLE) per numeric entry of each record.
 
     Numbers and booleans count; strings (``"1.5"`` too), lists, objects and
-    nulls do not. Broken records give no row here; see ``metric_rejects``.
-    Stateless, so it serves batch and stream alike.
+    nulls do not. Broken records give no row here, see ``metric_rejects``; nor do
+    keys that ``metric_key_rejects`` has. Stateless, so it serves batch and stream.
     """
-    # explode_outer, because explode would have the optimizer parse each record
-    # a second time to test that the map is not empty.
-    entries = df.select(*keep, F.explode_outer(parse_logs(F.col(logs))).alias("key", "entry"))
-    numeric = F.schema_of_variant("entry").rlike(_NUMERIC)
-    return entries.filter(F.col("key").isNotNull() & numeric).select(
-        *keep, "key", F.try_variant_get("entry", "$", "double").alias("value")
-    )
+    return _entries(df, keep, logs).filter("reason IS NULL").drop("reason")
+
+
+def metric_key_rejects(
+    df: DataFrame, keep: tuple[str, ...] = ("run_id", "step"), logs: str = "logs"
+) -> DataFrame:
+    """Numeric entries (``key``, ``reason``) that are no metric, though their record can
+    be read: a key that stands there twice (one row each time), and an integer beyond
+    what a double holds. The record's other keys are not affected.
+    """
+    return _entries(df, keep, logs).filter("reason IS NOT NULL").drop("value")
 
 
 def metric_rejects(df: DataFrame, logs: str = "logs") -> DataFrame:
     """Records that cannot be read, with the reason; no other record is affected.
 
-    A missing record (NULL or JSON ``null``) is empty, not broken.
+    A missing record (NULL or JSON ``null``) is empty, not broken. Text after the
+    object makes the record broken.
     """
     text = F.col(logs)
     absent = text.isNull() | (F.trim(text) == "null")
-    reason = F.when(
-        F.try_parse_json(text).isNotNull(), F.lit("not a JSON object")
-    ).otherwise(F.lit("not JSON"))
-    return df.filter(~absent & parse_logs(text).isNull()).withColumn("reason", reason)
+    other = ~F.ltrim(text).startswith("{") & F.try_parse_json(text).isNotNull()
+    reason = F.when(F.col("__whole") & other, F.lit("not a JSON object")).otherwise(F.lit("not JSON"))
+    rejected = _parsed(df, logs).filter(~absent & F.col("__record").isNull())
+    return rejected.withColumn("reason", reason).drop("__record", "__whole")
 
 
 def rank0_only(df: DataFrame, rank: str = "global_rank") -> DataFrame:
@@ -77,18 +119,19 @@ def eval_metrics(df: DataFrame, keep: tuple[str, ...] = ("run_id", "step")) -> D
 
 
 def final_metrics(df: DataFrame, keep: tuple[str, ...] = ("run_id",)) -> DataFrame:
-    """Metrics of the end of a run: they have no step."""
-    return explode_metrics(df, keep).withColumn("step", F.lit(None).cast("bigint"))
+    """Metrics of the records of kind ``final``, the end of a run: they have no step."""
+    return explode_metrics(df.filter(F.col("kind") == "final"), keep).withColumn("step", F.lit(None).cast("bigint"))
 
 
 def time_per_step(
     df: DataFrame,
     logging_steps: int = LOG_EVERY,
     max_run_rows: int = ROWS_PER_BUCKET,
-    tie_break: str = "event_id",
+    tie_break: str = "step",
 ) -> DataFrame:
     """Add ``time_per_step``: seconds since the run's previous record, over
-    ``logging_steps`` (at least 1). NULL on the first record of a run.
+    ``logging_steps`` (at least 1). NULL on the first record of a run. Records of
+    one time are in order of ``tie_break``. Records without a run are one run.
 
     A run of more than ``max_run_rows`` records is looked at in time slices.
     """
@@ -114,6 +157,9 @@ def cadence(
     save_every: int = SAVE_EVERY,
     upload_every: int = UPLOAD_EVERY,
 ) -> DataFrame:
-    """Add what is due at each step: ``log_due``, ``save_due``, ``upload_due``."""
+    """Add what is due at each step: ``log_due``, ``save_due``, ``upload_due``.
+
+    An interval below 1 counts as 1.
+    """
     due = {"log_due": log_every, "save_due": save_every, "upload_due": upload_every}
-    return df.withColumns({name: F.col(step) % every == 0 for name, every in due.items()})
+    return df.withColumns({name: F.col(step) % max(every, 1) == 0 for name, every in due.items()})

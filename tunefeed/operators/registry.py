@@ -14,8 +14,12 @@ SAVE_TOTAL_LIMIT = 2
 
 
 def checkpoints(logs: DataFrame, output_dir: Column, save_every: int = SAVE_EVERY) -> DataFrame:
-    """Manifest (``run_id``, ``step``, ``path``) of the checkpoints runs wrote."""
-    return logs.filter(F.col("step") % save_every == 0).select(
+    """Manifest (``run_id``, ``step``, ``path``) of the checkpoints runs wrote.
+
+    None is written before the first step; an interval below 1 counts as 1.
+    """
+    due = (F.col("step") > 0) & (F.col("step") % max(save_every, 1) == 0)
+    return logs.filter(due).select(
         "run_id", "step", checkpoint_path(output_dir, F.col("step")).alias("path")
     )
 
@@ -33,8 +37,8 @@ def checkpoint_retention(manifest: DataFrame, limit: int = SAVE_TOTAL_LIMIT) ->
 
 
 def missing_experiments(requested: DataFrame, existing: DataFrame) -> DataFrame:
-    """Names that are asked for and not there yet, each once."""
-    return requested.select("name").distinct().join(existing.select("name"), "name", "left_anti")
+    """Names that are asked for and not there yet, each once; NULL is no name."""
+    return requested.select("name").filter("name IS NOT NULL").distinct().join(existing.select("name"), "name", "left_anti")
 
 
 def get_or_create_experiments(requested: DataFrame, existing: DataFrame, path: str) -> DataFrame:

@@ -122,9 +122,18 @@ ORACLES: dict[str, str] = {
 SELECT CAST(p % 4 AS BIGINT) AS rank, count(*) AS n_rows, CAST(min(p) AS BIGINT) AS min_p,
        CAST(max(p) AS BIGINT) AS max_p, CAST(sum(length(text)) AS BIGINT) AS n_chars
 FROM fed GROUP BY p % 4""",
+    "feed_without_key": f"""WITH {_TRIPLE}, fed AS (
+  SELECT row_number() OVER () - 1 AS p, length({_rendered(_TRIPLE_LIST)}) AS n FROM v_triple)
+SELECT CAST(p // 32 + 1 AS BIGINT) AS step, count(*) AS n_rows, count(*) AS n_dealt,
+       CAST(min(p) AS BIGINT) AS min_p, (SELECT CAST(sum(n) AS BIGINT) FROM fed) AS n_chars
+FROM fed GROUP BY p // 32""",
     "artifact_manifest": """SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes,
        true AS hashed FROM documents GROUP BY lang""",
     "metric_stream": _metric_rows(),
+    "stream_rejects": f"""WITH {_LOGS} SELECT CASE event_id % 50 WHEN 0 THEN 'not JSON'
+       WHEN 1 THEN 'not a JSON object' ELSE 'broken line' END AS reason, count(*) AS n,
+       CASE WHEN event_id % 50 = 7 THEN 0 ELSE count(*) END AS n_steps
+FROM v_logs WHERE event_id % 50 IN (0, 1, 7) GROUP BY event_id % 50""",
     "clean_text": f"""WITH {_TRIPLE} SELECT conv_id, {_CLEAN['instruction']} AS instruction,
        {_CLEAN['input']} AS input, {_CLEAN['output']} AS output FROM v_triple""",
     "build_user_text": f"WITH {_TRIPLE} SELECT conv_id, {_USER} AS user_text FROM v_triple",
@@ -145,6 +154,8 @@ SELECT doc_id, CASE WHEN len(tokens) > 2048 THEN array_to_string(tokens[1:2048],
     "user_path": """SELECT c_name AS name, '/Workspace/Users' AS root, true AS is_user,
        c_name AS leaf FROM customer""",
     "number_rows": f"WITH {_TURNS} SELECT conv_id, turn, CAST(p AS BIGINT) AS p FROM numbered",
+    "number_rows_by_text": """SELECT lang, source, doc_id,
+       row_number() OVER (ORDER BY lang, source, doc_id) - 1 AS p FROM documents""",
     "assign_rank": f"""WITH {_TURNS} SELECT conv_id, turn, CAST(p AS BIGINT) AS p,
        CAST(p % 4 AS BIGINT) AS rank FROM numbered""",
     "assign_step": f"""WITH {_TURNS} SELECT conv_id, turn, CAST(p AS BIGINT) AS p, {_STEP}
@@ -183,6 +194,11 @@ FROM v_logs""",
     "metric_rejects": f"""WITH {_LOGS} SELECT event_id, run_id, CAST(step AS BIGINT) AS step,
        CASE event_id % 50 WHEN 0 THEN 'not JSON' ELSE 'not a JSON object' END AS reason
 FROM v_logs WHERE event_id % 50 < 2""",
+    "metric_key_rejects": f"""WITH {_LOGS}, twice AS (
+  SELECT *, 'k' AS key, 'duplicate key' AS reason FROM v_logs, range(2)
+  WHERE event_id % 40 = 3 AND k IS NOT NULL
+  UNION ALL SELECT *, 0, 'big', 'out of range' FROM v_logs WHERE event_id % 40 = 4)
+SELECT event_id, run_id, CAST(step AS BIGINT) AS step, key, reason FROM twice""",
     "metrics_past_rejects": _metric_rows("event_id % 50 > 4")
     + """ UNION ALL SELECT event_id, run_id, CAST(step AS BIGINT), 'loss', CAST(-1 AS DOUBLE)
 FROM v_logs WHERE event_id % 50 = 2""",

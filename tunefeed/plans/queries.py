@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunefeed.functions.chat import render_chat
@@ -26,6 +26,7 @@ from tunefeed.operators.training_text import (
     turns_to_text,
     with_messages,
 )
+from tunefeed.plans.jobs import prepare_feed
 from tunefeed.plans.views import (
     conversation_rows,
     damaged_log_rows,
@@ -36,7 +37,11 @@ from tunefeed.plans.views import (
 )
 from tunefeed.session import shared_path
 from tunefeed.sources import artifacts, datasets, feed
-from tunefeed.streaming.metric_stream import read_log_stream, write_metric_stream
+from tunefeed.streaming.metric_stream import (
+    read_log_stream,
+    write_metric_stream,
+    write_reject_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +96,19 @@ def feed_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way from JSON lines that have no key column, in one call."""
+    source, path = shared_path(spark, "source"), shared_path(spark, "feed")
+    datasets.write_jsonl(triple_rows(spark, sf_dir).drop("conv_id"), source)
+    rows = prepare_feed(spark, path, jsonl_path=source, plan=PLAN, max_length=10**9)
+    return rows.groupBy("step").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum((F.col("rank") == F.col("p") % PLAN.world_size).cast("bigint")).alias("n_dealt"),
+        F.min("p").alias("min_p"),
+        F.sum(F.sum(F.length("text"))).over(Window.partitionBy()).alias("n_chars"),
+    )
+
+
 def artifact_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "artifacts")
     rows = table(spark, sf_dir, "documents").select("text", "lang")
@@ -104,14 +122,29 @@ def artifact_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_path(spark, "stream")
-    log_rows(spark, sf_dir).write.json(f"{base}/logs")
-    stream = read_log_stream(spark, f"{base}/logs", max_files_per_trigger=4)
+    logs = log_rows(spark, sf_dir)
+    logs.write.json(f"{base}/logs")
+    stream = read_log_stream(spark, f"{base}/logs", logs.schema, max_files_per_trigger=4)
     keep = ("event_id", "run_id", "step")
     run = write_metric_stream(stream, f"{base}/metrics", f"{base}/checkpoint", keep)
     run.awaitTermination()
     return spark.read.parquet(f"{base}/metrics")
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged records as lines of which some are cut off."""
+    base = shared_path(spark, "stream")
+    logs = damaged_log_rows(spark, sf_dir)
+    line = F.to_json(F.struct(*logs.columns), {"ignoreNullFields": "false"})
+    cut = F.when(F.col("event_id") % 50 == 7, F.expr("substring(line, 1, length(line) - 5)"))
+    logs.select("event_id", line.alias("line")).select(F.coalesce(cut, "line")).write.text(f"{base}/logs")
+    stream = read_log_stream(spark, f"{base}/logs", logs.schema)
+    run = write_reject_stream(stream, f"{base}/rejects", f"{base}/checkpoint", ("run_id", "step"))
+    run.awaitTermination()
+    rows = spark.read.parquet(f"{base}/rejects")
+    return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.count("step").alias("n_steps"))
+
+
 # --- text, messages, chat
 
 
@@ -197,6 +230,11 @@ def number_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbered_turns(spark, sf_dir)
 
 
+def number_rows_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("lang", "source", "doc_id")
+    return number(rows, ["lang", "source", "doc_id"])
+
+
 def assign_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.assign_rank(_numbered_turns(spark, sf_dir), PLAN.world_size)
 
@@ -241,7 +279,7 @@ def explode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def time_per_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = metrics.rank0_only(log_rows(spark, sf_dir))
-    return metrics.time_per_step(own).select("event_id", "run_id", "step", "time_per_step")
+    return metrics.time_per_step(own, tie_break="event_id").select("event_id", "run_id", "step", "time_per_step")
 
 
 def rank0_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,8 +294,10 @@ def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def final_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last record of each run stands for its end-of-run metrics."""
-    last = log_rows(spark, sf_dir).groupBy("run_id").agg(F.max_by("logs", "step").alias("logs"))
-    return metrics.final_metrics(last)
+    logs = log_rows(spark, sf_dir)
+    last = logs.groupBy("run_id").agg(F.max_by("logs", "step").alias("logs"))
+    final = last.withColumn("kind", F.lit("final"))
+    return metrics.final_metrics(logs.select("run_id", "logs", "kind").unionAll(final))
 
 
 def cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,6 +317,18 @@ def metrics_past_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumn("value", F.nanvl("value", F.lit(-1.0)))
 
 
+def metric_key_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in which a key stands twice, or a number has 400 digits."""
+    residue = F.col("event_id") % 40
+    more = F.when(residue == 3, F.lit(',"k":7}')).when(
+        residue == 4, F.concat(F.lit(',"big":1'), F.repeat(F.lit("0"), F.lit(400)), F.lit("}"))
+    )
+    base = F.expr("substring(logs, 1, length(logs) - 1)")
+    logs = log_rows(spark, sf_dir)
+    damaged = logs.withColumn("logs", F.coalesce(F.concat(base, more), "logs"))
+    return metrics.metric_key_rejects(damaged, ("event_id", "run_id", "step"))
+
+
 def ckpt_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = registry.checkpoints(log_rows(spark, sf_dir), F.lit("out"))
     return registry.checkpoint_retention(manifest)
@@ -342,8 +394,10 @@ QUERIES: dict[str, Query] = {
     "load_split_pruned": load_split_pruned,
     "jsonl_roundtrip": jsonl_roundtrip,
     "feed_by_rank": feed_by_rank,
+    "feed_without_key": feed_without_key,
     "artifact_manifest": artifact_manifest,
     "metric_stream": metric_stream,
+    "stream_rejects": stream_rejects,
     "clean_text": clean_text_query,
     "build_user_text": build_user_text_query,
     "detect_shape": detect_shape_query,
@@ -357,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "cap_tokens": cap_tokens,
     "user_path": user_path_query,
     "number_rows": number_rows,
+    "number_rows_by_text": number_rows_by_text,
     "assign_rank": assign_rank,
     "assign_step": assign_step,
     "step_cap": step_cap,
@@ -369,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "final_metrics": final_metrics,
     "cadence": cadence,
     "metric_rejects": metric_rejects,
+    "metric_key_rejects": metric_key_rejects,
     "metrics_past_rejects": metrics_past_rejects,
     "ckpt_retention": ckpt_retention,
     "experiment_missing": experiment_missing,

@@ -106,7 +106,7 @@ def test_cap_tokens(spark, text, n, cut):
 
 def test_cap_tokens_takes_the_callers_tokenizer(spark):
     def make_encode():
-        return lambda s: list(s.encode())
+        return lambda texts: [list(s.encode()) for s in texts]
 
     df = spark.createDataFrame([("abcd",), ("é",), (None,)], "text string")
     rows = cap_tokens(df, 3, tokenizer=arrow_tokenizer(make_encode)).collect()
@@ -117,6 +117,32 @@ def test_cap_tokens_takes_the_callers_tokenizer(spark):
     ]
 
 
+def test_cap_tokens_with_a_library(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    model = tokenizers.models.WordLevel({"a": 0, "b": 1, "?": 2}, unk_token="?")
+    made = tokenizers.Tokenizer(model)
+    made.pre_tokenizer = tokenizers.pre_tokenizers.Whitespace()
+    saved = made.to_str()
+
+    def make_encode():
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(saved)
+        return lambda texts: [e.ids for e in library.encode_batch(texts)]
+
+    df = spark.createDataFrame([("a b c a",), (None,)], "text string")
+    rows = cap_tokens(df, 3, tokenizer=arrow_tokenizer(make_encode)).collect()
+    assert [(r["n_tokens"], r["input_ids"]) for r in rows] == [(4, [0, 1, 2]), (0, [])]
+
+
+def test_unknown_token_counts_pack_as_empty_rows(spark):
+    df = spark.createDataFrame([(0, 0, 5), (1, 0, None), (2, 0, 7)], "p long, rank long, n_tok long")
+    rows = pack_sequences(df, 10).orderBy("p", "block").collect()
+    assert [(r["p"], r["block"], r["block_pos"], r["piece_tokens"]) for r in rows] == [
+        (0, 0, 0, 5), (1, 0, 5, 0), (2, 0, 5, 5), (2, 1, 0, 2),
+    ]
+
+
 @pytest.mark.parametrize("shuffle", [True, False])
 def test_feed_has_one_directory_per_rank(spark, tmp_path, shuffle):
     path = str(tmp_path / "feed")

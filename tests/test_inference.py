@@ -46,3 +46,19 @@ def test_a_model_that_loses_prompts_fails(spark):
 
     with pytest.raises(Exception, match="texts for"):
         generate_batch(prompts(spark, 5).coalesce(1), lossy).collect()
+
+
+def test_batches_are_bounded_and_null_prompts_are_not_sent(spark):
+    def model():
+        def generate(texts, n):
+            assert len(texts) <= 3 and None not in texts
+            return [f" {len(texts)}" for _ in texts]
+
+        return generate
+
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else f"q{i}") for i in range(20)], "id long, prompt string")
+    rows = generate_batch(df.coalesce(1), lambda: model(), keep=("id",), batch_size=3).collect()
+    assert len(rows) == 20
+    for r in rows:
+        assert (r["completion"] is None) == (r["id"] % 4 == 0)
+        assert r["completion"] is None or r["completion"] == f"q{r['id']} 3"

@@ -16,7 +16,7 @@ SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), *EXAMPLE_SCHEMA.f
 
 def make_bytes_tokenizer():
     def make():
-        return lambda s: list(s.encode())
+        return lambda texts: [list(s.encode()) for s in texts]
 
     return arrow_tokenizer(make)
 

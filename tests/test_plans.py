@@ -27,7 +27,7 @@ def test_no_python_no_cross_join_no_single_task_exchange(spark, name):
         assert word not in plan, word
 
 
-@pytest.mark.parametrize("name", ["sft_text", "sft_text_keep", "render_chat", "to_messages", "explode_metrics", "number_rows", "cadence"])
+@pytest.mark.parametrize("name", ["sft_text", "sft_text_keep", "render_chat", "to_messages", "explode_metrics", "cadence"])
 def test_data_is_shuffled_once(spark, name):
     plan = physical(QUERIES[name](spark, SF_DIR))
     assert len(re.findall(r"(?<!Broadcast)Exchange ", plan)) == 1
@@ -58,11 +58,37 @@ def test_logs_are_parsed_once(spark):
 
 def test_step_cap_bounds_the_scan(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
-    plan = plan_batches(docs, ["doc_id"], BatchPlan(1, 1, 8, max_steps=2), rows_per_bucket=10)
-    assert re.search(r"PushedFilters: \[IsNotNull\(doc_id\), LessThanOrEqual\(doc_id,\d+\)", physical(plan))
+    made = []
+    ran = written_by(
+        spark, lambda: made.append(plan_batches(docs, ["doc_id"], BatchPlan(1, 1, 8, max_steps=2), rows_per_bucket=10))
+    )
+    plan = made[0]
+    assert re.search(r"PushedFilters: \[IsNotNull\(doc_id\), LessThanOrEqual\(doc_id,\d+\)", ran[-1])
     assert plan.count() == 16
 
 
 def test_retention_limits_rows_before_the_shuffle(spark):
     manifest = checkpoints(log_rows(spark, SF_DIR).repartition(4, "event_id"), F.lit("o"))
     assert physical(checkpoint_retention(manifest)).count("WindowGroupLimit") == 2
+
+
+def written_by(spark, call):
+    """Plans of the writes that run during the call: ordered rows are written at once."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    before = {store.executionsList().apply(i).executionId() for i in range(store.executionsList().size())}
+    call()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    every = store.executionsList()
+    new = [e for e in map(every.apply, range(every.size())) if e.executionId() not in before]
+    plans = [e.physicalPlanDescription() for e in sorted(new, key=lambda e: e.executionId())]
+    return [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p]
+
+
+def test_numbering_shuffles_rows_once_and_then_reads_what_it_wrote(spark):
+    """The exchange is in the job that writes the ordered rows, not in the plan that comes back."""
+    ran = written_by(spark, lambda: QUERIES["number_rows"](spark, SF_DIR))
+    assert len(ran) == 1
+    initial = ran[0].split("== Initial Plan ==")[-1]
+    assert "rangepartitioning(" in initial and "hashpartitioning(" not in ran[0]
+    assert not re.findall(r"(?<!Broadcast)Exchange ", physical(QUERIES["number_rows"](spark, SF_DIR)))

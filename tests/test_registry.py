@@ -71,3 +71,16 @@ def test_paths(spark):
     ).first()
     assert row["p"] == f"/Workspace/Users/{row['u']}/exp"
     assert (row["q"], row["c"]) == ("/Workspace/Users/me/exp", "/o/checkpoint-200")
+
+
+def test_no_checkpoint_at_step_0_and_no_null_name(spark):
+    from pyspark.sql import functions as F
+
+    from tunefeed.operators.registry import checkpoints, missing_experiments
+
+    logs = spark.createDataFrame([(1, 0), (1, 200), (1, 5)], "run_id long, step long")
+    assert [r["step"] for r in checkpoints(logs, F.lit("out")).collect()] == [200]
+    assert checkpoints(logs, F.lit("out"), save_every=0).count() == 2
+    asked = spark.createDataFrame([(None,), ("a",), ("b",)], "name string")
+    there = spark.createDataFrame([("b",)], "name string")
+    assert [r["name"] for r in missing_experiments(asked, there).collect()] == ["a"]

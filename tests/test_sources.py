@@ -82,18 +82,30 @@ def test_artifact_manifest(spark, tmp_path, folder):
     assert rows["model.bin"]["sha256"] == hashlib.sha256(b"abc").hexdigest()
 
 
-def test_large_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
-    from tunefeed.sources import artifacts
-
-    monkeypatch.setattr(artifacts, "MAX_CELL_BYTES", 4)
-    big = bytes(range(256)) * (40 << 10)  # more than one piece
-    for name, data in {"s": b"1234", "l 日": b"12345", "b": big}.items():
+def test_all_names_and_sizes_are_hashed_alike(spark, tmp_path):
+    files = {"s": b"1", "l 日": b"12345", "_extra.json": b"{}", ".gitattributes": b"x", "b.bin": bytes(range(256)) * (400 << 10), "empty": b""}
+    for name, data in files.items():
         (tmp_path / name).write_bytes(data)
     rows = artifact_manifest(spark, str(tmp_path), with_hash=True).collect()
-    got = {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in rows}
-    assert got == {
-        n: hashlib.sha256(d).hexdigest() for n, d in (("s", b"1234"), ("l 日", b"12345"), ("b", big))
+    assert {r["path"].rsplit("/", 1)[1]: (r["length"], r["sha256"]) for r in rows} == {
+        n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in files.items()
     }
+    assert all(r["modified"] is not None for r in rows)
+
+
+def test_other_stores_need_an_opener(spark, tmp_path):
+    (tmp_path / "f").write_bytes(b"abc")
+    with pytest.raises(ValueError, match="opener"):
+        artifact_manifest(spark, "dbfs:/x")
+    root = str(tmp_path)
+
+    def opener(path):
+        from pyarrow import fs
+
+        return fs.LocalFileSystem(), root + path.removeprefix("dbfs:/x")
+
+    row = artifact_manifest(spark, "dbfs:/x", with_hash=True, opener=opener).first()
+    assert (row["path"], row["sha256"]) == ("dbfs:/x/f", hashlib.sha256(b"abc").hexdigest())
 
 
 def test_listing_does_not_read_contents(spark, tmp_path):

@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The ASCII white space both regex dialects agree on.
 _SPACE = r" \t\n\r\f"
@@ -32,17 +31,27 @@ def first_space_tokens(text: Column, n: int) -> Column:
     return F.array_join(F.slice(space_pieces(text), 1, n), "")
 
 
-def arrow_tokenizer(make_encode: Callable[[], Callable[[str], list[int]]]) -> Callable:
-    """A column function text -> token ids around a tokenizer the caller brings.
+def arrow_tokenizer(make_encode: Callable[[], Callable[[list[str]], list[list[int]]]]) -> Callable:
+    """A column function (text, max_length) -> ``n_tokens`` and the first
+    ``max_length`` ``input_ids``, around a tokenizer the caller brings.
 
-    ``make_encode`` runs once per task and returns the encode function, so a
-    large vocabulary is loaded once and not per batch.
+    ``make_encode`` runs once per task and returns a function that encodes a list
+    of texts, such as a library's batch call; it is called once per Arrow batch.
+    NULL counts as "". Ids past ``max_length`` are counted and not sent back.
     """
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def encode_column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = make_encode()
-        for batch in batches:
-            yield batch.map(lambda s: list(encode(s if s is not None else "")))
-
-    return encode_column
+    def encoded(text: Column, max_length: int) -> Column:
+        @F.pandas_udf("n_tokens long, input_ids array<long>")
+        def encode_column(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            encode = make_encode()
+            for batch in batches:
+                ids = encode(["" if s is None else s for s in batch])
+                if len(ids) != len(batch):
+                    raise ValueError(f"tokenizer gave {len(ids)} lists for {len(batch)} texts")
+                yield pd.DataFrame(
+                    {"n_tokens": [len(i) for i in ids], "input_ids": [list(i[:max_length]) for i in ids]}
+                )
+
+        return encode_column(text)
+
+    return encoded

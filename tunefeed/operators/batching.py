@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tunefeed.functions.tokens import first_space_tokens, space_token_count
 from tunefeed.operators.ordered import ROWS_PER_BUCKET, number_rows
+from tunefeed.session import shared_path
 
 
 @dataclass(frozen=True)
@@ -85,7 +86,7 @@ def cap_tokens(
     df: DataFrame,
     max_length: int = 2048,
     text: str = "text",
-    tokenizer: Callable[[Column], Column] | None = None,
+    tokenizer: Callable[[Column, int], Column] | None = None,
 ) -> DataFrame:
     """Add ``n_tokens`` (before the cut) and keep the first ``max_length`` tokens.
 
@@ -98,9 +99,9 @@ def cap_tokens(
             F.col("n_tokens") > max_length, first_space_tokens(F.col(text), max_length)
         ).otherwise(F.col(text))
         return counted.withColumn(text, cut)
-    ids = df.withColumn("input_ids", tokenizer(F.col(text)))
-    return ids.withColumn("n_tokens", F.size("input_ids").cast("bigint")).withColumn(
-        "input_ids", F.slice("input_ids", 1, max_length)
+    encoded = df.withColumn("__encoded", tokenizer(F.col(text), max_length))
+    return encoded.select(
+        *df.columns, F.col("__encoded.input_ids"), F.col("__encoded.n_tokens")
     )
 
 
@@ -119,11 +120,15 @@ def pack_sequences(
     starts in the row) and ``piece_tokens``. Each block but a rank's last is
     full. A row of 0 tokens gives one empty piece.
 
-    Running sums are taken inside cells of ``rows_per_cell`` positions; a cell
-    starts from the total of those before it, so no task holds a whole rank.
-    Positions are dense, hence cells are of one size.
+    A NULL count is 0. Running sums are taken inside cells of ``rows_per_cell``
+    positions; a cell starts from the total of those before it, so no task holds a
+    whole rank. Positions are dense, hence cells are of one size. The rows are
+    written to the shared folder, as they are read for both.
     """
-    rows = df.withColumn("__cell", _div(F.col(position), rows_per_cell))
+    known = df.withColumn(tokens, F.coalesce(F.col(tokens).cast("bigint"), F.lit(0).cast("bigint")))
+    path = shared_path(df.sparkSession, "cells")
+    known.withColumn("__cell", _div(F.col(position), rows_per_cell)).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
     cells = rows.groupBy(rank, "__cell").agg(F.sum(tokens).alias("n"))
     before_cell = Window.partitionBy(rank).orderBy("__cell")
     starts = cells.select(

@@ -15,6 +15,9 @@ from tunefeed.functions.messages import system_turn, turn
 # Fixed value: new tokens a completion may have.
 MAX_NEW_TOKENS = 100
 
+# Prompts that the model gets at once.
+BATCH_SIZE = 8
+
 Generate = Callable[[list[str], int], list[str]]
 
 
@@ -34,12 +37,13 @@ def generate_batch(
     make_model: Callable[[], Generate],
     max_new_tokens: int = MAX_NEW_TOKENS,
     keep: tuple[str, ...] = (),
+    batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
     """``prompt`` -> ``completion``, the decoded text with the prompt in front.
 
     ``make_model`` runs once per task and returns ``generate(prompts,
-    max_new_tokens) -> continuations``; it is called with one Arrow batch at a
-    time (``spark.sql.execution.arrow.maxRecordsPerBatch`` sets its size).
+    max_new_tokens) -> continuations``; it is called with ``batch_size`` prompts
+    at most. A NULL prompt is not sent and has a NULL completion.
     """
     source = prompts.select(*keep, "prompt")
     schema = T.StructType([*source.schema.fields, T.StructField("completion", T.StringType())])
@@ -47,10 +51,15 @@ def generate_batch(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         generate = make_model()
         for batch in batches:
-            texts = batch["prompt"].tolist()
-            new = generate(texts, max_new_tokens)
-            if len(new) != len(texts):
-                raise ValueError(f"model gave {len(new)} texts for {len(texts)} prompts")
-            yield batch.assign(completion=[p + c for p, c in zip(texts, new)])
+            done: list[str | None] = [None] * len(batch)
+            asked = [(i, p) for i, p in enumerate(batch["prompt"]) if p is not None]
+            for first in range(0, len(asked), max(batch_size, 1)):
+                part = asked[first : first + max(batch_size, 1)]
+                new = generate([p for _, p in part], max_new_tokens)
+                if len(new) != len(part):
+                    raise ValueError(f"model gave {len(new)} texts for {len(part)} prompts")
+                for (i, p), c in zip(part, new):
+                    done[i] = p + c
+            yield batch.assign(completion=pd.Series(done, index=batch.index, dtype=object))
 
     return source.mapInPandas(run, schema)

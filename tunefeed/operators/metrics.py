@@ -25,24 +25,22 @@ _NUMERIC = r"^(BIGINT|DOUBLE|FLOAT|BOOLEAN|DECIMAL\(\d+,\d+\))$"
 _STRICT_JSON = {"allowSingleQuotes": "false"}
 
 
-def _parsed(df: DataFrame, logs: str) -> DataFrame:
-    """Add ``__record``, the JSON object as a map of variants (a key twice is there
-    twice), and ``__whole``, whether the text is that object and nothing else.
+def _record(logs: str) -> Column:
+    """The JSON object in ``logs`` as a map of variants (a key twice is there twice);
+    NULL when the text is anything but one object.
 
     NaN and Infinity, which Python writes unquoted, are read as such. Spark's reader
-    stops where its value ends, so the text is read inside brackets, where a second
-    value shows, and inside an object, where anything that closes the brackets does.
+    stops where its value ends, so the text stands in an object of two fields; the
+    second is named by a hash of the text, which the text cannot hold. More or fewer
+    fields show that it is not one value.
     """
     text = F.col(logs)
-    listed = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), "array<map<string,variant>>", _STRICT_JSON
-    )
-    field = F.from_json(
-        F.concat(F.lit('{"record":'), text, F.lit(',"end":1}')), "end int", _STRICT_JSON
-    )
-    read = df.withColumns({"__list": listed, "__whole": F.coalesce(field["end"] == 1, F.lit(False))})
-    one = F.col("__whole") & (F.size("__list") == 1)
-    return read.withColumn("__record", F.when(one, F.get("__list", F.lit(0)))).drop("__list")
+    end = F.concat(F.lit("end"), F.hex(F.xxhash64(text)))
+    wrapped = F.concat(F.lit('{"record":'), text, F.lit(',"'), end, F.lit('":{}}'))
+    read = F.from_json(wrapped, "map<string,map<string,variant>>", _STRICT_JSON)
+    # A filter keeps its argument in one place, so the text is parsed once.
+    one = F.filter(F.array(read), lambda m: (F.size(m) == 2) & F.map_contains_key(m, end))
+    return F.get(one, F.lit(0))["record"]
 
 
 def _entries(df: DataFrame, keep: tuple[str, ...], logs: str) -> DataFrame:
@@ -54,14 +52,15 @@ def _entries(df: DataFrame, keep: tuple[str, ...], logs: str) -> DataFrame:
     )
     # explode_outer, because explode would have the optimizer parse each record
     # a second time to test that the map is not empty.
-    rows = _parsed(df, logs).select(
-        *keep, F.col(logs).alias("__logs"), twice.alias("__twice"), F.explode_outer("__record").alias("key", "entry")
-    )
+    read = df.select(*keep, F.col(logs).alias("__logs"), F.explode_outer(F.array(_record(logs))).alias("__record"))
+    rows = read.select(*keep, "__logs", twice.alias("__twice"), F.explode_outer("__record").alias("key", "entry"))
     numeric = F.schema_of_variant("entry").rlike(_NUMERIC)
     value = F.try_variant_get("entry", "$", "double")
-    # Text of the number, looked at only where the value is infinite.
-    written = F.from_json("__logs", "map<string,string>", _STRICT_JSON)[F.col("key")]
-    too_large = F.when(F.abs(value) == float("inf"), written.rlike(r"^-?[0-9]+$"))
+    # An integer beyond a double is read as infinite; 309 digits or more show which.
+    named = F.concat(F.lit('"\\Q'), "key", F.lit('\\E"'))
+    long = r"\s*:\s*-?[0-9]{309,}\s*[,}]"
+    own = F.rlike("__logs", F.concat(named, F.lit(long))) | ~F.rlike("__logs", named)
+    too_large = F.when(F.abs(value) == float("inf"), F.col("__logs").rlike(long) & own)
     reason = F.when(F.array_contains("__twice", F.col("key")), F.lit("duplicate key")).when(
         too_large, F.lit("out of range")
     )
@@ -101,9 +100,8 @@ def metric_rejects(df: DataFrame, logs: str = "logs") -> DataFrame:
     text = F.col(logs)
     absent = text.isNull() | (F.trim(text) == "null")
     other = ~F.ltrim(text).startswith("{") & F.try_parse_json(text).isNotNull()
-    reason = F.when(F.col("__whole") & other, F.lit("not a JSON object")).otherwise(F.lit("not JSON"))
-    rejected = _parsed(df, logs).filter(~absent & F.col("__record").isNull())
-    return rejected.withColumn("reason", reason).drop("__record", "__whole")
+    reason = F.when(other, F.lit("not a JSON object")).otherwise(F.lit("not JSON"))
+    return df.filter(~absent & _record(logs).isNull()).withColumn("reason", reason)
 
 
 def rank0_only(df: DataFrame, rank: str = "global_rank") -> DataFrame:

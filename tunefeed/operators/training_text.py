@@ -111,8 +111,10 @@ def _gather_turns(
     ``gather_turns`` one shuffle gathers the turns. Beyond it a conversation is
     first gathered in parts of ``gather_turns`` turns, in different tasks, and
     only sorted parts meet. A conversation is one training row, so a row's size
-    limits it in the end; nothing is cut.
+    limits it in the end; nothing is cut. Turns without a key belong to no
+    conversation and are left out.
     """
+    turns = turns.filter(F.col(key).isNotNull())
     item = F.struct(F.col(order), *[c.alias(name) for name, c in fields.items()])
     sorted_turns = F.sort_array(F.collect_list(item)).alias("turns")
     last = turns.agg(F.max(order)).first()[0]

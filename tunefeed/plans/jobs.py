@@ -27,7 +27,7 @@ def prepare_feed(
     schema: T.StructType | None = None,
     plan: BatchPlan = BatchPlan(),
     template: ChatTemplate = DEFAULT_TEMPLATE,
-    tokenizer: Callable[[Column], Column] | None = None,
+    tokenizer: Callable[[Column, int], Column] | None = None,
     max_length: int = 2048,
     shuffle: bool = False,
 ) -> DataFrame:

@@ -124,9 +124,10 @@ SELECT CAST(p % 4 AS BIGINT) AS rank, count(*) AS n_rows, CAST(min(p) AS BIGINT)
 FROM fed GROUP BY p % 4""",
     "feed_without_key": f"""WITH {_TRIPLE}, fed AS (
   SELECT row_number() OVER () - 1 AS p, length({_rendered(_TRIPLE_LIST)}) AS n FROM v_triple)
-SELECT CAST(p // 32 + 1 AS BIGINT) AS step, count(*) AS n_rows, count(*) AS n_dealt,
-       CAST(min(p) AS BIGINT) AS min_p, (SELECT CAST(sum(n) AS BIGINT) FROM fed) AS n_chars
-FROM fed GROUP BY p // 32""",
+SELECT CAST(step AS BIGINT) AS step, count(*) AS n_rows, count(*) AS n_dealt,
+       CAST(min(p) AS BIGINT) AS min_p,
+       CASE WHEN grouping(step) = 1 THEN CAST(sum(n) AS BIGINT) END AS n_chars
+FROM (SELECT *, p // 32 + 1 AS step FROM fed) GROUP BY ROLLUP (step)""",
     "artifact_manifest": """SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes,
        true AS hashed FROM documents GROUP BY lang""",
     "metric_stream": _metric_rows(),

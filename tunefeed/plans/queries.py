@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunefeed.functions.chat import render_chat
@@ -101,11 +101,12 @@ def feed_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, path = shared_path(spark, "source"), shared_path(spark, "feed")
     datasets.write_jsonl(triple_rows(spark, sf_dir).drop("conv_id"), source)
     rows = prepare_feed(spark, path, jsonl_path=source, plan=PLAN, max_length=10**9)
-    return rows.groupBy("step").agg(
+    # Per step, and in all: which rows share a step depends on a hash.
+    return rows.rollup("step").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum((F.col("rank") == F.col("p") % PLAN.world_size).cast("bigint")).alias("n_dealt"),
         F.min("p").alias("min_p"),
-        F.sum(F.sum(F.length("text"))).over(Window.partitionBy()).alias("n_chars"),
+        F.when(F.grouping("step") == 1, F.sum(F.length("text"))).alias("n_chars"),
     )
 
 
@@ -114,7 +115,8 @@ def artifact_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("text", "lang")
     rows.write.partitionBy("lang").option("lineSep", "\n").text(path)
     files = artifacts.artifact_manifest(spark, path, with_hash=True)
-    return files.groupBy(F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang")).agg(
+    text_files = files.filter(F.col("path").endswith(".txt"))
+    return text_files.groupBy(F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang")).agg(
         F.sum("length").alias("n_bytes"),
         F.bool_and(F.length("sha256") == 64).alias("hashed"),
     )
@@ -263,10 +265,7 @@ def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Packing reads its input twice; written out, texts are tokenized once.
-    path = shared_path(spark, "token_counts")
-    _planned_documents(spark, sf_dir).write.parquet(path)
-    packed = batching.pack_sequences(spark.read.parquet(path), MAX_LENGTH)
+    packed = batching.pack_sequences(_planned_documents(spark, sf_dir), MAX_LENGTH)
     return packed.select("doc_id", "rank", "block", "block_pos", "token_from", "piece_tokens")
 
 

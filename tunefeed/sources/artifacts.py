@@ -2,60 +2,104 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Files up to this many bytes are hashed as one binary cell, larger ones in
-# pieces, so a task's memory does not depend on the size of a file.
-MAX_CELL_BYTES = 64 << 20
+from tunefeed.session import shared_path
+
+# A file system, and the path in it, of a full path.
+Opener = Callable[[str], tuple]
+
+_PIECE = 8 << 20
+# Schemes under which Spark knows a store by another name than Arrow does.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "s3": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def open_by_scheme(path: str) -> tuple:
+    """Arrow's file system for a path, by its scheme; none is a local path."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    scheme, name = _scheme(path)
+    if scheme in ("", "file"):
+        return fs.LocalFileSystem(), "/" + name.lstrip("/")
+    return fs.FileSystem.from_uri(quote(f"{_SCHEMES[scheme]}:{name}", safe=":/@=+"))
+
+
+def _scheme(path: str) -> tuple[str, str]:
+    found = re.match(r"([A-Za-z][\w+.-]*):(.*)", path, re.DOTALL)
+    return (found[1].lower(), found[2]) if found else ("", path)
 
 
 def artifact_manifest(
-    spark: SparkSession, path: str, recursive: bool = True, with_hash: bool = False
+    spark: SparkSession,
+    path: str,
+    recursive: bool = True,
+    with_hash: bool = False,
+    opener: Opener | None = None,
 ) -> DataFrame:
     """``path``, ``length``, ``modified`` (and ``sha256``) of the files in a folder.
 
-    Flat: regular files of the folder itself. Recursive: the whole tree. Names
-    that start with ``_`` or ``.`` are left out by Spark. Contents are read only
-    for hashes; a filter on ``length`` is applied before a file is opened.
+    Flat: regular files of the folder itself. Recursive: the whole tree. All names
+    are listed, those with a leading ``_`` or ``.`` too. Folders are listed by tasks,
+    one level of the tree after the other; files are hashed by tasks, in pieces, all
+    in the same way. ``opener`` serves stores that Arrow does not know by their scheme.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    if not recursive:
-        top = _without_scheme(path) + "/"
-        name = F.substring_index("path", "/", -1)
-        files = files.filter(F.col("path").endswith(F.concat(F.lit(top), name)))
-    columns = ["path", "length", F.col("modificationTime").alias("modified")]
+    scheme = _scheme(path)[0]
+    if opener is None and scheme not in ("", "file", *_SCHEMES):
+        raise ValueError(f"no file system is known for {scheme}: paths; give an opener")
+    opener = opener or open_by_scheme
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = shared_path(spark, "listing")
+    folders = spark.range(1).select(F.lit(path.rstrip("/") or "/").alias("path"))
+    levels = 0
+    while True:
+        schema = "path string, length long, modified timestamp, folder boolean"
+        listed = folders.repartition(tasks, "path").mapInPandas(_lister(opener), schema)
+        listed.write.parquet(f"{base}/{levels}")
+        folders = spark.read.parquet(f"{base}/{levels}").filter("folder").select("path")
+        levels += 1
+        if not recursive or folders.isEmpty():
+            break
+    every = spark.read.parquet(*(f"{base}/{i}" for i in range(levels)))
+    files = every.filter("NOT folder").drop("folder")
     if not with_hash:
-        return files.select(*columns)
-    small = files.filter(F.col("length") <= MAX_CELL_BYTES)
-    large = files.filter(F.col("length") > MAX_CELL_BYTES).select(*columns)
-    schema = T.StructType([*large.schema.fields, T.StructField("sha256", T.StringType())])
-    return small.select(*columns, F.sha2("content", 256).alias("sha256")).unionByName(
-        large.mapInPandas(_hash_in_pieces(), schema)
-    )
+        return files
+    schema = "path string, length long, modified timestamp, sha256 string"
+    return files.repartition(tasks, "path").mapInPandas(_hasher(opener), schema)
+
 
+def _lister(opener: Opener) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
 
-def _hash_in_pieces() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    piece = 8 << 20
+        for batch in batches:
+            for folder in batch["path"]:
+                system, name = opener(folder)
+                found = [
+                    (f"{folder.rstrip('/')}/{x.base_name}", x.size, x.mtime, x.type == fs.FileType.Directory)
+                    for x in system.get_file_info(fs.FileSelector(name))
+                    if x.type in (fs.FileType.Directory, fs.FileType.File)
+                ]
+                rows = pd.DataFrame(found, columns=["path", "length", "modified", "folder"])
+                rows["modified"] = pd.to_datetime(rows["modified"], utc=True)
+                yield rows.astype({"length": "Int64", "folder": "bool"})
 
-    def sha256(path: str) -> str:
-        import hashlib
-        from urllib.parse import quote
+    return run
 
-        from pyarrow import fs
 
-        if path.startswith("file:"):
-            system, name = fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-        else:
-            system, name = fs.FileSystem.from_uri(quote(path, safe=":/@=+"))
+def _hasher(opener: Opener) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def sha256(path: str) -> str:
+        system, name = opener(path)
         digest = hashlib.sha256()
         with system.open_input_stream(name) as stream:
-            while data := stream.read(piece):
+            while data := stream.read(_PIECE):
                 digest.update(data)
         return digest.hexdigest()
 
@@ -64,7 +108,3 @@ def _hash_in_pieces() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFram
             yield batch.assign(sha256=[sha256(p) for p in batch["path"]])
 
     return run
-
-
-def _without_scheme(path: str) -> str:
-    return re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", path).rstrip("/")

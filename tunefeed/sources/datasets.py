@@ -39,15 +39,15 @@ def read_jsonl(
     """JSON lines with all their columns; a broken line stops the job.
 
     Without a schema the types are inferred over all lines, which reads the file
-    once more. A field that is absent is NULL; ``EXAMPLE_SCHEMA``'s columns are
-    always there.
+    once more; ``EXAMPLE_SCHEMA``'s columns are always there, with its types. A
+    field that is absent is NULL.
     """
     reader = spark.read.option("mode", "FAILFAST")
-    if schema is not None:
-        return reader.schema(schema).json(path)
-    found = reader.json(path)
-    absent = [f for f in EXAMPLE_SCHEMA if f.name not in found.columns]
-    return found.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
+    if schema is None:
+        known = {f.name for f in EXAMPLE_SCHEMA}
+        others = [f for f in reader.json(path).schema if f.name not in known]
+        schema = T.StructType([*others, *EXAMPLE_SCHEMA])
+    return reader.schema(schema).json(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:

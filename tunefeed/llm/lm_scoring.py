@@ -3,8 +3,9 @@
 The corpus is cut into slices once (texts packed, with the slice's distinct words), written
 to the shared folder, so that every later pass sees the same slices.
 
-* Base: words are counted per slice, then summed over all slices by word; each slice gets
-  the counts of its own words back. Rows exchanged are distinct words per slice, not words.
+* Base: words are counted per block of slices, then summed over all blocks by word; each
+  block gets the counts of its own words back. Rows exchanged are distinct words per block,
+  not words, and a word has one row per block at most, so no word is hot.
 * Context mixing (``context_mixing``; A-Z lower-cased here too): distinct n-grams with counts are gathered from all training documents and
   turned into the predictors' tables, which have a fixed number of slots. Gate weights and
   the adaptive map are learned from one training document in eight, against tables without
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ from tunefeed.llm.arrow_text import LOWER, SPACED, slices, strings, text_bytes,
 from tunefeed.session import shared_path
 
 SLICE = 4 << 20
+#: Slices that share a list of distinct words.
+BLOCK = 4
 #: Online passes over the n-grams that weights are learned from.
 PASSES = 2
 #: Distinct n-grams that a task holds before it hands them on.
@@ -63,37 +67,63 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray
     return terms, codes, begin[:-1]
 
 
+def _merged(terms: list[pa.Array]) -> tuple[pa.Array, list[np.ndarray]]:
+    """Distinct terms of several slices, and the place there of each slice's own."""
+    coded = pa.concat_arrays(terms).dictionary_encode()
+    places = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return coded.dictionary, np.split(places, np.cumsum([len(t) for t in terms])[:-1])
+
+
 def _slices(df: DataFrame, key: str, text: str, folds: int, remainder: int) -> DataFrame:
+    """One row per slice. ``BLOCK`` neighbours have one block number and one list of
+    distinct terms, with their counts in training documents; the block's last row has it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, number = [], TaskContext.get().partitionId() << 33
+
+        def one(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            terms, places = _merged([b[-2] for b in block])
+            total = np.zeros(len(terms), np.int64)
+            for place, b in zip(places, block, strict=True):
+                total[place] += b[-1]
+            for nth, (keys, roles, sizes, texts, _, _) in enumerate(block):
+                last = nth == len(block) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([number]),
+                        pa.array([nth]),
+                        one(keys),
+                        *(pa.array([b], pa.binary()) for b in (roles, sizes, texts)),
+                        one(terms if last else terms[:0]),
+                        one(pa.array(total if last else total[:0])),
+                    ],
+                    ["block", "nth", "keys", "roles", "sizes", "texts", "terms", "counts"],
+                )
+
         for part in slices(batches, 2, SLICE):
             data, offsets = text_bytes(part.column(2))
             role = part.column(1).to_numpy(zero_copy_only=False)
             terms, codes, begin = _tokens(data, offsets)
             trained = np.repeat(role != _HELD_OUT, np.diff(np.append(begin, codes.size)))
             count = np.bincount(codes[trained], minlength=len(terms))
-
-            def one(values: pa.Array) -> pa.Array:
-                return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-            yield pa.RecordBatch.from_arrays(
-                [
-                    one(part.column(0)),
-                    pa.array([role.astype(np.uint8).tobytes()], pa.binary()),
-                    pa.array([np.diff(offsets).astype("<i8").tobytes()], pa.binary()),
-                    pa.array([zstandard.compress(data.tobytes(), 3)], pa.binary()),
-                    one(terms),
-                    one(pa.array(count)),
-                ],
-                ["keys", "roles", "sizes", "texts", "terms", "counts"],
-            )
+            packed = zstandard.compress(data.tobytes(), 3)
+            block.append((part.column(0), role.astype(np.uint8).tobytes(), np.diff(offsets).astype("<i8").tobytes(), packed, terms, count))
+            if len(block) == BLOCK:
+                yield from rows()
+                block, number = [], number + 1
+        if block:
+            yield from rows()
 
     crc = F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(0))
     role = F.when(crc % folds == remainder, _HELD_OUT).when(F.floor(crc / folds) % 8 == 0, _MIX).otherwise(_FIT)
     kind = df.schema[key].dataType.simpleString()
-    schema = f"keys array<{kind}>, roles binary, sizes binary, texts binary, terms array<binary>, counts array<long>"
+    schema = f"block long, nth long, keys array<{kind}>, roles binary, sizes binary, texts binary, terms array<binary>, counts array<long>"
     cut = df.select(F.col(key).alias("key"), role.cast("int").alias("role"), F.col(text).alias("text")).mapInArrow(run, schema)
     path = shared_path(df.sparkSession, "slices")
-    cut.withColumn("slice", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    cut.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -275,27 +305,30 @@ def score_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text", f
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     model = spark.sparkContext.broadcast(train(_grams(parts)))
 
-    asked = parts.select("slice", F.posexplode("terms").alias("place", "terms"))
-    answers = asked.join(counts, "terms").select("slice", "place", "c")
+    asked = parts.select("block", F.posexplode("terms").alias("place", "terms"))
+    answers = asked.join(counts, "terms").select("block", "place", "c")
 
-    def run(slice_: pa.Table, known: pa.Table) -> pa.Table:
+    def run(block: pa.Table, known: pa.Table) -> pa.Table:
+        block = block.sort_by("nth")
+        packed = list(zip(*(block.column(c).to_pylist() for c in ("sizes", "texts")), strict=True))
+        split = [_tokens(*_unpacked(*p)) for p in packed]
+        terms, places = _merged([t for t, _, _ in split])
+        found = np.zeros(len(terms), np.int64)
+        found[known.column("place").to_numpy()] = known.column("c").to_numpy()
         out = []
-        for keys, roles, sizes, texts in zip(*(slice_.column(c) for c in ("keys", "roles", "sizes", "texts")), strict=True):
-            data, offsets = _unpacked(sizes.as_py(), texts.as_py())
-            terms, codes, begin = _tokens(data, offsets)
-            count = np.zeros(len(terms), np.int64)
-            count[known.column("place").to_numpy()] = known.column("c").to_numpy()
+        for i, ((_, codes, begin), place) in enumerate(zip(split, places, strict=True)):
+            count = found[place]
             each = np.log10((count + 0.5) / (total + 0.5 * (distinct + 1)))
+            data, offsets = _unpacked(*packed[i])
             score = model.value.scores(data, offsets)
-            rows = begin.size
             out.append(
                 pa.table(
                     {
-                        "key": keys.values,
-                        "held_out": np.frombuffer(roles.as_py(), np.uint8) == _HELD_OUT,
+                        "key": block.column("keys")[i].values,
+                        "held_out": np.frombuffer(block.column("roles")[i].as_py(), np.uint8) == _HELD_OUT,
                         "n_tokens": np.diff(np.append(begin, codes.size)),
                         "n_known": np.add.reduceat((count > 0)[codes].astype(np.int64), begin),
-                        "train_tokens": np.full(rows, total, np.int64),
+                        "train_tokens": np.full(begin.size, total, np.int64),
                         "base_score": np.add.reduceat(each[codes], begin),
                         "score": score,
                         "bits_per_byte": -score * np.log2(10) / (np.diff(offsets) + 1),
@@ -306,5 +339,5 @@ def score_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text", f
 
     kind = df.schema[key].dataType.simpleString()
     schema = f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    own = parts.select(F.col("slice").alias("own"), "keys", "roles", "sizes", "texts").groupBy("own")
-    return own.cogroup(answers.groupBy("slice")).applyInArrow(run, schema).withColumnRenamed("key", key)
+    own = parts.select(F.col("block").alias("own"), "nth", "keys", "roles", "sizes", "texts").groupBy("own")
+    return own.cogroup(answers.groupBy("block")).applyInArrow(run, schema).withColumnRenamed("key", key)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -40,3 +42,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tunefeed-"))
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/tunefeed/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors' Python import this package where it is not installed.
+
+    Once per Spark context the package's modules (a few kilobytes) are zipped on the
+    driver, from where Spark itself hands them out.
+    """
+    context, root = spark.sparkContext, Path(__file__).parent
+    if getattr(context, "_tunefeed_shipped", False) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tunefeed-")) / "tunefeed.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for module in sorted(root.rglob("*.py")):
+            out.write(module, module.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._tunefeed_shipped = True

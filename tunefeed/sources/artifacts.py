@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunefeed.session import shared_path
+from tunefeed.session import shared_path, ship_package
 
 # A file system, and the path in it, of a full path.
 Opener = Callable[[str], tuple]
@@ -55,6 +55,7 @@ def artifact_manifest(
     if opener is None and scheme not in ("", "file", *_SCHEMES):
         raise ValueError(f"no file system is known for {scheme}: paths; give an opener")
     opener = opener or open_by_scheme
+    ship_package(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = shared_path(spark, "listing")
     folders = spark.range(1).select(F.lit(path.rstrip("/") or "/").alias("path"))

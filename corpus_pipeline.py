@@ -16,32 +16,37 @@ from tunefeed.llm.packing import pack_documents
 from tunefeed.llm.personal_data import mask_personal_data
 from tunefeed.llm.pigeonring import keep_one
 from tunefeed.llm.positional_index import drop_contaminated
-from tunefeed.session import shared_path
+from tunefeed.session import shared_path, ship_package
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier, trained on their labels, does not reject."""
+    ship_package(spark)
     return identify(docs, train(docs)).filter("NOT rejected").select(docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the document with the smallest id."""
+    ship_package(spark)
     return keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item stands."""
+    ship_package(spark)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; n_chars follows the text."""
+    ship_package(spark)
     masked = mask_personal_data(docs)
     return masked.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token sequences in windows of 1024."""
+    ship_package(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

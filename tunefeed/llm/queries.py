@@ -16,9 +16,11 @@ from tunefeed.llm.positional_index import build_index, contamination
 from tunefeed.llm.secret_scan import scan
 from tunefeed.llm.sharding import shard_rows
 from tunefeed.llm.token_counts import count_tokens
+from tunefeed.session import ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

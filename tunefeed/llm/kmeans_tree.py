@@ -7,8 +7,10 @@
   their centre's distance, and leaves are taken in the order in which they come off it.
 * How many leaves: ``CALIBRATION`` vectors get their exact neighbours from all rows; the
   number of leaves is widened until the target share of those lies in the leaves visited.
-* Queries and vectors meet per leaf, in cells of bounded size: a large leaf's vectors, and
-  its queries, are dealt over several cells. A cell hands on the best of each query only.
+* Queries and vectors meet per branch of the root, in cells of bounded size: a branch's
+  vectors, and its queries, are dealt over several cells. In a cell a query meets the
+  vectors of its own leaves, one leaf after the other, and the cell hands on the query's
+  best of them all.
 
 Equal vectors are one entry with its smallest ids, as no list needs more of them, and equal
 queries are searched for once, so a vector that a third of the rows share costs no more.
@@ -40,7 +42,7 @@ BRANCHES = 16
 LEAF_ROWS = 256
 #: Sampled vectors that a leaf has at least.
 LEAF_SAMPLE = 8
-#: Vectors, and queries, that meet in one cell.
+#: Vectors, and queries, that meet in one cell, about.
 CELL = 4096
 RECALL = 0.98
 
@@ -51,6 +53,7 @@ class Tree:
     centres: list[np.ndarray] = field(default_factory=list)  # of a node's children
     children: list[list[int]] = field(default_factory=list)  # nodes (>= 0) or leaves (-1 - leaf)
     leaves: int = 0
+    branch: list[int] = field(default_factory=list)  # of the root that a leaf is under
 
     def lifted(self, vectors: np.ndarray) -> np.ndarray:
         rest = np.maximum(self.norm**2 - (vectors**2).sum(axis=1), 0)
@@ -110,20 +113,21 @@ def build_tree(sample: np.ndarray, norm: float, leaves: int, seed: int = 3) -> T
     size = max(LEAF_SAMPLE, -(-sample.shape[0] // max(leaves, 1)))
     lifted = tree.lifted(sample)
 
-    def grow(points: np.ndarray) -> int:
+    def grow(points: np.ndarray, branch: int) -> int:
         k = min(BRANCHES, points.shape[0] // size)
         centres = _kmeans(points, k, rng) if k > 1 else points[:0]
         if centres.shape[0] < 2:
             tree.leaves += 1
+            tree.branch.append(max(branch, 0))
             return -tree.leaves
         node = len(tree.centres)
         tree.centres.append(centres)
         tree.children.append([])
         owner = _distances(points, centres).argmin(axis=1)
-        tree.children[node] = [grow(points[owner == i]) for i in range(centres.shape[0])]
+        tree.children[node] = [grow(points[owner == i], i if branch < 0 else branch) for i in range(centres.shape[0])]
         return node
 
-    if grow(lifted) < 0:
+    if grow(lifted, -1) < 0:
         tree.centres, tree.children = [], []
     return tree
 
@@ -210,9 +214,11 @@ def nearest(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sent.value.leaf_of(_matrix(batch.column(1))))], ["entry", "vec", "ids", "leaf"])
+                leaf = sent.value.leaf_of(_matrix(batch.column(1)))
+                branch = np.array(sent.value.branch or [0])[leaf]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf), pa.array(branch)], ["entry", "vec", "ids", "leaf", "branch"])
 
-    entries.mapInArrow(place, "entry long, vec array<double>, ids array<long>, leaf long").write.parquet(f"{path}/leaves")
+    entries.mapInArrow(place, "entry long, vec array<double>, ids array<long>, leaf long, branch long").write.parquet(f"{path}/leaves")
     indexed = spark.read.parquet(f"{path}/leaves")
 
     asked = rows.filter(F.col("id") % every == 0).join(entries.select("vec", "entry"), "vec").select(F.col("id").alias("query_id"), F.col("entry").alias("query"))
@@ -223,14 +229,21 @@ def nearest(
     visits = calibrated_visits(tree, points, _exact(indexed, points, top) if count else [], recall)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        branch = sent.value.branch or [0]
         for batch in batches:
-            if batch.num_rows:
-                leaves = [sent.value.visits(q, visits) for q in _matrix(batch.column(1))]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int64()))], ["query", "vec", "leaves"])
+            own: list[dict[int, list[int]]] = []
+            for q in _matrix(batch.column(1)) if batch.num_rows else ():
+                own.append({})
+                for leaf in sent.value.visits(q, visits):
+                    own[-1].setdefault(branch[leaf], []).append(leaf)
+            rows = pa.array(np.repeat(np.arange(len(own)), [len(o) for o in own]))
+            branches = pa.array([b for o in own for b in o], pa.int64())
+            leaves = pa.array([o[b] for o in own for b in o], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(c.take(rows) for c in batch.columns), branches, leaves], ["query", "vec", "branch", "leaves"])
 
     distinct = asked.select("query").distinct()
     walked = distinct.join(entries.select(F.col("entry").alias("query"), "vec"), "query").select("query", "vec")
-    walked = walked.mapInArrow(walk, "query long, vec array<double>, leaves array<long>").select("query", "vec", F.explode("leaves").alias("leaf"))
+    walked = walked.mapInArrow(walk, "query long, vec array<double>, branch long, leaves array<long>")
     walked.write.parquet(f"{path}/walked")
     walked = spark.read.parquet(f"{path}/walked")
     found = _met(indexed, walked, top)
@@ -248,28 +261,42 @@ def _draw(seed: int = 23) -> Column:
 
 def _met(indexed: DataFrame, walked: DataFrame, top: int) -> DataFrame:
     """query, entry, ids, score: each cell's best entries of each of its queries."""
-    # One number per leaf; the tree has at most SAMPLE / LEAF_SAMPLE leaves.
-    cells = indexed.groupBy("leaf").count().select("leaf", F.ceil(F.col("count") / CELL).cast("int").alias("rows_in"))
-    asks = walked.groupBy("leaf").count().select("leaf", F.ceil(F.col("count") / CELL).cast("int").alias("asked_in"))
-    grid = F.broadcast(cells.join(asks, "leaf"))
+    # Two numbers per branch; a root has BRANCHES of them at most.
+    cells = indexed.groupBy("branch").count().select("branch", F.ceil(F.col("count") / CELL).cast("int").alias("rows_in"))
+    asks = walked.groupBy("branch").count().select("branch", F.ceil(F.col("count") / CELL).cast("int").alias("asked_in"))
+    grid = F.broadcast(cells.join(asks, "branch"))
     dealt = lambda name, n: F.pmod(F.xxhash64(name), F.col(n)).cast("int")
     over = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = indexed.join(grid, "leaf").select("leaf", dealt("entry", "rows_in").alias("i"), over("asked_in").alias("j"), "entry", "vec", "ids")
-    right = walked.join(grid, "leaf").select("leaf", over("rows_in").alias("i"), dealt("query", "asked_in").alias("j"), "query", "vec")
+    left = indexed.join(grid, "branch").select("branch", dealt("entry", "rows_in").alias("i"), over("asked_in").alias("j"), "entry", "vec", "ids", "leaf")
+    right = walked.join(grid, "branch").select("branch", over("rows_in").alias("i"), dealt("query", "asked_in").alias("j"), "query", "vec", "leaves")
 
     def meet(rows: pa.Table, asked: pa.Table) -> pa.Table:
         if not rows.num_rows or not asked.num_rows:
             return empty
+        rows = rows.sort_by([("leaf", "ascending"), ("entry", "ascending")])
         vectors, queries = (_matrix(t.column("vec").combine_chunks()) for t in (rows, asked))
-        entry = rows.column("entry").to_numpy()
-        by = np.argsort(entry)
-        score = queries @ vectors[by].T
-        best = by[np.argsort(-score, axis=1, kind="stable")[:, : top + 1]]
-        q, v = np.repeat(np.arange(queries.shape[0]), best.shape[1]), best.ravel()
+        leaf, entry = rows.column("leaf").to_numpy(), rows.column("entry").to_numpy()
+        lists = asked.column("leaves").combine_chunks()
+        visited = lists.values.to_numpy(zero_copy_only=False)[lists.offsets[0].as_py() : lists.offsets[-1].as_py()]
+        visitor = np.repeat(np.arange(queries.shape[0]), np.diff(lists.offsets.to_numpy()))
+        # Best so far of each query: score, and row of the vector (-1: none).
+        score = np.full((queries.shape[0], top + 1), -np.inf)
+        place = np.full((queries.shape[0], top + 1), -1, np.int64)
+        for number in np.unique(visited):
+            low, high = np.searchsorted(leaf, number), np.searchsorted(leaf, number, side="right")
+            own = visitor[visited == number]
+            if low == high:
+                continue
+            scores = np.concatenate([score[own], queries[own] @ vectors[low:high].T], axis=1)
+            places = np.concatenate([place[own], np.broadcast_to(np.arange(low, high), (own.size, high - low))], axis=1)
+            best = np.lexsort((np.where(places < 0, 0, entry[places]), -scores), axis=1)[:, : top + 1]
+            score[own], place[own] = np.take_along_axis(scores, best, axis=1), np.take_along_axis(places, best, axis=1)
+        q, n = np.nonzero(place >= 0)
+        v = place[q, n]
         exact = (queries[q] * vectors[v]).sum(axis=1)
         ids = rows.column("ids").combine_chunks().take(pa.array(v))
         return pa.table({"query": asked.column("query").to_numpy()[q], "entry": entry[v], "ids": ids, "score": exact})
 
     empty = pa.table({"query": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int64())), "score": pa.array([], pa.float64())})
-    keys = ["leaf", "i", "j"]
+    keys = ["branch", "i", "j"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query long, entry long, ids array<long>, score double")

@@ -11,7 +11,8 @@ score below which a prediction is rejected, so that at most one right answer in
 For prediction, bucket and softmax are multiplied out to one row of logits per bucket, and
 every whole text is read once, in slices, without a shuffle.
 
-Null text, no letter in the text, or nothing to learn from: ``und`` with score 0, rejected.
+Null text or no letter in the text: ``und`` with score 0, rejected. Nothing to learn from:
+``und`` with score 0 too, but only texts without a letter are rejected.
 A null key counts as remainder 0 and a null label as no label. Empty table: no rows. Ties
 go to the first language in order. Repeated rows each come back. Only the named columns are
 read; label and key are never inputs of a prediction.
@@ -200,8 +201,11 @@ def identify(df: DataFrame, model: LanguageModel, *, text: str = "text") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [*sent.value.languages, UNKNOWN]
         for part in slices(batches, kept.index(text)):
-            best, score = sent.value.predict(*text_bytes(part.column(kept.index(text))))
+            data, offsets = text_bytes(part.column(kept.index(text)))
+            best, score = sent.value.predict(data, offsets)
             rejected = (best < 0) | (score < sent.value.threshold)
+            if not sent.value.languages:
+                rejected = ~has_letter(data, offsets)
             out = [pa.array([names[i] for i in best.tolist()], pa.string()), pa.array(score), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays([*part.columns, *out], [*kept, "lang_pred", "score", "rejected"])
 

@@ -86,3 +86,11 @@ def test_better_than_the_base_with_more_text(spark):
     out = score_documents(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).filter("held_out")
     score, base = out.selectExpr("sum(score)", "sum(base_score)").first()
     assert score > base
+
+
+def test_parts_in_many_tasks_add_up_to_the_same(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one = {r.doc_id: r.score for r in score_documents(docs).collect()}
+    monkeypatch.setattr("tunefeed.llm.lm_scoring.PART_ROWS", 300)
+    many = {r.doc_id: r.score for r in score_documents(docs).collect()}
+    assert many == pytest.approx(one, rel=1e-9)

@@ -44,6 +44,8 @@ PASSES = 2
 HELD = 4_000_000
 #: Slices that one task counts.
 SLICES = 32
+#: Rows of n-grams that a task adds to a part of the tables, about.
+PART_ROWS = 200_000
 
 _FIT, _MIX, _HELD_OUT = 0, 1, 2
 #: Stands for the end of a text; no word has white space.
@@ -196,8 +198,9 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 18) -> Iterato
 def _tables(grams: DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Packed slots of the training documents without, and with, those for the weights.
 
-    All n-grams of a part of the longer orders' tables meet in one task, which adds them to
-    arrays of fixed size as they come. The two short orders are added up by slot.
+    The n-grams of a part of the longer orders' tables meet in as many tasks as they need,
+    which add them to arrays of fixed size as they come; then those arrays are added up.
+    The two short orders are added up by slot.
     """
     short = [o for o in mixing.ORDERS if o not in mixing.LONG]
     base = np.concatenate([[0], np.cumsum([1 << mixing.SLOT_BITS[o - 1] for o in short])])
@@ -223,7 +226,7 @@ def _tables(grams: DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
                     for j in range(2):
                         table[j] += np.bincount(at, weights=weights[j], minlength=2 * size)
         for (order, p), table in long.items():
-            fit, every = (mixing.packed(t[0::2], t[1::2]).tobytes() for t in table)
+            fit, every = (t.tobytes() for t in table)
             yield pa.RecordBatch.from_pydict({"order": [order], "at": [p], "fit": [fit], "every": [every], **{c: [0.0] for c in _COUNTS}}, schema=_ROWS)
         seen = np.flatnonzero(low[1, 0::2] + low[1, 1::2])
         none = pa.nulls(seen.size, pa.binary())
@@ -231,14 +234,29 @@ def _tables(grams: DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
         yield pa.RecordBatch.from_arrays([pa.array(np.zeros(seen.size, np.int64)), pa.array(seen), none, none, *counts], schema=_ROWS)
 
     path, spark = shared_path(grams.sparkSession, "tables"), grams.sparkSession
-    counted = grams.repartition("part").select("gram", "part", "fit", "mix").mapInArrow(
+    salts = 1 + grams.count() // (PART_ROWS << mixing.PART_BITS)
+    salt = F.pmod(F.xxhash64("gram"), F.lit(salts)).cast("int")
+    counted = grams.repartition("part", salt).select("gram", "part", "fit", "mix").mapInArrow(
         count, "order long, at long, fit binary, every binary, f0 double, f1 double, a0 double, a1 double"
     )
-    counted.write.parquet(path)
-    rows = spark.read.parquet(path)
+    counted.write.option("compression", "zstd").parquet(f"{path}/counts")
+    rows = spark.read.parquet(f"{path}/counts")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], list[np.ndarray]] = {}
+        for batch in batches:
+            for order, p, *blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = [np.frombuffer(b) for b in blobs]
+                total[order, p] = [x + y for x, y in zip(total[order, p], own, strict=True)] if (order, p) in total else own
+        for (order, p), sums in total.items():
+            fit, every = (mixing.packed(t[0::2], t[1::2]).tobytes() for t in sums)
+            yield pa.RecordBatch.from_pydict({"order": [order], "at": [p], "fit": [fit], "every": [every]})
+
+    long_rows = rows.filter("order > 0").select("order", "at", "fit", "every")
+    long_rows = long_rows.repartition("order", "at").mapInArrow(add, "order long, at long, fit binary, every binary")
     out = [[np.zeros(1 << bits, np.uint16) for bits in mixing.SLOT_BITS] for _ in range(2)]
     # Tables of fixed size, whatever the corpus.
-    for row in rows.filter("order > 0").select("order", "at", "fit", "every").toLocalIterator():
+    for row in long_rows.collect():
         size = 1 << (mixing.SLOT_BITS[row.order - 1] - mixing.PART_BITS)
         for i, blob in enumerate((row.fit, row.every)):
             out[i][row.order - 1][row.at * size : (row.at + 1) * size] = np.frombuffer(blob, np.uint16)

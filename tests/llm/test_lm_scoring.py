@@ -94,3 +94,17 @@ def test_parts_in_many_tasks_add_up_to_the_same(spark, monkeypatch):
     monkeypatch.setattr("tunefeed.llm.lm_scoring.PART_ROWS", 300)
     many = {r.doc_id: r.score for r in score_documents(docs).collect()}
     assert many == pytest.approx(one, rel=1e-9)
+
+
+def test_the_sixth_byte_back_tells_contexts_apart():
+    texts = [b"abcdefx", b"zbcdefy"] * 50
+    offsets = np.cumsum([0, *(len(t) for t in texts)])
+    gram, _ = mixing.grams(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    tables = []
+    for order, width in zip(mixing.ORDERS, mixing.SLOT_BITS, strict=True):
+        at = 2 * mixing.slots(gram, order).ravel() + mixing.bits(gram).ravel()
+        count = np.bincount(at, minlength=2 << width)
+        tables.append(mixing.packed(count[0::2], count[1::2]))
+    model = mixing.Model(tables, mixing.new_weights())
+    after = lambda text: model.log10(np.array([int.from_bytes(text, "big")], np.uint64))[0]
+    assert after(b"abcdefx") > after(b"zbcdefx") + 0.1 and after(b"zbcdefy") > after(b"abcdefy") + 0.1

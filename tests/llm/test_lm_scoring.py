@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tunefeed.llm import context_mixing as mixing
+from tunefeed.llm import lm_scoring
 from tunefeed.llm.lm_scoring import score_documents
 
 
@@ -108,3 +109,27 @@ def test_the_sixth_byte_back_tells_contexts_apart():
     model = mixing.Model(tables, mixing.new_weights())
     after = lambda text: model.log10(np.array([int.from_bytes(text, "big")], np.uint64))[0]
     assert after(b"abcdefx") > after(b"zbcdefx") + 0.1 and after(b"zbcdefy") > after(b"abcdefy") + 0.1
+
+
+def test_counts_are_exact_and_grow_with_the_corpus(spark):
+    rng = np.random.default_rng(5)
+    gram = np.unique(rng.integers(97, 101, (3000, 7)).astype(np.uint64) @ (np.uint64(1) << np.arange(48, -8, -8).astype(np.uint64)))
+    count = rng.integers(0, 4, gram.size)
+    assert (mixing.unkeyed(mixing.keyed(gram)) == gram).all()
+    for order in mixing.LONG:
+        seen = Counter()
+        own = [g & ((1 << 8 * (order + 1)) - 1) for g in gram.tolist()]
+        for g, n in zip(own, count.tolist(), strict=True):
+            for i in range(8):
+                seen[g >> 8 - i, i, g >> 7 - i & 1] += n
+        for i, got in enumerate(mixing.node_codes(gram, count, order)):
+            zeros, ones = (np.array([seen[g >> 8 - i, i, b] for g in own], float) for b in (0, 1))
+            assert (got == mixing.packed(zeros, ones)).all()
+    docs = [(k, f"{k * 7919 % 10007:x} {k * 104729 % 65537:x}") for k in range(4000)]
+    parts = lm_scoring._slices(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", 5, 1)
+    found = [lm_scoring._opened(r.times, np.int64) for r in lm_scoring._merged_parts(parts).collect()]
+    trained = Counter()
+    for k, text in docs:
+        full = b"\xff" * 6 + text.encode() + b"\xff"
+        trained.update(full[i : i + 7] for i in range(len(full) - 6) if not held(k))
+    assert sorted(n for f in found for n in f.tolist() if n) == sorted(trained.values())

@@ -6,12 +6,15 @@ to the shared folder, so that every later pass sees the same slices.
 * Base: words are counted per block of slices, then summed over all blocks by word; each
   block gets the counts of its own words back. Rows exchanged are distinct words per block,
   not words, and a word has one row per block at most, so no word is hot.
-* Context mixing (``context_mixing``; A-Z lower-cased here too): distinct n-grams with counts are gathered from all training documents and
-  turned into the predictors' tables, which have a fixed number of slots. Gate weights and
-  the adaptive map are learned from one training document in eight, against tables without
-  those: each partition of n-grams runs online passes, and weights are averaged between
-  passes by the partitions' masses. The final tables hold all training documents.
-* Scoring: one pass over the slices with the model (17 MB, whatever the corpus).
+* Context mixing (``context_mixing``; A-Z lower-cased here too): each block has its distinct
+  n-grams, with counts in training documents, cut into parts by context. A part's n-grams of
+  all blocks meet and are summed up: exact counts, which grow with the corpus and are on no
+  driver. Gate weights and the adaptive map are learned from one training document in eight,
+  against counts without those: groups of parts run online passes, and weights are averaged
+  between passes by the groups' masses. The final counts hold all training documents.
+* Scoring: a part works out each of its n-grams once and gives every block the probabilities
+  of its own; a block adds them up. Only the counts of contexts of one and two bytes (all
+  there can be: 34 MB), weights and map are sent to tasks.
 
 Held-out documents (``remainder`` of crc32 of the key's text modulo ``folds``) add nothing
 to any count, table or weight. A null key counts as remainder 0. A null text is an empty
@@ -26,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,22 +40,18 @@ from tunefeed.llm.arrow_text import LOWER, SPACED, slices, strings, text_bytes,
 from tunefeed.session import shared_path
 
 SLICE = 4 << 20
-#: Slices that share a list of distinct words.
-BLOCK = 4
+#: Bytes of text from which on slices are a block, with one list of distinct words and n-grams.
+BLOCK = 16 << 20
 #: Online passes over the n-grams that weights are learned from.
 PASSES = 2
-#: Distinct n-grams that a task holds before it hands them on.
-HELD = 4_000_000
-#: Slices that one task counts.
-SLICES = 32
-#: Rows of n-grams that a task adds to a part of the tables, about.
+#: Slices whose share of n-grams is one group that weights are learned from, about.
+SLICES = 16
+#: N-grams whose counts a task works out at once, about.
 PART_ROWS = 200_000
 
 _FIT, _MIX, _HELD_OUT = 0, 1, 2
 #: Stands for the end of a text; no word has white space.
 _END = b"\n"
-_COUNTS = ("f0", "f1", "a0", "a1")
-_ROWS = pa.schema([("order", pa.int64()), ("at", pa.int64()), ("fit", pa.binary()), ("every", pa.binary()), *((c, pa.float64()) for c in _COUNTS)])
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -77,21 +77,27 @@ def _merged(terms: list[pa.Array]) -> tuple[pa.Array, list[np.ndarray]]:
 
 
 def _slices(df: DataFrame, key: str, text: str, folds: int, remainder: int) -> DataFrame:
-    """One row per slice. ``BLOCK`` neighbours have one block number and one list of
-    distinct terms, with their counts in training documents; the block's last row has it."""
+    """One row per slice. Neighbours of ``BLOCK`` bytes or so have one block number, one list of distinct
+    terms, and one of distinct n-grams by part, with their counts in training documents; the
+    block's last row has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, number = [], TaskContext.get().partitionId() << 33
+        block, number, size = [], TaskContext.get().partitionId() << 33, 0
 
         def one(values: pa.Array) -> pa.Array:
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
         def rows() -> Iterator[pa.RecordBatch]:
-            terms, places = _merged([b[-2] for b in block])
+            terms, places = _merged([b[-4] for b in block])
             total = np.zeros(len(terms), np.int64)
             for place, b in zip(places, block, strict=True):
-                total[place] += b[-1]
-            for nth, (keys, roles, sizes, texts, _, _) in enumerate(block):
+                total[place] += b[-3]
+            own, count = _summed(*(np.concatenate([b[i] for b in block]) for i in (-2, -1)))
+            cuts = np.searchsorted(own >> np.uint64(56), np.arange(mixing.PARTS + 1))
+            spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+            grams = pa.array([_packed(own[a:b]) if b > a else None for a, b in spans], pa.binary())
+            times = pa.array([_packed(count[a:b]) if b > a else None for a, b in spans], pa.binary())
+            for nth, (keys, roles, sizes, texts, *_) in enumerate(block):
                 last = nth == len(block) - 1
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -101,8 +107,10 @@ def _slices(df: DataFrame, key: str, text: str, folds: int, remainder: int) -> D
                         *(pa.array([b], pa.binary()) for b in (roles, sizes, texts)),
                         one(terms if last else terms[:0]),
                         one(pa.array(total if last else total[:0])),
+                        one(grams if last else grams[:0]),
+                        one(times if last else times[:0]),
                     ],
-                    ["block", "nth", "keys", "roles", "sizes", "texts", "terms", "counts"],
+                    ["block", "nth", "keys", "roles", "sizes", "texts", "terms", "counts", "grams", "times"],
                 )
 
         for part in slices(batches, 2, SLICE):
@@ -112,17 +120,18 @@ def _slices(df: DataFrame, key: str, text: str, folds: int, remainder: int) -> D
             trained = np.repeat(role != _HELD_OUT, np.diff(np.append(begin, codes.size)))
             count = np.bincount(codes[trained], minlength=len(terms))
             packed = zstandard.compress(data.tobytes(), 3)
-            block.append((part.column(0), role.astype(np.uint8).tobytes(), np.diff(offsets).astype("<i8").tobytes(), packed, terms, count))
-            if len(block) == BLOCK:
+            block.append((part.column(0), role.astype(np.uint8).tobytes(), np.diff(offsets).astype("<i8").tobytes(), packed, terms, count, *_counted(data, offsets, role)))
+            size += data.size
+            if size >= BLOCK:
                 yield from rows()
-                block, number = [], number + 1
+                block, number, size = [], number + 1, 0
         if block:
             yield from rows()
 
     crc = F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(0))
     role = F.when(crc % folds == remainder, _HELD_OUT).when(F.floor(crc / folds) % 8 == 0, _MIX).otherwise(_FIT)
     kind = df.schema[key].dataType.simpleString()
-    schema = f"block long, nth long, keys array<{kind}>, roles binary, sizes binary, texts binary, terms array<binary>, counts array<long>"
+    schema = f"block long, nth long, keys array<{kind}>, roles binary, sizes binary, texts binary, terms array<binary>, counts array<long>, grams array<binary>, times array<binary>"
     cut = df.select(F.col(key).alias("key"), role.cast("int").alias("role"), F.col(text).alias("text")).mapInArrow(run, schema)
     path = shared_path(df.sparkSession, "slices")
     cut.write.option("compression", "zstd").parquet(path)
@@ -142,168 +151,158 @@ def _summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[first], np.add.reduceat(rows, first, axis=0, dtype=rows.dtype) if keys.size else rows
 
 
-def _grams(parts: DataFrame) -> DataFrame:
-    """gram, fit, mix: how often training documents of each role have it.
-
-    A task counts ``SLICES`` slices or so; an n-gram has one row or more per task.
-    """
+def _packed(values: np.ndarray) -> bytes | None:
+    """Numbers (a row, or rows of several) as compressed bytes, all first bytes first."""
+    if not values.size:
+        return None
+    return zstandard.compress(np.ascontiguousarray(values.reshape(values.shape[0], -1)).view(np.uint8).T.tobytes(), 3)
+
+
+def _opened(blob: bytes | None, kind: type, columns: int = 1) -> np.ndarray:
+    """What ``_packed`` was given, in ``columns`` columns."""
+    raw = np.frombuffer(zstandard.decompress(blob), np.uint8) if blob else np.zeros(0, np.uint8)
+    flat = np.ascontiguousarray(raw.reshape(columns * np.dtype(kind).itemsize, -1).T).view(kind)
+    return flat[:, 0] if columns == 1 else flat
+
+
+def _counted(data: np.ndarray, offsets: np.ndarray, role: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of a slice, and how often documents of the roles _FIT and _MIX have them."""
+    gram, bounds = mixing.grams(data, offsets)
+    role, keys, counts = np.repeat(role, np.diff(bounds)), [], []
+    for kind in (_FIT, _MIX, _HELD_OUT):
+        found, n = np.unique(mixing.keyed(gram[role == kind]), return_counts=True)
+        keys.append(found)
+        counts.append(np.stack([n * (kind == _FIT), n * (kind == _MIX)], axis=1))
+    return _summed(np.concatenate(keys), np.concatenate(counts))
+
+
+def _added(rows: Iterator[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct n-grams of a part, and their counts, over all blocks."""
+    held, waiting, n = (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)), [], 0
+    for grams, times in rows:
+        waiting.append((_opened(grams, np.uint64), _opened(times, np.int64, 2)))
+        n += waiting[-1][0].size
+        if n > max(held[0].size, 1 << 20):
+            every = [held, *waiting]
+            held, waiting, n = _summed(*(np.concatenate([e[i] for e in every]) for i in (0, 1))), [], 0
+    every = [held, *waiting]
+    return _summed(*(np.concatenate([e[i] for e in every]) for i in (0, 1)))
+
+
+def _long_codes(keys: np.ndarray, counts: list[np.ndarray], rows: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Pieces of a part's sorted n-grams that hold whole contexts of three bytes, with their
+    n-grams and, for each of ``counts``, the longer orders' codes."""
+    begins = np.append(np.flatnonzero(np.diff(keys >> np.uint64(32), prepend=np.uint64(0))), keys.size) if keys.size else np.zeros(1, np.int64)
+    low = 0
+    while low < keys.size:
+        # At least one context, and no more than ``rows`` n-grams if that is possible.
+        at = max(np.searchsorted(begins, low + rows, side="right") - 1, np.searchsorted(begins, low, side="right"))
+        piece = slice(low, int(begins[at]))
+        gram = mixing.unkeyed(keys[piece])
+        yield piece, gram, np.stack([np.stack([mixing.node_codes(gram, c[piece], o) for o in mixing.LONG]) for c in counts])
+        low = piece.stop
+
+
+def _merged_parts(parts: DataFrame) -> DataFrame:
+    """One row per part: its n-grams with counts in all training documents; those that weights
+    are learned from, with their codes without those; and counts of the last three bytes."""
+    rows = PART_ROWS
+    names = ("grams", "times", "learned", "mix", "codes", "last", "last_fit", "last_every")
+
+    def merge(group: pa.Table) -> pa.Table:
+        keys, count = _added(zip(*(group.column(c).to_pylist() for c in ("grams", "times")), strict=True))
+        fit, mix = count[:, 0], count[:, 1]
+        learned, codes = [], []
+        for piece, gram, code in _long_codes(keys, [fit], rows):
+            asked = mix[piece] > 0
+            learned.append(gram[asked])
+            codes.append(code[0].reshape(-1, gram.size)[:, asked].T)
+        last, sums = _summed(mixing.unkeyed(keys) & np.uint64(0xFFFFFF), np.stack([fit, fit + mix], axis=1))
+        every = (keys, fit + mix, np.concatenate(learned), mix[mix > 0], np.concatenate(codes), last, sums[:, 0], sums[:, 1])
+        part = group.column("part")[:1]
+        return pa.table({"part": part, **{n: pa.array([_packed(v)], pa.binary()) for n, v in zip(names, every, strict=True)}})
+
+    path, spark = shared_path(parts.sparkSession, "grams"), parts.sparkSession
+    found = parts.select(F.posexplode(F.arrays_zip("grams", "times")).alias("part", "own")).select("part", "own.*").filter("grams IS NOT NULL")
+    merged = found.groupBy("part").applyInArrow(merge, "part int, " + ", ".join(f"{n} binary" for n in names))
+    merged.write.parquet(path)
+    return spark.read.parquet(path)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, waiting = (np.zeros(0, np.uint64), np.zeros((0, 2), np.int32)), []
 
-        def rows(keys: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
-            part = mixing.parts(keys).astype(np.int32)
-            columns = [keys.view(np.int64), part, count[:, 0].astype(np.int32), count[:, 1].astype(np.int32)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "part", "fit", "mix"])
+def _short_tables(merged: DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Slots of orders 1 and 2 without, and with, the documents that weights are learned from."""
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for roles, sizes, texts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data, offsets = _unpacked(sizes, texts)
-                role = np.frombuffer(roles, np.uint8)
-                gram, bounds = mixing.grams(data, offsets)
-                role = np.repeat(role, np.diff(bounds))
-                for kind in (_FIT, _MIX):
-                    found, n = np.unique(gram[role == kind], return_counts=True)
-                    waiting.append((found, np.stack([n * (kind == _FIT), n * (kind == _MIX)], axis=1).astype(np.int32)))
-                if sum(f.size for f, _ in waiting) > HELD // 4:
-                    every = [held, *waiting]
-                    held, waiting = _summed(np.concatenate([f for f, _ in every]), np.concatenate([c for _, c in every])), []
-                    if held[0].size > HELD:
-                        yield rows(*held)
-                        held = (held[0][:0], held[1][:0])
-        every = [held, *waiting]
-        keys, count = _summed(np.concatenate([f for f, _ in every]), np.concatenate([c for _, c in every]))
-        if keys.size:
-            yield rows(keys, count)
-
-    slices_, spark = parts.count(), parts.sparkSession
-    found = parts.select("roles", "sizes", "texts").coalesce(max(1, slices_ // SLICES))
-    path = shared_path(spark, "grams")
-    found.mapInArrow(run, "gram long, part int, fit int, mix int").write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+            for last, fit, every in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                columns = [_opened(last, np.int64), _opened(fit, np.int64), _opened(every, np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["last", "f", "e"])
+
+    found = merged.select("last", "last_fit", "last_every").mapInArrow(rows, "last long, f long, e long")
+    # Three bytes: 2^24 rows at most, whatever the corpus.
+    summed = found.groupBy("last").agg(F.sum("f").alias("f"), F.sum("e").alias("e")).filter("e > 0").toArrow()
+    last, out = summed.column("last").to_numpy().view(np.uint64), ([], [])
+    for tables, name in zip(out, ("f", "e"), strict=True):
+        count = summed.column(name).to_numpy()
+        for order in mixing.SHORT:
+            table = np.zeros(1 << mixing.SLOT_BITS[order - 1], np.uint16)
+            if last.size:
+                table[mixing.slots(last, order)] = mixing.node_codes(last, count, order)
+            tables.append(table)
+    return out
+
+
+def train(merged: DataFrame, groups: int) -> mixing.Model:
+    """The model (longer orders' counts apart) of a table of parts."""
+    spark = merged.sparkSession
+    fit, every = _short_tables(merged)
+    weights = mixing.new_weights()
+    orders = 8 * len(mixing.LONG)
+
+    def together(group: pa.Table) -> pa.Table:
+        group = group.sort_by("part")
+        columns = {"learned": (np.uint64, 1), "mix": (np.int64, 1), "codes": (np.uint16, orders)}
+        joined = {n: np.concatenate([_opened(b, *kind) for b in group.column(n).to_pylist()]) for n, kind in columns.items()}
+        return pa.table({"nth": group.column("nth")[:1], **{n: pa.array([_packed(v)], pa.binary()) for n, v in joined.items()}})
 
+    path = shared_path(spark, "learned")
+    own = merged.select(F.pmod("part", F.lit(groups)).alias("nth"), "part", "learned", "mix", "codes").groupBy("nth")
+    own.applyInArrow(together, "nth int, learned binary, mix binary, codes binary").write.parquet(path)
+    learned = spark.read.parquet(path)
+    sent = spark.sparkContext.broadcast(fit)
 
-def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 18) -> Iterator[list[np.ndarray]]:
-    """Columns of small batches put together."""
-    waiting: list[pa.RecordBatch] = []
-    for batch in batches:
-        waiting.append(batch)
-        if sum(b.num_rows for b in waiting) >= rows:
-            yield [np.concatenate([b.column(i).to_numpy() for b in waiting]) for i in range(batch.num_columns)]
-            waiting = []
-    if sum(b.num_rows for b in waiting):
-        yield [np.concatenate([b.column(i).to_numpy() for b in waiting]) for i in range(waiting[0].num_columns)]
-
-
-def _tables(grams: DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Packed slots of the training documents without, and with, those for the weights.
-
-    The n-grams of a part of the longer orders' tables meet in as many tasks as they need,
-    which add them to arrays of fixed size as they come; then those arrays are added up.
-    The two short orders are added up by slot.
-    """
-    short = [o for o in mixing.ORDERS if o not in mixing.LONG]
-    base = np.concatenate([[0], np.cumsum([1 << mixing.SLOT_BITS[o - 1] for o in short])])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = np.zeros((2, 2 * int(base[-1])))
-        long: dict[tuple[int, int], np.ndarray] = {}
-        for gram, part, fit, mix in _gathered(batches):
-            gram, weights = gram.view(np.uint64), (np.tile(fit, 8), np.tile(fit + mix, 8))
-            bit = mixing.bits(gram).ravel()
-            for i, order in enumerate(short):
-                at = 2 * (mixing.slots(gram, order).ravel() + base[i]) + bit
-                for j in range(2):
-                    low[j] += np.bincount(at, weights=weights[j], minlength=low.shape[1])
-            by = np.argsort(part, kind="stable")
-            for rows in np.split(by, np.flatnonzero(np.diff(part[by])) + 1):
-                own, p = gram[rows], int(part[rows[0]])
-                bit, weights = mixing.bits(own).ravel(), (np.tile(fit[rows], 8), np.tile((fit + mix)[rows], 8))
-                for order in mixing.LONG:
-                    size = 1 << (mixing.SLOT_BITS[order - 1] - mixing.PART_BITS)
-                    at = 2 * (mixing.slots(own, order).ravel() & (size - 1)) + bit
-                    table = long.setdefault((order, p), np.zeros((2, 2 * size)))
-                    for j in range(2):
-                        table[j] += np.bincount(at, weights=weights[j], minlength=2 * size)
-        for (order, p), table in long.items():
-            fit, every = (t.tobytes() for t in table)
-            yield pa.RecordBatch.from_pydict({"order": [order], "at": [p], "fit": [fit], "every": [every], **{c: [0.0] for c in _COUNTS}}, schema=_ROWS)
-        seen = np.flatnonzero(low[1, 0::2] + low[1, 1::2])
-        none = pa.nulls(seen.size, pa.binary())
-        counts = [pa.array(c[seen]) for c in (low[0, 0::2], low[0, 1::2], low[1, 0::2], low[1, 1::2])]
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(seen.size, np.int64)), pa.array(seen), none, none, *counts], schema=_ROWS)
-
-    path, spark = shared_path(grams.sparkSession, "tables"), grams.sparkSession
-    salts = 1 + grams.count() // (PART_ROWS << mixing.PART_BITS)
-    salt = F.pmod(F.xxhash64("gram"), F.lit(salts)).cast("int")
-    counted = grams.repartition("part", salt).select("gram", "part", "fit", "mix").mapInArrow(
-        count, "order long, at long, fit binary, every binary, f0 double, f1 double, a0 double, a1 double"
-    )
-    counted.write.option("compression", "zstd").parquet(f"{path}/counts")
-    rows = spark.read.parquet(f"{path}/counts")
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[tuple[int, int], list[np.ndarray]] = {}
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         for batch in batches:
-            for order, p, *blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = [np.frombuffer(b) for b in blobs]
-                total[order, p] = [x + y for x, y in zip(total[order, p], own, strict=True)] if (order, p) in total else own
-        for (order, p), sums in total.items():
-            fit, every = (mixing.packed(t[0::2], t[1::2]).tobytes() for t in sums)
-            yield pa.RecordBatch.from_pydict({"order": [order], "at": [p], "fit": [fit], "every": [every]})
-
-    long_rows = rows.filter("order > 0").select("order", "at", "fit", "every")
-    long_rows = long_rows.repartition("order", "at").mapInArrow(add, "order long, at long, fit binary, every binary")
-    out = [[np.zeros(1 << bits, np.uint16) for bits in mixing.SLOT_BITS] for _ in range(2)]
-    # Tables of fixed size, whatever the corpus.
-    for row in long_rows.collect():
-        size = 1 << (mixing.SLOT_BITS[row.order - 1] - mixing.PART_BITS)
-        for i, blob in enumerate((row.fit, row.every)):
-            out[i][row.order - 1][row.at * size : (row.at + 1) * size] = np.frombuffer(blob, np.uint16)
-    low = rows.filter("order = 0").groupBy("at").agg(*(F.sum(c).alias(c) for c in _COUNTS)).toArrow()
-    at = low.column("at").to_numpy()
-    f0, f1, a0, a1 = (low.column(c).to_numpy() for c in _COUNTS)
-    for i, (zeros, ones) in enumerate(((f0, f1), (a0, a1))):
-        flat = np.zeros(int(base[-1]), np.uint16)
-        flat[at] = mixing.packed(zeros, ones)
-        for j, order in enumerate(short):
-            out[i][order - 1] = flat[base[j] : base[j + 1]]
-    return out[0], out[1]
-
-
-def train(grams: DataFrame) -> mixing.Model:
-    """The model of a table of n-gram counts (gram, fit, mix)."""
-    context = grams.sparkSession.sparkContext
-    fit, every = _tables(grams)
-    weights = mixing.new_weights()
-    learned = grams.filter("mix > 0").select("gram", "mix")
-    sent = context.broadcast(fit)
+            for nth, gram, mix, codes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                mix = _opened(mix, np.int64)
+                if mix.size:
+                    yield nth, _opened(gram, np.uint64), mix, _opened(codes, np.uint16, orders).T.reshape(len(mixing.LONG), 8, -1)
 
     for _ in range(PASSES):
 
         def passed(batches: Iterator[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
-            model, mass = mixing.Model(sent.value, weights.copy()), 0
-            for gram, mix in _gathered(batches):
+            for nth, gram, mix, codes in opened(batches):
+                model = mixing.Model(sent.value, weights.copy())
                 by = np.random.default_rng(7).permutation(gram.size)
-                model.learn(gram.view(np.uint64)[by], mix[by])
-                mass += int(mix.sum())
-            if mass:
-                flat = model.weights.ravel() * mass
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(flat.size)), pa.array(flat), pa.array(np.full(flat.size, mass))], ["i", "w", "mass"])
+                model.learn(gram[by], mix[by], codes[:, :, by])
+                yield pa.RecordBatch.from_pydict({"nth": [nth], "w": [model.weights.tobytes()], "mass": [int(mix.sum())]})
 
-        rows = learned.mapInArrow(passed, "i long, w double, mass long").groupBy("i").agg(F.sum("w").alias("w"), F.sum("mass").alias("mass")).collect()
+        # A few hundred numbers from each group, of which there are no more than parts.
+        rows = learned.mapInArrow(passed, "nth long, w binary, mass long").orderBy("nth").collect()
         if rows:
-            weights = weights.copy()
-            weights.ravel()[[r.i for r in rows]] = [r.w / r.mass for r in rows]
+            total = sum(np.frombuffer(r.w) * r.mass for r in rows)
+            weights = (total / sum(r.mass for r in rows)).reshape(weights.shape)
 
     def refined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = mixing.Model(sent.value, weights)
         ones, total = np.zeros(mixing.REFINED), np.zeros(mixing.REFINED)
-        for gram, mix in _gathered(batches):
-            gram, w = gram.view(np.uint64), np.tile(mix, 8)
-            cell = model.map_cells(gram, model.logits(*model.inputs(gram)))
-            ones += np.bincount(cell, weights=w * mixing.bits(gram).ravel(), minlength=mixing.REFINED)
-            total += np.bincount(cell, weights=w, minlength=mixing.REFINED)
+        for _, every_gram, every_mix, every_code in opened(batches):
+            for low in range(0, every_gram.size, 1 << 16):
+                gram, mix, codes = every_gram[low : low + (1 << 16)], every_mix[low : low + (1 << 16)], every_code[:, :, low : low + (1 << 16)]
+                w = np.tile(mix, 8)
+                cell = model.map_cells(gram, model.logits(*model.inputs(gram, codes)))
+                ones += np.bincount(cell, weights=w * mixing.bits(gram).ravel(), minlength=mixing.REFINED)
+                total += np.bincount(cell, weights=w, minlength=mixing.REFINED)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(mixing.REFINED)), pa.array(ones), pa.array(total)], ["cell", "ones", "total"])
 
     ones, total = np.zeros(mixing.REFINED), np.zeros(mixing.REFINED)
@@ -312,6 +311,22 @@ def train(grams: DataFrame) -> mixing.Model:
     return mixing.Model(every, weights, mixing.map_from(ones, total))
 
 
+def _answers(parts: DataFrame, merged: DataFrame, model: mixing.Model) -> DataFrame:
+    """block, part, probs: log10 of the probability of each of a block's n-grams."""
+    sent, rows = parts.sparkSession.sparkContext.broadcast(model), PART_ROWS
+
+    def answer(own: pa.Table, asked: pa.Table) -> pa.Table:
+        keys, count = (_opened(own.column(c)[0].as_py(), kind) for c, kind in (("grams", np.uint64), ("times", np.int64)))
+        each = np.zeros(keys.size, np.float32)
+        for piece, gram, codes in _long_codes(keys, [count], rows):
+            each[piece] = sent.value.log10(gram, codes[0])
+        probs = [_packed(each[np.searchsorted(keys, _opened(g, np.uint64))]) for g in asked.column("grams").to_pylist()]
+        return pa.table({"block": asked.column("block"), "part": asked.column("part"), "probs": pa.array(probs, pa.binary())})
+
+    asked = parts.select("block", F.posexplode("grams").alias("part", "grams")).filter("grams IS NOT NULL")
+    return merged.select("part", "grams", "times").groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(answer, "block long, part int, probs binary")
+
+
 def score_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text", folds: int = 5, remainder: int = 1) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     spark = df.sparkSession
@@ -321,10 +336,13 @@ def score_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text", f
     seen.groupBy("terms").agg(F.sum("counts").alias("c")).write.option("compression", "zstd").parquet(path)
     counts = spark.read.parquet(path)
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    model = spark.sparkContext.broadcast(train(_grams(parts)))
+    merged = _merged_parts(parts)
+    model = train(merged, max(1, min(mixing.PARTS, parts.count() // SLICES)))
 
     asked = parts.select("block", F.posexplode("terms").alias("place", "terms"))
-    answers = asked.join(counts, "terms").select("block", "place", "c")
+    none = F.lit(None)
+    answers = asked.join(counts, "terms").select("block", "place", "c", none.cast("binary").alias("probs"))
+    answers = answers.unionAll(_answers(parts, merged, model).select("block", "part", none.cast("long"), "probs"))
 
     def run(block: pa.Table, known: pa.Table) -> pa.Table:
         block = block.sort_by("nth")
@@ -332,13 +350,21 @@ def score_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text", f
         split = [_tokens(*_unpacked(*p)) for p in packed]
         terms, places = _merged([t for t, _, _ in split])
         found = np.zeros(len(terms), np.int64)
-        found[known.column("place").to_numpy()] = known.column("c").to_numpy()
+        spelled, probs = known.filter(pc.field("probs").is_null()), known.filter(pc.field("probs").is_valid()).sort_by("place")
+        found[spelled.column("place").to_numpy()] = spelled.column("c").to_numpy()
+        each_gram = np.concatenate([_opened(p, np.float32) for p in probs.column("probs").to_pylist()])
+        coded = []
+        for p in packed:
+            gram, bounds = mixing.grams(*_unpacked(*p))
+            gram = pa.array(gram).dictionary_encode()
+            coded.append((mixing.keyed(gram.dictionary.to_numpy()), gram.indices.to_numpy(), bounds))
+        keys = np.unique(np.concatenate([k for k, _, _ in coded]))
         out = []
         for i, ((_, codes, begin), place) in enumerate(zip(split, places, strict=True)):
             count = found[place]
             each = np.log10((count + 0.5) / (total + 0.5 * (distinct + 1)))
-            data, offsets = _unpacked(*packed[i])
-            score = model.value.scores(data, offsets)
+            own_keys, indices, bounds = coded[i]
+            score = np.add.reduceat(each_gram[np.searchsorted(keys, own_keys)].astype(np.float64)[indices], bounds[:-1])
             out.append(
                 pa.table(
                     {
@@ -349,7 +375,7 @@ def score_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text", f
                         "train_tokens": np.full(begin.size, total, np.int64),
                         "base_score": np.add.reduceat(each[codes], begin),
                         "score": score,
-                        "bits_per_byte": -score * np.log2(10) / (np.diff(offsets) + 1),
+                        "bits_per_byte": -score * np.log2(10) / np.diff(bounds),
                     }
                 )
             )

@@ -64,6 +64,16 @@ def test_walk_takes_each_leaf_once_nearest_first():
     assert np.mean(np.array(first) == tree.leaf_of(points[:200])) > 0.3
 
 
+def test_outliers_get_full_lists_too(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(20 * i + 1, (10 * np.eye(6)[i % 6] + rng.normal(size=6) / 50).tolist()) for i in range(900)]
+    rows += [(20 * i, (rng.normal(size=6) * 30).tolist()) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(kmeans_tree, "LEAF_ROWS", 4)
+    got = lists(nearest(df, recall=0.3).collect())
+    assert got.keys() == brute(rows).keys() and all(len(own) == 20 for own in got.values())
+
+
 @pytest.mark.parametrize("sf", ["sf0.1"])
 def test_recall_on_the_whole_table(spark, sf):
     path = f"/root/testdata/{sf}"

@@ -7,6 +7,7 @@
   their centre's distance, and leaves are taken in the order in which they come off it.
 * How many leaves: ``CALIBRATION`` vectors get their exact neighbours from all rows; the
   number of leaves is widened until the target share of those lies in the leaves visited.
+  A query whose leaves hold too few rows takes further ones; empty leaves are passed over.
 * Queries and vectors meet per branch of the root, in cells of bounded size: a branch's
   vectors, and its queries, are dealt over several cells. In a cell a query meets the
   vectors of its own leaves, one leaf after the other, and the cell hands on the query's
@@ -76,16 +77,19 @@ class Tree:
                     todo.append((child, own))
         return out
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, best bin first."""
+    def visits(self, query: np.ndarray, most: int, rows: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first ``most`` leaves, best bin first, and more until they hold ``least`` of
+        ``rows`` (number in each leaf); then leaves without rows do not count."""
         if not self.centres:
             return [0]
         point = np.append(query * (self.norm / np.linalg.norm(query)), 0.0)
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+        queue, out, held = [(0.0, 0)], [], 0
+        while queue and (len(out) < most or held < least):
             _, node = heapq.heappop(queue)
             if node < 0:
-                out.append(-1 - node)
+                if rows is None or rows[-1 - node]:
+                    out.append(-1 - node)
+                    held += 0 if rows is None else int(rows[-1 - node])
                 continue
             for d, child in zip(_distances(point[None], self.centres[node])[0].tolist(), self.children[node], strict=True):
                 heapq.heappush(queue, (d, child))
@@ -154,14 +158,15 @@ def _entries(rows: DataFrame, top: int) -> DataFrame:
     return few.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("entry"), "vec", "ids")
 
 
-def _exact(entries: DataFrame, queries: np.ndarray, top: int) -> list[set[int]]:
-    """Leaves (column leaf) of each query's exact nearest entries, with repeats by rank."""
-    sent = entries.sparkSession.sparkContext.broadcast(queries)
+def _exact(entries: DataFrame, queries: np.ndarray, own: np.ndarray, top: int) -> list[list[int]]:
+    """Leaves (column leaf) of each query's exact nearest entries but its own, with repeats by rank."""
+    sent = entries.sparkSession.sparkContext.broadcast((queries, own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             entry, leaf = (batch.column(i).to_numpy() for i in (0, 1))
-            score = sent.value @ _matrix(batch.column(2)).T
+            score = sent.value[0] @ _matrix(batch.column(2)).T
+            score[sent.value[1][:, None] == entry] = -np.inf
             best = np.argsort(-score, axis=1, kind="stable")[:, :top]
             rows, at = np.repeat(np.arange(score.shape[0]), best.shape[1]), best.ravel()
             yield pa.RecordBatch.from_arrays(
@@ -171,14 +176,14 @@ def _exact(entries: DataFrame, queries: np.ndarray, top: int) -> list[set[int]]:
     found = entries.select("entry", "leaf", "vec").mapInArrow(run, "query long, entry long, leaf long, score double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "entry"))
     out: list[list[int]] = [[] for _ in range(queries.shape[0])]
-    for r in found.withColumn("rank", rank).filter(F.col("rank") <= top).collect():
+    for r in found.filter(F.col("score") > float("-inf")).withColumn("rank", rank).filter(F.col("rank") <= top).collect():
         out[r.query].append(r.leaf)
     return out
 
 
-def calibrated_visits(tree: Tree, queries: np.ndarray, leaves: list[list[int]], recall: float) -> int:
+def calibrated_visits(tree: Tree, queries: np.ndarray, leaves: list[list[int]], recall: float, rows: np.ndarray | None = None) -> int:
     """Fewest leaves, doubled and then halved into, that hold the share ``recall``."""
-    order = [{leaf: i for i, leaf in enumerate(tree.visits(q, max(tree.leaves, 1)))} for q in queries]
+    order = [{leaf: i for i, leaf in enumerate(tree.visits(q, max(tree.leaves, 1), rows))} for q in queries]
     place = np.array([order[i][leaf] for i, own in enumerate(leaves) for leaf in own])
     if not place.size:
         return 1
@@ -206,7 +211,7 @@ def nearest(
 
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
     count, longest = entries.agg(F.count("*"), F.coalesce(F.max(norm), F.lit(1.0))).first()
-    chosen = entries.filter(_draw() < SAMPLE / max(count, 1)).select("vec").toArrow()
+    chosen = entries.filter(_draw() < SAMPLE / max(count, 1)).select("entry", "vec").toArrow()
     sample = _matrix(chosen.column("vec").combine_chunks()) if chosen.num_rows else np.zeros((0, 1))
     tree = build_tree(sample, longest, max(1, count // LEAF_ROWS))
     sent = spark.sparkContext.broadcast(tree)
@@ -224,9 +229,14 @@ def nearest(
     asked = rows.filter(F.col("id") % every == 0).join(entries.select("vec", "entry"), "vec").select(F.col("id").alias("query_id"), F.col("entry").alias("query"))
     asked.write.parquet(f"{path}/asked")
     asked = spark.read.parquet(f"{path}/asked")
-    trial = entries.filter(_draw(29) < CALIBRATION / max(count, 1)).select("vec").toArrow()
-    points = _matrix(trial.column("vec").combine_chunks()) if trial.num_rows else sample[:CALIBRATION]
-    visits = calibrated_visits(tree, points, _exact(indexed, points, top) if count else [], recall)
+    trial = entries.filter(_draw(29) < CALIBRATION / max(count, 1)).select("entry", "vec").toArrow()
+    trial = trial if trial.num_rows else chosen[:CALIBRATION]
+    points = _matrix(trial.column("vec").combine_chunks()) if trial.num_rows else sample
+    # One number per leaf.
+    held = np.zeros(max(tree.leaves, 1), np.int64)
+    for r in indexed.groupBy("leaf").count().collect():
+        held[r.leaf] = r["count"]
+    visits = calibrated_visits(tree, points, _exact(indexed, points, trial.column("entry").to_numpy(), top) if count else [], recall, held)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         branch = sent.value.branch or [0]
@@ -234,7 +244,7 @@ def nearest(
             own: list[dict[int, list[int]]] = []
             for q in _matrix(batch.column(1)) if batch.num_rows else ():
                 own.append({})
-                for leaf in sent.value.visits(q, visits):
+                for leaf in sent.value.visits(q, visits, held, top + 1):
                     own[-1].setdefault(branch[leaf], []).append(leaf)
             rows = pa.array(np.repeat(np.arange(len(own)), [len(o) for o in own]))
             branches = pa.array([b for o in own for b in o], pa.int64())

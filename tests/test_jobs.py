@@ -64,10 +64,26 @@ def test_default_data_set_without_key_schema_or_split(spark, tmp_path):
     assert all(len(r["text"].split()) <= 7 and r["n_tokens"] > 7 for r in got)
     texts = list(full.elements())
     assert all(any(t.startswith(r["text"]) for t in texts) for r in got)
+    # The order is that of the file, and the plan goes on from there.
+    assert [r["text"] for r in got[:130]] == [r["text"] for r in got[70:200]]
     again = prepare_feed(spark, output + "2", jsonl_path=source, plan=BatchPlan(4, 1, 2), max_length=7)
     assert {(r["p"], r["text"]) for r in again.collect()} == {(r["p"], r["text"]) for r in got}
 
 
+def test_rows_are_in_the_order_of_the_files(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for name in ("b", "a", "c"):
+        lines = [json.dumps({"instruction": f"{name}{i}"}) + "\n" for i in range(50)]
+        (source / f"{name}.jsonl").write_text("".join(lines))
+    want = [f"{name}{i}" for name in "abc" for i in range(50)]
+    for steps, n in ((-1, 150), (7, 56)):
+        feed = prepare_feed(spark, str(tmp_path / f"feed{n}"), jsonl_path=str(source), plan=BatchPlan(2, 1, 4, max_steps=steps))
+        got = sorted(feed.collect(), key=lambda r: r["p"])
+        assert [r["text"].split("<|user|>")[1].split("<|end|>")[0] for r in got] == want[:n]
+        assert [(r["p"], r["rank"], r["step"]) for r in got] == [(i, i % 2, i // 8 + 1) for i in range(n)]
+
+
 def test_flat_data_set_and_default_split(spark, tmp_path):
     base, output = str(tmp_path / "sets"), str(tmp_path / "feed")
     mixed_rows(spark, SF_DIR).write.parquet(f"{base}/flat")

@@ -2,12 +2,14 @@
 
 import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tunefeed.operators import ordered
-from tunefeed.operators.ordered import number_rows, number_within, previous_within
+from tunefeed.operators.ordered import key_bound, number_file_rows, number_rows, number_within, previous_within
+from tunefeed.session import shared_path
 
 
 def rows_with_a_hot_key(n, seed):
@@ -184,3 +186,99 @@ def test_no_group_is_split_when_the_list_of_groups_would_be_too_long(spark, monk
     df = spark.range(1000).selectExpr("id % 100 AS g", "id AS i")
     got = number_within(df, ["g"], ["i"], "nth", max_group_rows=5)
     assert got.groupBy("nth").count().filter("count = 100").count() == 10
+
+
+@pytest.mark.parametrize("capped", [None, 500])
+def test_input_is_computed_once(spark, capped):
+    """Rows that pass a Python stage above are counted there; keys are asked for by themselves."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passed.add(len(batch))
+            yield batch
+
+    df = spark.range(10_000).selectExpr("id AS a", "id % 7 AS b").mapInPandas(count, "a long, b long")
+    got = number_rows(df, ["b", "a"], rows_per_bucket=1000)
+    assert got.count() == 10_000 and got.agg(F.max("p")).first()[0] == 9999
+    assert passed.value == 10_000
+
+
+@pytest.mark.parametrize(
+    ("shape", "keep"),
+    [("spread", 1), ("spread", 2999), ("ties", 70), ("ties", 9999), ("one key", 70), ("hot third", 3000), ("nulls", 70), ("text", 5000)],
+)
+def test_key_bound(spark, monkeypatch, keep, shape):
+    monkeypatch.setattr(ordered, "_SAMPLE", 40)
+    monkeypatch.setattr(ordered, "_PIVOTS", 8)
+    rng = random.Random(keep)
+    rows = {
+        "spread": [(rng.randrange(10**9), i) for i in range(10_000)],
+        "ties": [(rng.randrange(3), rng.randrange(3)) for i in range(10_000)],
+        "one key": [(5, 5)] * 10_000,
+        "hot third": [(0 if i % 3 else rng.randrange(-9, 9), i) for i in range(10_000)],
+        "nulls": [(None if i % 2 else rng.randrange(50), None if i % 5 == 0 else i) for i in range(10_000)],
+        "text": [(f"{rng.random():.7f}", i) for i in range(10_000)],
+    }[shape]
+    kind = "string" if shape == "text" else "long"
+    df = spark.createDataFrame(rows, f"a {kind}, b long").repartition(6)
+    slack = 50
+    bound = key_bound(df, ["a", "b"], keep, slack)
+    order = sorted((tuple((v is None, v) for v in r) for r in rows))
+    if bound is None:
+        assert keep + slack >= 10_000 or shape == "one key" or order[keep - 1] >= order[-1 - slack]
+        return
+    values = [None if v is None else v if kind == "string" and i == 0 else int(v) for i, v in enumerate(bound)]
+    end = tuple((v is None, v) for v in values)
+    under = sum(r <= end for r in order)
+    assert under >= keep
+    # Beyond the slack there are only rows that share the last key.
+    assert under <= keep + slack or sum(r < end for r in order) < keep
+    if (shape, keep) in (("ties", 70), ("nulls", 70)):
+        got = check_numbering(number_rows(df, ["a", "b"], rows_per_bucket=100, keep_below=keep), ["a", "b"])
+        assert [tuple((v is None, v) for v in r[:2]) for r in got] == order[:keep]
+
+
+def test_key_bound_writes_nothing(spark):
+    folder = Path(shared_path(spark, "bound").removeprefix("file://").removeprefix("file:")).parent
+    folder.mkdir(parents=True, exist_ok=True)
+    before = set(folder.iterdir())
+    df = spark.range(50_000).selectExpr("xxhash64(id) AS a", "id AS b")
+    assert key_bound(df, ["a", "b"], 100, 100) is not None
+    assert set(folder.iterdir()) == before
+
+
+def test_file_rows_over_many_files_and_splits(spark):
+    """Lines of all lengths, blank ones among them; splits end in the middle of lines."""
+    rng = random.Random(7)
+    path, want, n = shared_path(spark, "lines"), [], 0
+    for name in ("b 2.json", "a.json", "c.json", "empty.json", "dir.json"):
+        lines = []
+        for i in range(0 if name.startswith("empty") else 400):
+            lines.append(f'{{"f": "{name}", "i": {i}, "t": "{"x" * rng.randrange(300)}"}}')
+            if rng.random() < 0.2:
+                lines.append("")
+        spark.createDataFrame([("\n".join(lines),)], "v string").coalesce(1).write.text(f"{path}/{name}")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+        df = spark.read.schema("f string, i long, t string").option("recursiveFileLookup", "true").json(path)
+        splits = df.select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
+        assert splits > 20
+        rows = number_file_rows(df).collect()
+        some = number_file_rows(df, keep_below=450).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    got = {r.p: (r.f, r.i) for r in rows}
+    want = [(name, i) for name in ("a.json", "b 2.json", "c.json", "dir.json") for i in range(400)]
+    assert got == dict(enumerate(want)) and rows[0].asDict().keys() == {"f", "i", "t", "p"}
+    assert {r.p: (r.f, r.i) for r in some} == dict(enumerate(want[:450]))
+
+
+def test_file_rows_through_filters_and_formats(spark):
+    path = shared_path(spark, "parquet")
+    spark.range(1000).repartitionByRange(5, "id").sortWithinPartitions("id").write.parquet(path)
+    even = spark.read.parquet(path).filter("id % 2 = 0").withColumn("twice", F.col("id") * 2)
+    got = number_file_rows(even, out="n").collect()
+    assert sorted((r.n, r.id, r.twice) for r in got) == [(i, 2 * i, 4 * i) for i in range(500)]
+    assert number_file_rows(spark.read.parquet(path).filter("id < 0")).count() == 0

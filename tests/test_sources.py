@@ -4,9 +4,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tunefeed.operators.batching import BatchPlan, plan_batches
 from tunefeed.session import shared_path
-from tunefeed.sources.artifacts import artifact_manifest
+from tunefeed.sources.artifacts import artifact_diff, artifact_manifest, tree_digest
 from tunefeed.sources.datasets import load_split, read_jsonl, resolve_source, write_jsonl
+from tunefeed.sources.feed import feed_after_checkpoint, feed_from_step, read_feed_index, write_training_feed
 
 
 def triples(spark):
@@ -144,3 +146,113 @@ def test_only_a_local_session_may_take_its_own_folder():
     assert shared_path(session, "x").startswith(session.folder)
     with pytest.raises(ValueError):
         shared_path(FakeSession("spark://host:7077"), "x")
+
+
+def write_tree(root, files):
+    for name, text in files.items():
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+
+
+def digests(spark, root):
+    return tree_digest(artifact_manifest(spark, str(root), with_hash=True), str(root))
+
+
+def test_diff_of_written_trees(spark, tmp_path):
+    files = {f"d{i % 4}/e{i % 3}/f{i}.txt": f"text {i}" for i in range(40)} | {"top.txt": "t", "é ü/日本.txt": "x", "name": "file"}
+    write_tree(tmp_path / "a", files)
+    other = dict(files) | {"d0/e0/f0.txt": "changed", "d9/new/deep/er.txt": "added", "d1/e1/f1.txt": "text 1"}
+    other |= {"d2/moved.txt": other.pop("d2/e2/f2.txt"), "name/inside": "a folder now"}
+    del other["d3/e0/f3.txt"], other["name"]
+    write_tree(tmp_path / "b", other)
+    a, b = digests(spark, tmp_path / "a"), digests(spark, tmp_path / "b")
+    got = sorted(tuple(r) for r in artifact_diff(a, b).collect())
+    want = [(n, "changed") for n in files.keys() & other.keys() if files[n] != other[n]]
+    want += [(n, "added") for n in other.keys() - files.keys()] + [(n, "removed") for n in files.keys() - other.keys()]
+    assert got == sorted(want) and len(got) == 7
+    assert artifact_diff(a, a).count() == 0 and artifact_diff(b, digests(spark, tmp_path / "b")).count() == 0
+
+
+def test_digest_is_of_names_and_contents(spark, tmp_path):
+    files = {"x/1": "a", "x/2": "b", "y": "c"}
+    for name in ("a", "b", "c", "d"):
+        write_tree(tmp_path / name, files)
+    (tmp_path / "c" / "x" / "1").write_text("b"), (tmp_path / "c" / "x" / "2").write_text("a")
+    (tmp_path / "d" / "y").rename(tmp_path / "d" / "z")
+    trees = {n: {r["name"]: r for r in digests(spark, tmp_path / n).collect()} for n in "abcd"}
+    assert {n: r["digest"] for n, r in trees["a"].items()} == {n: r["digest"] for n, r in trees["b"].items()}
+    assert len({t[""]["digest"] for t in trees.values()}) == 3
+    assert trees["a"]["x"]["digest"] == trees["d"]["x"]["digest"] != trees["c"]["x"]["digest"]
+    a = trees["a"]
+    assert [(n, a[n].parent, a[n].depth, a[n].folder) for n in sorted(a)] == [
+        ("", None, 0, True), ("x", "", 1, True), ("x/1", "x", 2, False), ("x/2", "x", 2, False), ("y", "", 1, False)
+    ]
+
+
+def test_diff_looks_into_folders_that_differ_only(spark, tmp_path):
+    files = {f"d{i}/f{j}": "t" for i in range(5) for j in range(5)}
+    write_tree(tmp_path / "a", files)
+    write_tree(tmp_path / "b", files | {"d3/f0": "u"})
+    a, b = digests(spark, tmp_path / "a"), digests(spark, tmp_path / "b")
+    # Were d1 looked into, the row that is missing there would come up.
+    a = a.filter("name <> 'd1/f1'")
+    assert [tuple(r) for r in artifact_diff(a, b).collect()] == [("d3/f0", "changed")]
+
+
+def test_empty_trees(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    write_tree(tmp_path / "b", {"f": "1"})
+    a, b = digests(spark, tmp_path / "a"), digests(spark, tmp_path / "b")
+    assert a.count() == 0
+    assert [tuple(r) for r in artifact_diff(a, b).collect()] == [("f", "added")]
+    assert [tuple(r) for r in artifact_diff(b, a).collect()] == [("f", "removed")]
+
+
+def planned_feed(spark, path, n=4000, **settings):
+    plan = BatchPlan(world_size=4, per_device_batch=1, accumulation=2)
+    rows = spark.range(n).selectExpr("id", "repeat('x', 20) AS text")
+    df = plan_batches(rows, ["id"], plan, rows_per_bucket=200)
+    write_training_feed(df, path, 4, **settings)
+    return df
+
+
+@pytest.mark.parametrize("settings", [{"shuffle": False}, {"rows_per_shard": 100, "shuffle": True}])
+def test_feed_from_step_reads_the_files_needed(spark, settings):
+    path = shared_path(spark, "a feed")
+    df = planned_feed(spark, path, **settings)
+    index = read_feed_index(spark, path).collect()
+    assert sum(r.n_rows for r in index) == 4000 and len(index) >= 40
+    for step, rank, end in [(1, None, None), (251, None, None), (251, 3, None), (490, 1, 495), (500, None, None), (501, None, None)]:
+        got = feed_from_step(spark, path, step, rank, end)
+        want = df.filter(F.col("step") >= step)
+        want = want if rank is None else want.filter(F.col("rank") == rank)
+        want = want if end is None else want.filter(F.col("step") < end)
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect())
+        assert got.select(*df.columns).schema["rank"].dataType.simpleString() == "bigint"
+        needed = [r for r in index if r.last_step >= step and rank in (None, r.rank) and (end is None or r.first_step < end)]
+        assert len(got.inputFiles()) == len(needed)
+    assert len(feed_from_step(spark, path, 490).inputFiles()) < len(index) / 4
+
+
+def test_feed_after_checkpoint(spark):
+    path = shared_path(spark, "feed")
+    df = planned_feed(spark, path, n=200)
+    manifest = spark.createDataFrame([("a", 4), ("a", 20), ("b", 25)], "run_id string, step long")
+    for run, first in (("a", 21), ("b", 26), ("none", 1)):
+        got = feed_after_checkpoint(spark, path, manifest, run)
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in df.filter(F.col("step") >= first).collect())
+
+
+def test_files_of_a_feed_are_few(spark):
+    """Many tasks and ranks, few rows: by default the feed is exchanged, not cut to pieces."""
+    rows = spark.range(0, 4000, 1, 100).selectExpr("id AS p", "id % 64 AS rank", "'x' AS text")
+    for shuffle, files in ((None, 64), (True, 64), (False, 100)):
+        path = shared_path(spark, "feed")
+        write_training_feed(rows, path, 64, shuffle=shuffle)
+        n = len(spark.read.parquet(path).inputFiles())
+        assert n == files if shuffle is not False else n > 1000
+    few = spark.range(0, 4000, 1, 3).selectExpr("id AS p", "id % 4 AS rank", "'x' AS text")
+    path = shared_path(spark, "feed")
+    write_training_feed(few, path, 4)
+    assert len(spark.read.parquet(path).inputFiles()) == 12

@@ -1,8 +1,8 @@
 """Chat template: message list -> one string.
 
-The template of a real model comes with its tokenizer. The default below is a
-plain ``<|role|>content<|end|>`` line per turn; pass other markers to match a
-model.
+The template of a real model comes with its tokenizer, as text: ``compile_template``
+makes a ``TemplateText`` of it. The default below is a plain ``<|role|>content<|end|>``
+line per turn, with markers to choose.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tunefeed.functions.messages import SYSTEM_CONTENT
+from tunefeed.functions.messages import SYSTEM_CONTENT, triple_to_messages
+from tunefeed.functions.template import TemplateText
 from tunefeed.functions.text import build_user_text, clean_text
 
 
@@ -38,8 +39,13 @@ class ChatTemplate:
 DEFAULT_TEMPLATE = ChatTemplate()
 
 
-def render_chat(messages: Column, template: ChatTemplate = DEFAULT_TEMPLATE) -> Column:
+Template = ChatTemplate | TemplateText
+
+
+def render_chat(messages: Column, template: Template = DEFAULT_TEMPLATE) -> Column:
     """All turns, no prompt for a further one."""
+    if isinstance(template, TemplateText):
+        return template.render(messages)
     return F.array_join(
         F.transform(messages, lambda m: template.turn(m["role"], m["content"])),
         template.turn_separator,
@@ -47,9 +53,14 @@ def render_chat(messages: Column, template: ChatTemplate = DEFAULT_TEMPLATE) ->
 
 
 def render_prompt(
-    messages: Column, template: ChatTemplate = DEFAULT_TEMPLATE, role: str = "assistant"
+    messages: Column, template: Template = DEFAULT_TEMPLATE, role: str = "assistant"
 ) -> Column:
-    """All turns and the header of the turn the model is to write."""
+    """All turns and the header of the turn the model is to write.
+
+    A template's text knows by itself what that header is, and does not ask for ``role``.
+    """
+    if isinstance(template, TemplateText):
+        return template.render(messages, add_generation_prompt=True)
     header = F.concat(F.lit(template.turn_separator), template.header(F.lit(role)))
     return F.concat(render_chat(messages, template), header)
 
@@ -58,13 +69,16 @@ def render_triple(
     instruction: Column,
     input_: Column,
     output: Column,
-    template: ChatTemplate = DEFAULT_TEMPLATE,
+    template: Template = DEFAULT_TEMPLATE,
 ) -> Column:
     """``render_chat(triple_to_messages(...))`` without building the array.
 
     Three turns known beforehand need no array and no lambda, so the projection
-    stays in whole-stage codegen.
+    stays in whole-stage codegen. A template's text gets the array, as it may look
+    at any message from any other.
     """
+    if isinstance(template, TemplateText):
+        return template.render(triple_to_messages(instruction, input_, output))
     return F.concat_ws(
         template.turn_separator,
         template.turn(F.lit("system"), F.lit(SYSTEM_CONTENT)),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunefeed.functions.tokens import first_space_tokens, space_token_count
-from tunefeed.operators.ordered import ROWS_PER_BUCKET, number_rows
+from tunefeed.operators.ordered import ROWS_PER_BUCKET, number_file_rows, number_rows
 from tunefeed.session import shared_path
 
 
@@ -62,14 +62,22 @@ def step_cap(df: DataFrame, max_steps: int, step: str = "step") -> DataFrame:
 
 
 def plan_batches(
-    df: DataFrame, keys: list[str], plan: BatchPlan, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame,
+    keys: list[str] | None,
+    plan: BatchPlan,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    stored: bool = False,
 ) -> DataFrame:
     """Number the rows and add ``rank``, ``step`` and ``micro``.
 
-    The step cap acts here, on key ranges, so call this before rendering: rows
-    past the cap are neither shuffled nor rendered.
+    Rows are in key order; without keys, in that of the files ``df`` was read from. The step
+    cap acts here, on key ranges or files, so call this before rendering: rows past the cap
+    are neither shuffled nor rendered.
     """
-    numbered = number_rows(df, keys, "p", rows_per_bucket, keep_below=plan.row_limit)
+    if keys:
+        numbered = number_rows(df, keys, "p", rows_per_bucket, plan.row_limit, stored)
+    else:
+        numbered = number_file_rows(df, "p", plan.row_limit)
     return assign_step(assign_rank(numbered, plan.world_size), plan)
 
 
@@ -112,6 +120,7 @@ def pack_sequences(
     tokens: str = "n_tok",
     rank: str = "rank",
     rows_per_cell: int = ROWS_PER_BUCKET,
+    stored: bool = False,
 ) -> DataFrame:
     """Lay the rows of each rank end to end and cut into blocks of ``max_length``.
 
@@ -123,12 +132,15 @@ def pack_sequences(
     A NULL count is 0. Running sums are taken inside cells of ``rows_per_cell``
     positions; a cell starts from the total of those before it, so no task holds a
     whole rank. Positions are dense, hence cells are of one size. The rows are
-    written to the shared folder, as they are read for both.
+    written to the shared folder, as they are read for both; ``stored`` says that they
+    cost no more than a scan, as after ``plan_batches``, and need no copy.
     """
     known = df.withColumn(tokens, F.coalesce(F.col(tokens).cast("bigint"), F.lit(0).cast("bigint")))
-    path = shared_path(df.sparkSession, "cells")
-    known.withColumn("__cell", _div(F.col(position), rows_per_cell)).write.parquet(path)
-    rows = df.sparkSession.read.parquet(path)
+    rows = known.withColumn("__cell", _div(F.col(position), rows_per_cell))
+    if not stored:
+        path = shared_path(df.sparkSession, "cells")
+        rows.write.parquet(path)
+        rows = df.sparkSession.read.parquet(path)
     cells = rows.groupBy(rank, "__cell").agg(F.sum(tokens).alias("n"))
     before_cell = Window.partitionBy(rank).orderBy("__cell")
     starts = cells.select(

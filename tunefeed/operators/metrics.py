@@ -136,11 +136,16 @@ def time_per_step(
     before = previous_within(
         df, ["run_id"], ["logged_at", tie_break], "logged_at", "__previous", max_run_rows
     )
-    micros = F.timestamp_diff("MICROSECOND", F.col("__previous"), F.col("logged_at"))
-    seconds = micros / F.lit(1e6) / F.lit(max(logging_steps, 1))
+    seconds = seconds_per_step(F.col("__previous"), F.col("logged_at"), logging_steps)
     return before.withColumn("time_per_step", seconds).drop("__previous")
 
 
+def seconds_per_step(previous: Column, logged_at: Column, logging_steps: int) -> Column:
+    """Seconds between two records over the steps between them (at least 1)."""
+    micros = F.timestamp_diff("MICROSECOND", previous, logged_at)
+    return micros / F.lit(1e6) / F.lit(max(logging_steps, 1))
+
+
 def time_per_step_metric(timed: DataFrame, keep: tuple[str, ...] = ("run_id", "step")) -> DataFrame:
     """The output of ``time_per_step`` as metric rows, to union with the others."""
     return timed.filter(F.col("time_per_step").isNotNull()).select(

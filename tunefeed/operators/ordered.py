@@ -1,10 +1,14 @@
 """Numbering and look-back over ordered rows, without a single-task window.
 
-Rows are ranged by all keys (``repartitionByRange``: any orderable type, every key
-counts), sorted and written once. A row's place in the written table, partition
-and row, then is a fact that every later read agrees on; what a partition needs
-from those before it (how many rows there are, or the last value) comes from a
-table with one row per partition, or per group and partition.
+Rows are computed once and written; what is written is ranged by all keys
+(``repartitionByRange``: any orderable type, every key counts), sorted and written
+again. A row's place in that table, partition and row, then is a fact that every
+later read agrees on; what a partition needs from those before it (how many rows
+there are, or the last value) comes from a table with one row per partition, or
+per group and partition.
+
+Rows in the order of the files they come from need no sort: their place in their
+split, and the rows of the splits before, are counted while they are written.
 """
 
 from __future__ import annotations
@@ -25,6 +29,12 @@ MAX_BUCKETS = 100_000
 _PLACE = "__place"
 _BUCKET = "__bucket"
 _OFFSET = "__offset"
+_FILE = "__file"
+_BLOCK = "__block"
+_LOT = "__lot"
+# Rows that key_bound draws, and keys between which it counts, in one round.
+_SAMPLE = 1024
+_PIVOTS = 64
 
 
 def number_rows(
@@ -33,19 +43,22 @@ def number_rows(
     out: str = "p",
     rows_per_bucket: int = ROWS_PER_BUCKET,
     keep_below: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add the dense 0-based position of each row in key order (NULLs last).
 
     Keys are of any orderable type. Rows with equal keys get positions of their
-    own, in an order that is fixed once the call returns. The data is shuffled
-    once and written to the shared folder. With ``keep_below`` only positions
-    under it are kept: a pass over the keys alone finds their upper bound, and
-    rows beyond it are neither shuffled nor written; a bound on the leading key
-    goes to the scan.
+    own, in an order that is fixed once the call returns. The input is computed
+    once and written to the shared folder, and shuffled and written from there;
+    ``stored`` says that it is a table as it was written, which needs no copy.
+
+    With ``keep_below`` only positions under it are kept: ``key_bound`` looks for the
+    end of their keys, and rows beyond it are neither shuffled nor written; a bound on
+    the leading key goes to the scan.
     """
     if keep_below is not None:
-        df = _bounded(df, keys, rows_per_bucket, keep_below)
-    ranged = _ranged(df, keys, rows_per_bucket)
+        df = _bounded(df, keys, keep_below, rows_per_bucket)
+    ranged = _ranged(df if stored else _stored(df), keys, rows_per_bucket)
     sizes = ranged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).orderBy(_BUCKET).collect()
     starts = list(itertools.accumulate((r["n"] for r in sizes), initial=0))[:-1]
     # At most MAX_BUCKETS rows of two numbers.
@@ -64,37 +77,147 @@ def number_rows(
     return numbered.drop(_BUCKET, _OFFSET, _PLACE)
 
 
-def _bounded(df: DataFrame, keys: list[str], rows_per_bucket: int, keep_below: int) -> DataFrame:
-    """The rows up to the end of the key range that position ``keep_below`` - 1 is in."""
-    parts = _ranged(df.select(*keys), keys, rows_per_bucket)
-    last = F.max_by(F.struct(*[_plain(df, k).alias(k) for k in keys]), _PLACE).alias("last")
-    sizes = parts.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"), last).orderBy(_BUCKET)
-    before = 0
-    for r in sizes.collect():  # at most MAX_BUCKETS rows
-        before += r["n"]
-        if before >= keep_below:
-            break
-    else:
+def number_file_rows(df: DataFrame, out: str = "p", keep_below: int | None = None) -> DataFrame:
+    """Add the dense 0-based position of each row in file order: by the files' paths, and in
+    a file by line (or row).
+
+    ``df`` comes straight from a file reader (JSON lines, text, CSV, Parquet, ...); filters and
+    other columns may stand between, no shuffle. Lines that give no row, such as blank ones, do
+    not count. The rows are computed and written once, each with its split, file and offset;
+    rows per split are then added up in the order of the splits, of which the driver holds one
+    row each. With ``keep_below`` files beyond that position are not read again after a count.
+    """
+    split = [F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_block_start").alias(_BLOCK)]
+    if keep_below is not None:
+        counts = df.select(*split).groupBy(_FILE).agg(F.count(F.lit(1)).alias("n")).orderBy(_FILE)
+        last, before = None, 0
+        for r in counts.collect():  # one row per file
+            last, before = r[_FILE], before + r["n"]
+            if before >= keep_below:
+                break
+        if last is not None:
+            df = df.filter(F.col("_metadata.file_path") <= last)
+    rows = _stored(df.select("*", *split, F.monotonically_increasing_id().alias(_PLACE)))
+    splits = rows.groupBy(_FILE, _BLOCK).agg(F.min(_PLACE).alias("first"), F.count(F.lit(1)).alias("n"))
+    ordered = splits.orderBy(_FILE, _BLOCK).collect()
+    starts = list(itertools.accumulate((r["n"] for r in ordered), initial=0))[:-1]
+    offsets = df.sparkSession.createDataFrame(
+        pa.table(
+            {
+                _FILE: pa.array([r[_FILE] for r in ordered], pa.string()),
+                _BLOCK: pa.array([r[_BLOCK] for r in ordered], pa.int64()),
+                _OFFSET: pa.array([s - r["first"] for s, r in zip(starts, ordered)], pa.int64()),
+            }
+        )
+    )
+    # Spark broadcasts the splits while they are few, and joins by shuffle beyond that.
+    numbered = rows.join(offsets, [_FILE, _BLOCK]).withColumn(out, F.col(_OFFSET) + F.col(_PLACE))
+    if keep_below is not None:
+        numbered = numbered.filter(F.col(out) < keep_below)
+    return numbered.drop(_FILE, _BLOCK, _PLACE, _OFFSET)
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = shared_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _bounded(df: DataFrame, keys: list[str], keep_below: int, rows_per_bucket: int) -> DataFrame:
+    """The rows up to ``key_bound``."""
+    bound = key_bound(df, keys, keep_below, max(keep_below // 8, rows_per_bucket // 10))
+    if bound is None:
         return df
-    bound = [_literal(df.schema[k].dataType, r["last"][k]) for k in keys]
-    ends = F.struct(*[c for b in bound for c in (F.isnull(b), b)])
-    below = df.filter(F.struct(*_comparable(keys)) <= ends)
-    if r["last"][keys[0]] is not None:
-        below = below.filter(F.col(keys[0]) <= bound[0])
+    ends = [_literal(df.schema[k].dataType, v) for k, v in zip(keys, bound)]
+    below = df.filter(_key(keys) <= _key_of(ends))
+    if bound[0] is not None:
+        below = below.filter(F.col(keys[0]) <= ends[0])
     return below
 
 
+def key_bound(df: DataFrame, keys: list[str], wanted: int, slack: int) -> list[str | None] | None:
+    """Keys, as text, that at least ``wanted`` rows are not above; None when that needs all rows.
+
+    Selection without a sort: pivots from a sample of the rows still in question, a count of
+    the rows between them, and again within the two pivots that ``wanted`` lies between, until no
+    more than ``slack`` rows too many are below, or rows of one key are all that is left. Only the
+    key columns are read, nothing is shuffled but counts, and nothing is written.
+    """
+    kinds = [df.schema[k].dataType for k in keys]
+    if any(isinstance(k, (T.StructType, T.ArrayType, T.VariantType)) for k in kinds):
+        return None
+    rows = df.select(*keys)
+    inside = rows.count()
+    if inside <= wanted + slack:
+        return None
+    low: list[Column] | None = None
+    high: list[str | None] | None = None
+    within, under = rows, 0  # under: rows at or below ``low``
+    while under + inside > wanted + slack:
+        # By row, not by key: common keys come up as often as they are common.
+        lot = F.xxhash64(F.monotonically_increasing_id(), F.lit(inside))
+        texts = [_plain(rows, k).alias(f"k{i}") for i, k in enumerate(keys)]
+        drawn = within.withColumn(_LOT, lot).orderBy(_LOT).limit(_SAMPLE).orderBy(*_ascending(keys))
+        sample = [tuple(r) for r in drawn.select(*texts).collect()]
+        pivots = _pivots(sample, (wanted - under) / inside)
+        bounds = [[_literal(kind, v) for kind, v in zip(kinds, p)] for p in pivots]
+        place = _place_among(_key(keys), [_key_of(b) for b in bounds])
+        counted = dict(within.groupBy(place.alias("i")).count().collect())
+        i, before = 0, under
+        while before + counted.get(i, 0) < wanted and i < len(pivots):
+            before, i = before + counted.get(i, 0), i + 1
+        if counted.get(i, 0) == inside and (i == len(pivots) or list(pivots[i]) == high):
+            break  # one key, or the sample could not tell the rows apart
+        under, inside = before, counted.get(i, 0)
+        low = bounds[i - 1] if i else low
+        high = list(pivots[i]) if i < len(pivots) else high
+        within = rows
+        if low is not None:
+            within = within.filter(_key(keys) > _key_of(low))
+        if high is not None:
+            within = within.filter(_key(keys) <= _key_of([_literal(kind, v) for kind, v in zip(kinds, high)]))
+    return high
+
+
+def _pivots(sample: list[tuple], share: float) -> list[tuple]:
+    """Distinct keys out of a sorted sample: some all over it, and those around ``share`` of it."""
+    half = _PIVOTS // 2
+    middle = int(share * len(sample))
+    chosen = {*range(0, len(sample), max(len(sample) // half, 1)), *range(middle - half // 2, middle + half // 2)}
+    picked = [sample[i] for i in sorted(chosen) if 0 <= i < len(sample)]
+    return [p for i, p in enumerate(picked) if not i or p != picked[i - 1]]
+
+
+def _place_among(key: Column, bounds: list[Column], first: int = 0) -> Column:
+    """How many bounds a key is above, by halving."""
+    if not bounds:
+        return F.lit(first)
+    half = len(bounds) // 2
+    above = _place_among(key, bounds[half + 1 :], first + half + 1)
+    return F.when(key > bounds[half], above).otherwise(_place_among(key, bounds[:half], first))
+
+
+def _key(keys: list[str]) -> Column:
+    """A struct that compares as ``_ascending`` sorts."""
+    return _key_of([F.col(k) for k in keys])
+
+
+def _key_of(values: list[Column]) -> Column:
+    return F.struct(*[c for v in values for c in (F.isnull(v), v)])
+
+
 def _plain(df: DataFrame, key: str) -> Column:
     """A key as text from which ``_literal`` makes the same value again."""
-    if isinstance(df.schema[key].dataType, T.TimestampType):
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.TimestampType):
         return F.unix_micros(key).cast("string")
-    return F.col(key).cast("string")
+    return F.hex(key) if isinstance(kind, T.BinaryType) else F.col(key).cast("string")
 
 
 def _literal(kind: T.DataType, text: str | None) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.timestamp_micros(F.lit(text).cast("bigint"))
-    return F.lit(text).cast(kind)
+    return F.unhex(F.lit(text)) if isinstance(kind, T.BinaryType) else F.lit(text).cast(kind)
 
 
 def number_within(
@@ -169,7 +292,7 @@ def _split_groups(
     biggest = counts.agg(F.max("n")).first()[0]
     if biggest is None or biggest <= max_group_rows:
         return None
-    return _ranged(df, [*group, *order], max_group_rows)
+    return _ranged(_stored(df), [*group, *order], max_group_rows)
 
 
 def _join_cells(df: DataFrame, cells: DataFrame, group: list[str]) -> DataFrame:
@@ -181,7 +304,7 @@ def _join_cells(df: DataFrame, cells: DataFrame, group: list[str]) -> DataFrame:
 
 
 def _ranged(df: DataFrame, keys: list[str], rows_per_bucket: int) -> DataFrame:
-    """The rows as a written table, with ``__bucket``, which never falls as the
+    """A written table's rows as another, with ``__bucket``, which never falls as the
     keys rise, and ``__place``, which rises with them.
 
     The borders come from a sample that Spark takes; they shift bucket sizes only.
@@ -202,10 +325,5 @@ def _ranged(df: DataFrame, keys: list[str], rows_per_bucket: int) -> DataFrame:
     return stored.withColumn(_BUCKET, F.shiftright(_PLACE, 33))
 
 
-def _comparable(keys: list[str]) -> list[Column]:
-    """Fields of a struct that compares as ``_ascending`` sorts."""
-    return [c for k in keys for c in (F.isnull(k), F.col(k))]
-
-
 def _ascending(keys: list[str]) -> list[Column]:
     return [F.col(k).asc_nulls_last() for k in keys]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunefeed.functions.paths import checkpoint_path
 from tunefeed.operators.metrics import SAVE_EVERY
+from tunefeed.sources.versioned import BUCKETS, VersionedTable
 
 # Fixed value: checkpoints a run keeps.
 SAVE_TOTAL_LIMIT = 2
@@ -51,6 +52,48 @@ def get_or_create_experiments(requested: DataFrame, existing: DataFrame, path: s
     return requested.sparkSession.read.parquet(path)
 
 
+def experiment_table(spark: SparkSession, path: str, buckets: int = BUCKETS) -> VersionedTable:
+    return VersionedTable(spark, path, "name string", ["name"], buckets)
+
+
+def get_or_create(
+    table: VersionedTable, requested: DataFrame, stream: str | None = None, batch: int | None = None
+) -> DataFrame:
+    """Add the names that are not in an experiment table yet; return it as it is then.
+
+    For any number of writers, and safe to play again; NULL is no name.
+    """
+    named = requested.select("name").filter("name IS NOT NULL")
+    return table.read(table.upsert(named, ["name"], stream, batch, first_wins=True))
+
+
+def tag_table(
+    spark: SparkSession, path: str, run_id: str = "string", seq: str = "bigint", buckets: int = BUCKETS
+) -> VersionedTable:
+    """Tags, or parameters, of runs; the types of run ids and sequence numbers are the caller's."""
+    schema = f"run_id {run_id}, key string, value string, seq {seq}"
+    return VersionedTable(spark, path, schema, ["run_id", "key"], buckets)
+
+
+def upsert_tags(
+    table: VersionedTable, settings: DataFrame, stream: str | None = None, batch: int | None = None
+) -> DataFrame:
+    """Bring a batch of settings into a tag table; return ``run_tags`` of all batches so far.
+
+    The greatest ``seq`` of a run and key stays, in whatever batch it came.
+    """
+    return table.read(table.upsert(settings, ["seq"], stream, batch)).drop("seq")
+
+
+def upsert_params(
+    table: VersionedTable, params: DataFrame, stream: str | None = None, batch: int | None = None
+) -> DataFrame:
+    """Bring rows of ``run_params`` into a tag table, where a parameter keeps its first value."""
+    kind = table.schema["seq"].dataType
+    rows = params.withColumn("seq", F.lit(None).cast(kind))
+    return table.read(table.upsert(rows, ["value"], stream, batch, first_wins=True)).drop("seq")
+
+
 def run_tags(settings: DataFrame) -> DataFrame:
     """Rows (``run_id``, ``key``, ``value``, ``seq``) -> latest value per run and key."""
     return settings.groupBy("run_id", "key").agg(F.max_by("value", "seq").alias("value"))

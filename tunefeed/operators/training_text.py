@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunefeed.functions.chat import DEFAULT_TEMPLATE, ChatTemplate, render_chat, render_triple
+from tunefeed.functions.chat import DEFAULT_TEMPLATE, Template, render_chat, render_triple
 from tunefeed.functions.messages import (
     CONVERSATION_COLUMN,
     MESSAGES,
@@ -15,6 +15,7 @@ from tunefeed.functions.messages import (
     is_conversation,
     to_messages,
 )
+from tunefeed.functions.template import TemplateText
 
 # A group of turns up to this size is gathered in one step.
 GATHER_TURNS = 4096
@@ -26,20 +27,20 @@ def with_messages(df: DataFrame, column: str = "messages") -> DataFrame:
 
 
 def append_text(
-    df: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, column: str = "text"
+    df: DataFrame, template: Template = DEFAULT_TEMPLATE, column: str = "text"
 ) -> DataFrame:
     """Add the rendered text and keep all source columns."""
     return df.withColumn(column, training_text(df, template))
 
 
 def project_text(
-    df: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, keep: tuple[str, ...] = ()
+    df: DataFrame, template: Template = DEFAULT_TEMPLATE, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Only ``text`` remains (and the key columns named in ``keep``)."""
     return df.select(*keep, training_text(df, template).alias("text"))
 
 
-def training_text(df: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE) -> Column:
+def training_text(df: DataFrame, template: Template = DEFAULT_TEMPLATE) -> Column:
     """Equal to ``render_chat(to_messages(...))``; triples skip the array."""
     cols = _arguments(df)
     conv = cols.pop(CONVERSATION_COLUMN)
@@ -76,7 +77,7 @@ def turns_to_conversations(
 
 def turns_to_text(
     turns: DataFrame,
-    template: ChatTemplate = DEFAULT_TEMPLATE,
+    template: Template = DEFAULT_TEMPLATE,
     key: str = "conv_id",
     order: str = "turn",
     role: str = "role",
@@ -86,8 +87,11 @@ def turns_to_text(
     """Equal to ``project_text(turns_to_conversations(...), keep=(key,))``.
 
     Each turn is rendered where it is read, in compiled code; what is gathered
-    are strings to join.
+    are strings to join. A template's text is rendered on the gathered turns.
     """
+    if isinstance(template, TemplateText):
+        whole = turns_to_conversations(turns, key, order, role, content, gather_turns)
+        return project_text(whole, template, keep=(key,))
     fields = {
         "is_system": F.col(role).eqNullSafe("system"),
         "piece": template.turn(F.col(role), F.col(content)),

@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunefeed.functions.chat import DEFAULT_TEMPLATE, ChatTemplate
+from tunefeed.functions.chat import DEFAULT_TEMPLATE, Template
 from tunefeed.operators.batching import BatchPlan, cap_tokens, plan_batches
 from tunefeed.operators.training_text import project_text
-from tunefeed.session import shared_path
 from tunefeed.sources.datasets import resolve_source
 from tunefeed.sources.feed import read_training_feed, write_training_feed
 
@@ -26,33 +24,24 @@ def prepare_feed(
     split: str | None = "train",
     schema: T.StructType | None = None,
     plan: BatchPlan = BatchPlan(),
-    template: ChatTemplate = DEFAULT_TEMPLATE,
+    template: Template = DEFAULT_TEMPLATE,
     tokenizer: Callable[[Column, int], Column] | None = None,
     max_length: int = 2048,
-    shuffle: bool = False,
+    shuffle: bool | None = None,
 ) -> DataFrame:
     """Read, plan, render and write; the feed at ``output`` is returned as read.
 
-    ``keys`` give the order of the rows. Without them rows are in the order of a
-    hash of all their columns: fixed for given rows, not the order of the file;
-    repeated rows are all there. Texts are capped at ``max_length`` tokens, of the
-    tokenizer given (ids go to ``input_ids``) or else space-separated. Rows past
-    the step cap are not rendered.
+    ``keys`` give the order of the rows. Without them it is that of the files: by path, and in
+    a file by line. Texts are capped at ``max_length`` tokens, of the tokenizer given (ids go to
+    ``input_ids``) or else space-separated. Rows past the step cap are not rendered.
 
-    JSON lines are parsed once, into a parquet table in the shared folder (twice
-    without a ``schema``, as types are inferred first). Text is exchanged once, for
-    the order; ``shuffle`` exchanges it again, for fewer files.
+    JSON lines are parsed once, into a table in the shared folder (twice without a ``schema``,
+    as types are inferred first). With keys, text is exchanged once, for the order; without,
+    not at all. ``shuffle`` exchanges it (again); by default that is done where there would
+    be too many small files without.
     """
     rows = resolve_source(spark, base, dataset, jsonl_path, split, schema)
-    if jsonl_path:
-        path = shared_path(spark, "source")
-        rows.write.parquet(path)
-        rows = spark.read.parquet(path)
-    order = keys
-    if not keys:
-        order = ["__order"]
-        rows = rows.withColumn("__order", F.xxhash64(F.to_json(F.struct(*rows.columns))))
-    planned = plan_batches(rows, order, plan)
+    planned = plan_batches(rows, keys, plan)
     feed = project_text(planned, template, keep=(*(keys or ()), "p", "rank", "step", "micro"))
     feed = cap_tokens(feed, max_length, tokenizer=tokenizer)
     write_training_feed(feed, output, plan.world_size, shuffle=shuffle)

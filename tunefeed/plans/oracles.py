@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tunefeed.functions.text import INPUT_LABEL, PY_WS
+from tunefeed.operators.epochs import MODULUS, round_keys
 
 _WS = "'" + PY_WS + "'"
 _LABEL = "'" + INPUT_LABEL + "'"
@@ -76,6 +77,22 @@ placed AS (SELECT conv_id, unnest(range(len(ms))) AS pos, unnest(ms) AS m FROM l
 SELECT conv_id, CAST(pos AS BIGINT) AS pos, m.role AS role, m.content AS content FROM placed"""
 
 
+_TURN_LINES = (
+    "array_to_string(list_transform({m}, lambda m: '<|im_start|>' || m.role || chr(10) || m.content "
+    "|| '<|im_end|>' || chr(10)), '')"
+)
+_BRACKETS = f"""array_to_string(list_transform(turns, lambda m, i:
+       CASE WHEN m.role = 'user' THEN '<s>[INST] ' || trim(CASE WHEN i = 1 AND system IS NOT NULL
+              THEN '<<SYS>>' || chr(10) || system || chr(10) || '<</SYS>>' || chr(10) || chr(10) ELSE '' END
+              || m.content, {_WS}) || ' [/INST]'
+            WHEN m.role = 'assistant' THEN ' ' || trim(CASE WHEN i = 1 AND system IS NOT NULL
+              THEN '<<SYS>>' || chr(10) || system || chr(10) || '<</SYS>>' || chr(10) || chr(10) ELSE '' END
+              || m.content, {_WS}) || ' </s>' ELSE '' END), '')"""
+_NUMBERED = f"""'<s>' || array_to_string(list_transform(others, lambda m, i: '<' ||
+       CASE WHEN m.role = 'assistant' THEN 'model' ELSE upper(m.role) END || ' ' || i || '/' || len(others)
+       || '>' || trim(m.content, {_WS})), chr(10))"""
+
+
 _LOGS = """
 v_logs AS (
   SELECT event_id, user_id AS run_id, ts AS logged_at,
@@ -108,6 +125,26 @@ docs AS (
   FROM documents),
 planned AS (SELECT *, p % 4 AS rank, p // 32 + 1 AS step FROM docs)"""
 
+
+
+def _epoch_walk(name: str, epoch: int, seed: int = 7) -> str:
+    """(p, q): each position's place in an epoch, rounds gone through until it is a position."""
+
+    def mixed(digit: str, key: tuple[int, int]) -> str:
+        u = f"(({digit} + {key[0]}) % {MODULUS})"
+        return f"(({u} * {u} + {key[1]} * {u}) % {MODULUS})"
+
+    keys = round_keys(seed, epoch)
+    digits = f"SELECT p, q // b AS l, q % b AS r, a, b, n FROM {name}_walk, side WHERE q >= n OR NOT begun"
+    for first, second in zip(keys[::2], keys[1::2]):
+        digits = f"SELECT p, (l + {mixed('r', first)}) % a AS l, r, a, b, n FROM ({digits})"
+        digits = f"SELECT p, l, (r + {mixed('l', second)}) % b AS r, a, b, n FROM ({digits})"
+    return f"""{name}_walk(p, q, begun) AS (
+  SELECT CAST(p AS BIGINT), CAST(p AS BIGINT), false FROM numbered
+  UNION ALL SELECT p, l * b + r, true FROM ({digits})),
+{name} AS (SELECT p, q FROM {name}_walk, side WHERE begun AND q < n)"""
+
+
 _PROMPT = (
     "'<|system|>/no_think<|end|>' || chr(10) || '<|user|>' || text || '<|end|>' || chr(10) "
     "|| '<|assistant|>'"
@@ -128,6 +165,13 @@ SELECT CAST(step AS BIGINT) AS step, count(*) AS n_rows, count(*) AS n_dealt,
        CAST(min(p) AS BIGINT) AS min_p,
        CASE WHEN grouping(step) = 1 THEN CAST(sum(n) AS BIGINT) END AS n_chars
 FROM (SELECT *, p // 32 + 1 AS step FROM fed) GROUP BY ROLLUP (step)""",
+    "feed_from_step": f"""WITH {_TURNS} SELECT conv_id, turn, CAST(p AS BIGINT) AS p,
+       CAST(p % 4 AS BIGINT) AS rank, {_STEP} FROM numbered WHERE p // 32 + 1 > 2""",
+    "artifact_diff": """WITH files AS (
+  SELECT doc_id % 7 AS k, lang || '/' || source || '/' || doc_id AS name, lang || '/moved/' || doc_id AS moved
+  FROM documents)
+SELECT name, CASE k WHEN 1 THEN 'changed' ELSE 'removed' END AS change FROM files WHERE k IN (0, 1, 2)
+UNION ALL SELECT moved, 'added' FROM files WHERE k = 2""",
     "artifact_manifest": """SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes,
        true AS hashed FROM documents GROUP BY lang""",
     "metric_stream": _metric_rows(),
@@ -145,6 +189,12 @@ FROM v_logs WHERE event_id % 50 IN (0, 1, 7) GROUP BY event_id % 50""",
     "to_messages": _turn_rows(_MIXED, "v_mixed", _MESSAGES),
     "render_chat": f"WITH {_MIXED} SELECT conv_id, {_rendered(_MESSAGES)} AS text FROM v_mixed",
     "render_prompt": f"SELECT item_id, {_PROMPT} AS prompt FROM benchmark",
+    "render_template": f"""WITH {_MIXED}, listed AS (SELECT conv_id, {_MESSAGES} AS ms FROM v_mixed),
+split AS (SELECT conv_id, ms, CASE WHEN ms[1].role = 'system' THEN ms[1].content END AS system,
+          CASE WHEN ms[1].role = 'system' THEN ms[2:] ELSE ms END AS turns,
+          list_filter(ms, lambda m: m.role <> 'system') AS others FROM listed)
+SELECT conv_id, {_TURN_LINES.format(m="ms")} AS lines, {_BRACKETS} AS brackets, {_NUMBERED} AS numbered,
+       {_NUMBERED} || CASE WHEN len(others) > 0 THEN chr(10) ELSE '' END || '<model>' AS prompt FROM split""",
     "sft_text": f"WITH {_CONV} SELECT conv_id, {_rendered(_CONV_LIST)} AS text FROM v_conv",
     "sft_text_keep": f"""WITH {_TRIPLE} SELECT conv_id, instruction, input, output,
        {_rendered(_TRIPLE_LIST)} AS text FROM v_triple""",
@@ -157,6 +207,14 @@ SELECT doc_id, CASE WHEN len(tokens) > 2048 THEN array_to_string(tokens[1:2048],
     "number_rows": f"WITH {_TURNS} SELECT conv_id, turn, CAST(p AS BIGINT) AS p FROM numbered",
     "number_rows_by_text": """SELECT lang, source, doc_id,
        row_number() OVER (ORDER BY lang, source, doc_id) - 1 AS p FROM documents""",
+    "number_file_rows": f"WITH {_TURNS} SELECT conv_id, turn, CAST(p AS BIGINT) AS p FROM numbered",
+    "epoch_order": f"""WITH RECURSIVE {_TURNS},
+total AS (SELECT count(*) AS n FROM conversations),
+side_a AS (SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM total),
+side AS (SELECT n, a, (n + a - 1) // a AS b FROM side_a),
+{_epoch_walk("zero", 0)}, {_epoch_walk("one", 1)}
+SELECT conv_id, turn, t.p, zero.q AS p_0, one.q AS p_1, t.p AS p_back
+FROM numbered t JOIN zero ON zero.p = t.p JOIN one ON one.p = t.p""",
     "assign_rank": f"""WITH {_TURNS} SELECT conv_id, turn, CAST(p AS BIGINT) AS p,
        CAST(p % 4 AS BIGINT) AS rank FROM numbered""",
     "assign_step": f"""WITH {_TURNS} SELECT conv_id, turn, CAST(p AS BIGINT) AS p, {_STEP}
@@ -177,10 +235,17 @@ SELECT doc_id, CAST(rank AS BIGINT) AS rank, block,
        CAST(greatest(block * 2048 - s, 0) AS BIGINT) AS token_from,
        CAST(least((block + 1) * 2048 - s, n_tok) - greatest(block * 2048 - s, 0) AS BIGINT)
          AS piece_tokens FROM pieces""",
+    "pack_whole": f"""WITH {_DOCS} SELECT CAST(rank AS BIGINT) AS rank, count(*) AS n_rows,
+       CAST(sum(n_tok) AS BIGINT) AS sum_tokens, CAST(0 AS BIGINT) AS n_astray,
+       CAST(0 AS BIGINT) AS n_too_full, true AS near_bound FROM planned GROUP BY rank""",
     "explode_metrics": _metric_rows(),
     "time_per_step": f"""WITH {_LOGS} SELECT event_id, run_id, CAST(step AS BIGINT) AS step,
        date_diff('microsecond', lag(logged_at) OVER (PARTITION BY run_id ORDER BY logged_at, event_id),
                  logged_at) / 1e6 / 10 AS time_per_step
+FROM v_logs WHERE global_rank = 0""",
+    "time_per_step_stream": f"""WITH {_LOGS} SELECT event_id, run_id, CAST(step AS BIGINT) AS step,
+       date_diff('microsecond', lag(logged_at) OVER (PARTITION BY run_id ORDER BY logged_at, event_id),
+                 logged_at) / 1e6 / 10 AS time_per_step
 FROM v_logs WHERE global_rank = 0""",
     "rank0_metrics": _metric_rows("global_rank = 0"),
     "eval_metrics": _metric_rows("kind = 'eval'", prefix="eval_"),
@@ -210,6 +275,10 @@ QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY step DESC) <= 2""",
 WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)""",
     "run_tags": """SELECT user_id AS run_id, event_type AS key, arg_max(props, event_id) AS value
 FROM events GROUP BY ALL""",
+    "tags_in_batches": """SELECT user_id AS run_id, event_type AS key, arg_max(props, event_id) AS value
+FROM events GROUP BY ALL""",
+    "experiments_in_batches": """SELECT 'run-' || s_suppkey AS name FROM supplier
+UNION SELECT 'run-' || user_id FROM events""",
     "run_params": """WITH runs AS (
   SELECT user_id AS run_id, count(*) AS n_logs, max(value) AS max_value, min(event_type) AS first_kind,
          bool_or(value > 250) AS spiked FROM events GROUP BY user_id)
@@ -219,6 +288,9 @@ UNION ALL SELECT run_id, 'first_kind', first_kind FROM runs
 UNION ALL SELECT run_id, 'spiked', CASE WHEN spiked THEN 'True' ELSE 'False' END FROM runs
 UNION ALL SELECT run_id, 'lr', CAST(max_value / 1e7 AS VARCHAR) FROM runs
 UNION ALL SELECT run_id, 'tokens', CAST(max_value * 1e6 AS VARCHAR) FROM runs""",
+    "generate_by_length": f"""SELECT item_id, {_PROMPT} AS prompt, {_PROMPT} || array_to_string(
+       list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')[1:20], ' ')
+       AS completion FROM benchmark""",
     "generate_batch": f"""SELECT item_id, {_PROMPT} AS prompt, {_PROMPT} || array_to_string(
        list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')[1:20], ' ')
        AS completion FROM benchmark""",

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunefeed.functions.chat import render_chat
+from tunefeed.functions.chat import render_prompt as prompt_text
 from tunefeed.functions.messages import (
     detect_shape,
     ensure_system_turn,
@@ -15,10 +16,13 @@ from tunefeed.functions.messages import (
     triple_to_messages,
 )
 from tunefeed.functions.paths import user_path
+from tunefeed.functions.template import compile_template
 from tunefeed.functions.text import build_user_text, clean_text
 from tunefeed.operators import batching, metrics, registry
 from tunefeed.operators.batching import BatchPlan
-from tunefeed.operators.inference import generate_batch, prompt_messages, render_prompts
+from tunefeed.operators.inference import generate_batch, generate_by_length, prompt_messages, render_prompts
+from tunefeed.operators.epochs import epoch_order as in_epoch
+from tunefeed.operators.ordered import number_file_rows as number_in_files
 from tunefeed.operators.ordered import number_rows as number
 from tunefeed.operators.training_text import (
     append_text,
@@ -26,6 +30,7 @@ from tunefeed.operators.training_text import (
     turns_to_text,
     with_messages,
 )
+from tunefeed.operators.whole_packing import pack_whole as packed_whole
 from tunefeed.plans.jobs import prepare_feed
 from tunefeed.plans.views import (
     conversation_rows,
@@ -42,6 +47,7 @@ from tunefeed.streaming.metric_stream import (
     write_metric_stream,
     write_reject_stream,
 )
+from tunefeed.streaming.step_time import read_step_times, write_step_time_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +55,40 @@ PLAN = BatchPlan(world_size=4, per_device_batch=1, accumulation=8)
 MAX_LENGTH = 2048
 
 
+# Templates of three forms: a header line per turn; the system turn inside the first user turn;
+# renamed and numbered roles, with white-space control.
+LINES = (
+    "{% for message in messages %}"
+    "{{ '<|im_start|>' + message['role'] + '\\n' + message['content'] + '<|im_end|>' + '\\n' }}"
+    "{% endfor %}"
+    "{% if add_generation_prompt %}{{ '<|im_start|>assistant\\n' }}{% endif %}"
+)
+BRACKETS = (
+    "{% if messages[0]['role'] == 'system' %}"
+    "{% set turns = messages[1:] %}{% set system = messages[0]['content'] %}"
+    "{% else %}{% set turns = messages %}{% set system = false %}{% endif %}"
+    "{% for message in turns %}"
+    "{% if loop.first and system != false %}"
+    "{% set content = '<<SYS>>\\n' + system + '\\n<</SYS>>\\n\\n' + message['content'] %}"
+    "{% else %}{% set content = message['content'] %}{% endif %}"
+    "{% if message['role'] == 'user' %}{{ bos_token + '[INST] ' + content.strip() + ' [/INST]' }}"
+    "{% elif message['role'] == 'assistant' %}{{ ' ' + content.strip() + ' ' + eos_token }}{% endif %}"
+    "{% endfor %}"
+)
+NUMBERED = """{{ bos_token }}
+{%- for m in messages if m.role != 'system' %}
+    {%- set role = 'model' if m.role == 'assistant' else m.role | upper %}
+    {# one header per turn #}
+    {{- '<' ~ role ~ ' ' ~ loop.index ~ '/' ~ loop.length ~ '>' }}
+    {{- m.content | trim }}
+    {%- if not loop.last or add_generation_prompt %}{{ '\\n' }}{% endif %}
+{%- endfor %}
+{%- if add_generation_prompt %}
+    {{- '<model>' }}
+{%- endif %}
+"""
+
+
 def _turn_rows(df: DataFrame, messages: Column) -> DataFrame:
     # A message list is never empty. The outer form keeps the optimizer from
     # computing each list once more to test that.
@@ -122,6 +162,30 @@ def artifact_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed_from_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run that stopped after step 2 has still to read."""
+    path = shared_path(spark, "feed")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    planned = batching.plan_batches(turns, ["conv_id", "turn"], PLAN, rows_per_bucket=1000)
+    feed.write_training_feed(planned, path, PLAN.world_size)
+    manifest = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("run_id"), F.lit(2).alias("step"))
+    return feed.feed_after_checkpoint(spark, path, manifest, run_id=0)
+
+
+def artifact_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree; in a second one some are gone, changed or elsewhere."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.sha2("text", 256).alias("sha256"))
+    seventh = F.col("doc_id") % 7
+    path = F.concat_ws("/", F.lit("/out"), "lang", "source", F.col("doc_id").cast("string"))
+    moved = F.concat_ws("/", F.lit("/out"), "lang", F.lit("moved"), F.col("doc_id").cast("string"))
+    first = docs.select(path.alias("path"), "sha256")
+    second = docs.filter(seventh != 0).select(
+        F.when(seventh == 2, moved).otherwise(path).alias("path"),
+        F.when(seventh == 1, F.sha2("sha256", 256)).otherwise(F.col("sha256")).alias("sha256"),
+    )
+    return artifacts.artifact_diff(artifacts.tree_digest(first, "/out"), artifacts.tree_digest(second, "/out"))
+
+
 def metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_path(spark, "stream")
     logs = log_rows(spark, sf_dir)
@@ -147,6 +211,25 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.count("step").alias("n_steps"))
 
 
+def time_per_step_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that arrive in four parts; the stream ends and starts again between them."""
+    base = shared_path(spark, "stream")
+    own = shared_path(spark, "logs")
+    metrics.rank0_only(log_rows(spark, sf_dir)).write.parquet(own)
+    logs = spark.read.parquet(own)
+    micros = F.unix_micros(F.col("logged_at").cast("timestamp"))
+    cuts = logs.agg(F.percentile_approx(micros, [0.25, 0.5, 0.75])).first()[0] or []
+    part = sum(((micros > c).cast("int") for c in cuts), F.lit(0))
+    for i in range(len(cuts) + 1):
+        arrived = logs.filter(part == i).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        arrived.json(f"{base}/logs/{i}")
+        stream = read_log_stream(spark, f"{base}/logs/*", logs.schema)
+        write_step_time_stream(
+            stream, f"{base}/times", f"{base}/state", f"{base}/checkpoint", ("event_id", "run_id", "step"), tie_break="event_id"
+        ).awaitTermination()
+    return read_step_times(spark, f"{base}/times").drop("late")
+
+
 # --- text, messages, chat
 
 
@@ -185,6 +268,20 @@ def render_chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_rows(spark, sf_dir).select("conv_id", render_chat(messages).alias("text"))
 
 
+def render_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three templates' texts over both shapes, and one of them with the prompt."""
+    rows = with_messages(mixed_rows(spark, sf_dir))
+    lines, numbered = compile_template(LINES), compile_template(NUMBERED, bos_token="<s>")
+    brackets = compile_template(BRACKETS, bos_token="<s>", eos_token="</s>")
+    return rows.select(
+        "conv_id",
+        render_chat(F.col("messages"), lines).alias("lines"),
+        render_chat(F.col("messages"), brackets).alias("brackets"),
+        render_chat(F.col("messages"), numbered).alias("numbered"),
+        prompt_text(F.col("messages"), numbered).alias("prompt"),
+    )
+
+
 def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark")
     return render_prompts(items.withColumn("messages", prompt_messages(F.col("text"))))
@@ -237,6 +334,25 @@ def number_rows_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number(rows, ["lang", "source", "doc_id"])
 
 
+def number_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of many files; the files, and the lines in them, are in key order as written."""
+    path = shared_path(spark, "lines")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    ranged = turns.repartitionByRange(12, "conv_id", "turn").sortWithinPartitions("conv_id", "turn")
+    ranged.write.option("ignoreNullFields", "false").json(path)
+    lines = spark.read.schema(turns.schema).json(path)
+    return number_in_files(lines).drop("text")
+
+
+def epoch_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the turns in two epochs, and the position that leads to the first of them."""
+    turns = _numbered_turns(spark, sf_dir)
+    n = turns.count()
+    first = in_epoch(turns, n, epoch=0, seed=7, out="p_0")
+    second = in_epoch(first, n, epoch=1, seed=7, out="p_1")
+    return in_epoch(second, n, epoch=0, seed=7, position="p_0", out="p_back", inverse=True)
+
+
 def assign_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.assign_rank(_numbered_turns(spark, sf_dir), PLAN.world_size)
 
@@ -265,10 +381,29 @@ def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = batching.pack_sequences(_planned_documents(spark, sf_dir), MAX_LENGTH)
+    packed = batching.pack_sequences(_planned_documents(spark, sf_dir), MAX_LENGTH, stored=True)
     return packed.select("doc_id", "rank", "block", "block_pos", "token_from", "piece_tokens")
 
 
+def pack_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per rank: rows and tokens, rows that do not begin where the row before them in their block
+    ends, blocks that are too full, and whether their number is within 1 % (or one) of the bound."""
+    packed = packed_whole(_planned_documents(spark, sf_dir), MAX_LENGTH)
+    before = Window.partitionBy("rank", "block").orderBy("block_pos", "n_tok").rowsBetween(Window.unboundedPreceding, -1)
+    end = F.coalesce(F.sum("n_tok").over(before), F.lit(0))
+    blocks = packed.withColumn("astray", (F.col("block_pos") != end) & (F.col("n_tok") > 0)).groupBy("rank", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_tok").alias("n_tok"), F.count_if("astray").alias("n_astray")
+    )
+    bound = F.ceil(F.sum("n_tok") / MAX_LENGTH)
+    return blocks.groupBy("rank").agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("n_tok").alias("sum_tokens"),
+        F.sum("n_astray").alias("n_astray"),
+        F.count_if(F.col("n_tok") > MAX_LENGTH).alias("n_too_full"),
+        (F.count(F.lit(1)) <= F.greatest(bound * 1.01, bound + 1)).alias("near_bound"),
+    )
+
+
 # --- metrics and registry
 
 
@@ -351,6 +486,31 @@ def run_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.run_tags(settings)
 
 
+def tags_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``run_tags`` over settings that come in three batches, of which two come twice."""
+    tags = registry.tag_table(spark, shared_path(spark, "tags"), run_id="bigint", buckets=4)
+    settings = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("run_id"),
+        F.col("event_type").alias("key"),
+        F.col("props").alias("value"),
+        F.col("event_id").alias("seq"),
+    )
+    out = None
+    for batch in (0, 1, 1, 2, 0):
+        out = registry.upsert_tags(tags, settings.filter(F.col("seq") % 3 == batch), "settings", batch)
+    return out
+
+
+def experiments_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of suppliers, then those that events ask for, twice."""
+    there = registry.experiment_table(spark, shared_path(spark, "experiments"), buckets=4)
+    name = F.concat(F.lit("run-"), F.col("key")).alias("name")
+    registry.get_or_create(there, table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key")).select(name))
+    asked = table(spark, sf_dir, "events").select(F.col("user_id").alias("key")).select(name)
+    registry.get_or_create(there, asked, "events", 0)
+    return registry.get_or_create(there, asked, "events", 0)
+
+
 def run_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per run: a count, a flag, a text, and floats large and small."""
     runs = (
@@ -373,7 +533,7 @@ def run_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- inference
 
 
-def generate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _first_words_model():
     """The model repeats the first words of the last turn. It is defined in
     here, so it travels to the workers by value."""
 
@@ -384,8 +544,21 @@ def generate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return generate
 
+    return first_words_model
+
+
+def generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompts = _prompts(spark, sf_dir)
-    return generate_batch(prompts, first_words_model, max_new_tokens=20, keep=("item_id",))
+    return generate_batch(prompts, _first_words_model(), max_new_tokens=20, keep=("item_id",))
+
+
+def generate_in_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in batches by length; half of the prompts have been asked before."""
+    path, prompts = shared_path(spark, "completions"), _prompts(spark, sf_dir)
+    settings = {"key": "item_id", "max_new_tokens": 20, "budget": 512, "parts": 3}
+    half = prompts.filter(F.xxhash64("item_id") % 2 == 0)
+    generate_by_length(half, _first_words_model(), path, **settings)
+    return generate_by_length(prompts, _first_words_model(), path, **settings)
 
 
 QUERIES: dict[str, Query] = {
@@ -394,9 +567,12 @@ QUERIES: dict[str, Query] = {
     "jsonl_roundtrip": jsonl_roundtrip,
     "feed_by_rank": feed_by_rank,
     "feed_without_key": feed_without_key,
+    "feed_from_step": feed_from_step,
     "artifact_manifest": artifact_manifest,
+    "artifact_diff": artifact_diff,
     "metric_stream": metric_stream,
     "stream_rejects": stream_rejects,
+    "time_per_step_stream": time_per_step_stream,
     "clean_text": clean_text_query,
     "build_user_text": build_user_text_query,
     "detect_shape": detect_shape_query,
@@ -405,17 +581,21 @@ QUERIES: dict[str, Query] = {
     "to_messages": to_messages_query,
     "render_chat": render_chat_query,
     "render_prompt": render_prompt,
+    "render_template": render_template,
     "sft_text": sft_text,
     "sft_text_keep": sft_text_keep,
     "cap_tokens": cap_tokens,
     "user_path": user_path_query,
     "number_rows": number_rows,
     "number_rows_by_text": number_rows_by_text,
+    "number_file_rows": number_file_rows,
+    "epoch_order": epoch_order,
     "assign_rank": assign_rank,
     "assign_step": assign_step,
     "step_cap": step_cap,
     "batch_summary": batch_summary,
     "pack_blocks": pack_blocks,
+    "pack_whole": pack_whole,
     "explode_metrics": explode_metrics,
     "time_per_step": time_per_step,
     "rank0_metrics": rank0_metrics,
@@ -428,6 +608,9 @@ QUERIES: dict[str, Query] = {
     "ckpt_retention": ckpt_retention,
     "experiment_missing": experiment_missing,
     "run_tags": run_tags,
+    "tags_in_batches": tags_in_batches,
+    "experiments_in_batches": experiments_in_batches,
     "run_params": run_params,
     "generate_batch": generate,
+    "generate_by_length": generate_in_budget,
 }

@@ -109,3 +109,97 @@ def _hasher(opener: Opener) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Da
             yield batch.assign(sha256=[sha256(p) for p in batch["path"]])
 
     return run
+
+
+# Pieces a digest is cut into; sums of pieces of 60 bits stay exact in 38 digits.
+_PIECES, _HEX = 4, 15
+
+
+def tree_digest(manifest: DataFrame, root: str) -> DataFrame:
+    """The digests of a tree of files and folders, from a manifest with ``sha256``.
+
+    ``name`` (path below ``root``; the root is ``""``), ``parent``, ``depth``, ``folder`` and ``digest``.
+    A file's digest is its content's. A folder's is made of its entries' names, kinds and digests, so two
+    folders have equal digests if and only if (but for chance) all that is below them is equal.
+    Digests are built bottom up, a level of the tree at a time. Entries are added up, not
+    listed: each gives a hash, whose pieces are summed, so a folder of any size is summed on the map side.
+    """
+    path = F.regexp_replace("path", r"^[A-Za-z][\w+.-]*:(//[^/]*)?(?=/)", "")
+    base = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?(?=/)", "", root.rstrip("/"))
+    start = len(base) + 2
+    files = manifest.select(F.substring(path, F.lit(start), F.length("path")).alias("name"), F.col("sha256").alias("digest"))
+    level = files.withColumn("depth", F.size(F.split("name", "/"))).withColumn("folder", F.lit(False))
+    stored = shared_path(manifest.sparkSession, "tree")
+    _with_parent(level).write.partitionBy("depth").parquet(f"{stored}/files")
+    read = manifest.sparkSession.read
+    every = read.parquet(f"{stored}/files")
+    deepest = every.agg(F.max("depth")).first()[0] or 0
+    schema = every.schema
+    folders: list[str] = []
+    for depth in range(deepest, 0, -1):
+        entries = every.filter(F.col("depth") == depth)
+        if folders:
+            entries = entries.unionByName(read.schema(schema).parquet(folders[-1]))
+        made = entries.groupBy("parent").agg(*_sums()).select(
+            F.col("parent").alias("name"), _digest().alias("digest"), F.lit(True).alias("folder"), F.lit(depth - 1).alias("depth")
+        )
+        folders.append(f"{stored}/folders-{depth - 1}")
+        _with_parent(made).write.parquet(folders[-1])
+    out = every
+    for folder in folders:
+        out = out.unionByName(read.schema(schema).parquet(folder))
+    return out.select("name", "parent", F.col("depth").cast("int").alias("depth"), "folder", "digest")
+
+
+def _with_parent(rows: DataFrame) -> DataFrame:
+    # The parent of the root is NULL; of its entries, "".
+    own = F.when(F.col("name").contains("/"), F.expr("left(name, length(name) - length(substring_index(name, '/', -1)) - 1)"))
+    parent = F.when(F.col("name") == "", F.lit(None)).otherwise(F.coalesce(own, F.lit("")))
+    return rows.withColumn("parent", parent)
+
+
+def _sums() -> list:
+    own = F.substring_index("name", "/", -1)
+    entry = F.sha2(F.concat_ws("\x00", own, F.col("folder").cast("string"), F.col("digest")), 256)
+    pieces = [F.conv(F.substring(entry, 1 + _HEX * i, _HEX), 16, 10).cast("decimal(20,0)") for i in range(_PIECES)]
+    return [F.count(F.lit(1)).alias("n"), *[F.sum(p).alias(f"s{i}") for i, p in enumerate(pieces)]]
+
+
+def _digest():
+    parts = [F.col(c).cast("string") for c in ("n", *[f"s{i}" for i in range(_PIECES)])]
+    return F.sha2(F.concat_ws(",", *parts), 256)
+
+
+def artifact_diff(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``name`` and ``change`` (``added``, ``removed``, ``changed``) of the files that two trees differ in.
+
+    From the root down, only folders whose digests differ are looked into: equal subtrees are
+    passed over, however large. A name that is a file in one tree and a folder in the other is
+    removed (with all below) and added.
+    """
+    spark = before.sparkSession
+    path = shared_path(spark, "diff")
+    sides = [t.select("parent", "name", "depth", "folder", "digest") for t in (before, after)]
+    out, depth, kind = None, 0, "name string, change string"
+    # Folders to look into, and whether each side has them.
+    roots = spark.createDataFrame([("",)], "at string")
+    while not roots.isEmpty():
+        depth += 1
+        inside = [
+            t.filter(F.col("depth") == depth).join(roots, F.col("parent") == F.col("at"), "left_semi").select(
+                "name", F.struct("folder", "digest").alias(side)
+            )
+            for t, side in zip(sides, "ab")
+        ]
+        pairs = inside[0].join(inside[1], "name", "full").filter("NOT (a <=> b)")
+        pairs.write.parquet(f"{path}/{depth}")
+        pairs = spark.read.parquet(f"{path}/{depth}")
+        file = {side: F.col(side).isNotNull() & ~F.col(f"{side}.folder") for side in "ab"}
+        change = F.when(file["a"] & file["b"], F.array(F.lit("changed"))).otherwise(
+            F.array_compact(F.array(F.when(file["a"], F.lit("removed")), F.when(file["b"], F.lit("added"))))
+        )
+        found = pairs.select("name", F.explode(change).alias("change"))
+        out = found if out is None else out.unionAll(found)
+        folder = F.coalesce(F.col("a.folder"), F.lit(False)) | F.coalesce(F.col("b.folder"), F.lit(False))
+        roots = pairs.filter(folder).select(F.col("name").alias("at"))
+    return out if out is not None else spark.createDataFrame([], kind)

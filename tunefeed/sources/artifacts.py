@@ -130,16 +130,16 @@ def tree_digest(manifest: DataFrame, root: str) -> DataFrame:
     files = manifest.select(F.substring(path, F.lit(start), F.length("path")).alias("name"), F.col("sha256").alias("digest"))
     level = files.withColumn("depth", F.size(F.split("name", "/"))).withColumn("folder", F.lit(False))
     stored = shared_path(manifest.sparkSession, "tree")
-    _with_parent(level).write.partitionBy("depth").parquet(f"{stored}/files")
-    read = manifest.sparkSession.read
+    level = _with_parent(level)
+    level.write.partitionBy("depth").parquet(f"{stored}/files")
+    read = manifest.sparkSession.read.schema(level.schema)
     every = read.parquet(f"{stored}/files")
     deepest = every.agg(F.max("depth")).first()[0] or 0
-    schema = every.schema
     folders: list[str] = []
     for depth in range(deepest, 0, -1):
         entries = every.filter(F.col("depth") == depth)
         if folders:
-            entries = entries.unionByName(read.schema(schema).parquet(folders[-1]))
+            entries = entries.unionByName(read.parquet(folders[-1]))
         made = entries.groupBy("parent").agg(*_sums()).select(
             F.col("parent").alias("name"), _digest().alias("digest"), F.lit(True).alias("folder"), F.lit(depth - 1).alias("depth")
         )
@@ -147,7 +147,7 @@ def tree_digest(manifest: DataFrame, root: str) -> DataFrame:
         _with_parent(made).write.parquet(folders[-1])
     out = every
     for folder in folders:
-        out = out.unionByName(read.schema(schema).parquet(folder))
+        out = out.unionByName(read.parquet(folder))
     return out.select("name", "parent", F.col("depth").cast("int").alias("depth"), "folder", "digest")
 
 

@@ -25,20 +25,22 @@ def write_training_feed(
     """Write rows with ``p`` (dense position) and ``rank`` as parquet.
 
     A rank is written by many tasks: shards are runs of ``rows_per_shard`` rows
-    of one rank, equal in size as positions are dense. Rows in a file are in
-    order of ``p``. ``shuffle=False`` saves a shuffle: tasks keep the rows they have,
-    and each writes one file per rank. By default it is saved while that makes at most
-    ``FILES_PER_SHARD`` times the files that shards would be, or ``FEW_FILES`` of them.
+    of one rank, equal in size as positions are dense, and each is one task's and one file.
+    Rows in a file are in order of ``p``. ``shuffle=False`` saves that shuffle: tasks keep the
+    rows they have, and each writes one file per rank. By default it is saved while that makes at
+    most ``FILES_PER_SHARD`` times the files that shards would be, or ``FEW_FILES`` of them.
     """
+    # The greatest position is read from one column.
+    last = None if shuffle is False else df.agg(F.max("p")).first()[0]
+    per_rank = -(-((last or 0) + 1) // (world_size * rows_per_shard))
     if shuffle is None:
-        # The number of tasks that would write; the greatest position is read from one column.
-        last = df.agg(F.max("p")).first()[0]
-        shards = world_size * (-(-((last or 0) + 1) // (world_size * rows_per_shard)))
         files = df.rdd.getNumPartitions() * world_size
-        shuffle = files > max(FILES_PER_SHARD * shards, FEW_FILES)
-    in_rank = F.call_function("div", F.col("p"), F.lit(world_size))
-    shard = F.call_function("div", in_rank, F.lit(rows_per_shard))
-    rows = df.repartition("rank", shard) if shuffle else df
+        shuffle = files > max(FILES_PER_SHARD * world_size * per_rank, FEW_FILES)
+    shard = F.call_function("div", F.call_function("div", F.col("p"), F.lit(world_size)), F.lit(rows_per_shard))
+    rows = df
+    if shuffle:
+        number = F.pmod(F.col("rank"), F.lit(world_size)) * per_rank + shard
+        rows = df.repartitionById(world_size * per_rank, number.cast("int"))
     rows.sortWithinPartitions("rank", "p").write.mode("overwrite").partitionBy("rank").parquet(path)
     if "step" in df.columns:
         _write_index(df.sparkSession, path)

@@ -1,6 +1,8 @@
 import hashlib
 import itertools
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +69,38 @@ def test_viterbi_is_the_best_path():
         assert tuple(got[b : b + n]) == best
 
 
+def test_viterbi_in_pieces_is_the_same():
+    rng = np.random.default_rng(2)
+    field = pd_.Field()
+    field.step[:] = rng.normal(0, 1, field.step.shape)
+    length = np.array([1, 300, 2, 2, 40, 7, 300, 1, 90])
+    emissions = rng.normal(0, 2, (int(length.sum()), len(pd_.LABELS)))
+    begin = np.cumsum(length) - length
+    whole = field.viterbi(emissions, begin, length)
+    for cells, batch in ((1, 1), (50, 4), (310, 2), (1000, 3)):
+        assert np.array_equal(field.viterbi(lambda at: emissions[at], begin, length, cells, batch), whole)
+
+
+def test_long_runs_take_time_in_proportion():
+    for text in ("a" * 10**6 + "@", "a@" * 10**6, "1" * 10**6 + ".1.1.", "1." * 500_000, "+1 " * 300_000, "1" * 10**6):
+        data, offsets = text_bytes(pa.array([text]))
+        start = time.process_time()
+        found = pattern_spans(data, offsets)
+        assert time.process_time() - start < 3
+        assert all(text.isascii() and a < b <= len(text) for a, b, _ in found)
+
+
+def test_memory_of_a_long_text_of_numbers_beside_short_ones():
+    """A sequence of 40,000 tokens does not make room for each short one in its length."""
+    texts = ["12345 " * 40_000, *(f"call {i} now" for i in range(3000))]
+    data, offsets = text_bytes(pa.array(texts))
+    tracemalloc.start()
+    all_spans(FIELD, data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
 def test_gradient_is_the_slope():
     texts, _ = pd_._labelled(pd_.LABELLED)
     start, end, shape, seq = pd_._tokens(*text_bytes(pa.array(texts[:6])))

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,8 @@ from tunefeed.llm.arrow_text import begins, slices, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 _PATTERNS = {
-    "email": re.compile(rb"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    # What follows the part before the sign; that part is looked for backwards.
+    "email": re.compile(rb"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
     "ip": re.compile(rb"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
     "card": re.compile(rb"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]"),
@@ -45,32 +46,32 @@ _RUNS = {
     "phone": (_DIGITS + b" ().-+", b"+", 1),
 }
 
-#: Sentences with marked spans. Made-up people, numbers and hosts.
+#: Sentences with marked spans. People, numbers and hosts are made up; none stands in a test table.
 LABELLED = """
-Write to [email:anna.berg@post.example.org] or call [phone:(717) 555-0202] after six.
-You can reach us at [phone:717-555-0134] or [phone:+1 (974) 555-3436] today
-Her number is [phone:717.555.0119], his is [phone:(017) 555-7713]!
+Write to [email:anna.berg@post.example.org] or call [phone:(044) 348-7439] after six.
+You can reach us at [phone:717-555-0134] or [phone:+9 (175) 389-4005] today
+Her number is [phone:717.555.0119], his is [phone:(280) 200-6414]!
 Tel. [phone:+44 20 7946 0958] and fax [phone:555-867-5309].
 Call [phone:(415) 555-2671] now
 CALL!! [phone:(415) 555-0199]!! NOW!!
 [phone:212-555-0187] rang twice, then [phone:(212) 555 0187] did
 ring [phone:(303) 555-0142]### or### else
-The card [card:4881297747170635] was charged twice.
-and the [card:4040549990366437] in an
+The card [card:2913748824173401] was charged twice.
+and the [card:6451162209773026] in an
 Paid with [card:4881 2977 4717 0635] on Monday, not with [card:5500-0055-5555-5559].
-of [card:4952935900253052] and
-CARD!! [card:5927243074273351]!! OF!! THE!!
-card [card:9000426309966109]$$$ was### used
+of [card:9578939700196746] and
+CARD!! [card:2207504949952929]!! OF!! THE!!
+card [card:6054803462610582]$$$ was### used
 [card:4863792511108453]
 An amex [card:371449635398431] and a visa [card:4532756279624064].
 use [card:4720 8634 5690 4856] again
-Two of them: [card:7536784127813050] [card:4845168114407329] here
+Two of them: [card:4752596451892979] [card:3376685498596475] here
 From [ip:10.0.0.7] to [ip:192.168.14.220] the route was down.
-host [ip:169.122.221.182]!! is!! gone!!
-login by [ip:97.51.17.173] failed at 12:30
-und [ip:170.116.163.254]### auch
+host [ip:85.10.244.176]!! is!! gone!!
+login by [ip:173.177.21.12] failed at 12:30
+und [ip:8.234.216.226]### auch
 Mail [email:x.34@mail7.example.com] und [email:info@shop.example] bitte
-de [email:reeux.09@mail2.example.com] et [email:le.93@mail0.example.com]### la
+de [email:marine.47@post4.example.net] et [email:le.93@mail0.example.com]### la
 [email:a_b+c@host.example.net] wrote, [email:root@localhost] did not
 Le 14 juillet 1789 et le 3 mai.
 On 2024-01-31 at 12:30:45 the job ended after 3,200.50 seconds.
@@ -79,9 +80,9 @@ See the License, Version 2.0. It is under CC BY-NC 4.0.
 GNU General Public License, version 3.
 Page 12 of 340, room 101, chapter 7.
 It cost $1,200.50 or 999 euro in 2019.
-The key token = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B" is secret
-token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" and
-sha 186661156f3f9905942d70850a01cbf23a203f82 of a file
+The key token = "1AB79B18CCA2299B5EA48BBD566C273899B5B9B4" is secret
+token = "9a5c6b16bfc488de18f949e2710484e7df563502" and
+sha f7eee279b887351d596c4b8a482c521b0650ce50 of a file
 ISBN 978-3-16-148410-0 and order 12345678 of 2020-11-05.
 pi is 3.14159265358979 and e is 2.71828
 10 000 000 people, 1 000 cars, 25 % more
@@ -94,22 +95,22 @@ phone book 2021-2022, pages 555-560
 ratio 16:9, score 3-2, 21-19 and 7-6
 section 4.2.1, figure 3.7, table 12.
 from 1914-1918 and 1939-1945 they
-to. [card:2362971821055609] Ed it was
-Anwh [card:9380942693487180] rely. Then
-une, [card:9582442921002355] in the
-| word | [card:9093441080585879] | other |
+to. [card:4925202016420679] Ed it was
+Anwh [card:0893405083415692] rely. Then
+une, [card:3662792226857106] in the
+| word | [card:4082871763912508] | other |
 it.
-Sta [card:9890149938096989] than [card:2381604611877803] The
-orly. [card:1683436113538828] Nd. It
-host.example.com [card:5755695738806562] On the
-17.173 and [card:9807915762804490] are
-Des [phone:+1 (826) 555-4081] [ip:190.137.223.204] du
-the token = "b44e15e09fd311c3cf3163b66d5a9875b883d8ce" the that
-or token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" From it
-la token = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f" of, on
-token = "ffc3105535f423f352535e4ac53b5fefe076ac6d"### el
-| token = "027aea05eb92c454086e6575cd38d76a884acaff" | of
-hash e51a5499e3950eabef3742d6cf40b27b4e61a74a and dafbac99949115180e7593de87b4492bcef9890b too
+Sta [card:5564289096737590] than [card:1990610168188756] The
+orly. [card:1939020248335156] Nd. It
+host.example.com [card:8969884853705223] On the
+17.173 and [card:2713023661291018] are
+Des [phone:+6 (197) 177-6545] [ip:40.97.166.54] du
+the token = "52bbf683e7fb4bece614be008b374b9f1321a9d8" the that
+or token = "260544d2c1e34694eeb01c0e5dccae54e054c201" From it
+la token = "f20749855490fb26f430175d0db4d8678d27a016" of, on
+token = "1abe1ef4e1c775dd5b46e82136381b6f540ad5f1"### el
+| token = "9fc882cec24b770fa6a4c1d3d292e08e16628c0d" | of
+hash d9ca738784731ec7d7ad47ac2d1bcaea866db1e2 and 55342a3d6cff0c9007d007952f4b3eb5142e66dd too
 article 5 (3) of 2016/679 and 95/46
 id 4711, id 1234567890, id 99
 5 6 7 8 9 10 11 12 13 14 15 16
@@ -135,6 +136,7 @@ _IS_UPPER = _table(_LETTERS[:26])
 _IS_LETTER = _table(_LETTERS + bytes(range(128, 256)))
 _IS_SPACE = _table(b" \t\n\v\f\r")
 _IS_KEY = _table(_DIGITS + b"@+")
+_CLASS = np.where(_IS_LETTER, 1, np.where(_IS_DIGIT, 2, np.where(_IS_SPACE, 0, 3))).astype(np.int8)
 _SIGN = np.full(256, 16 + len(_SIGNS), np.int64)
 _SIGN[list(_SIGNS)] = 16 + np.arange(len(_SIGNS))
 
@@ -150,6 +152,49 @@ def _valid(kind: str, found: bytes) -> bool:
     return kind != "phone" or 9 <= len(digits) <= 15
 
 
+_NUMBER = re.compile(rb"[0-9]+")
+
+
+def _emails(run: bytes) -> Iterator[tuple[int, int]]:
+    """The leftmost match begins with all characters before its sign that may stand there: those
+    of two signs never overlap, so the run is read once, however long."""
+    upto = 0
+    for m in _PATTERNS["email"].finditer(run):
+        begin = max(run.rfind(b"@", upto, m.start()) + 1, upto)
+        if begin < m.start():
+            yield begin, m.end()
+            upto = m.end()
+
+
+def _addresses(run: bytes) -> Iterator[tuple[int, int]]:
+    """Four numbers with a dot between two. If none begins with a number, none begins inside it."""
+    found = [m.span() for m in _NUMBER.finditer(run)]
+    i = 0
+    while i + 3 < len(found):
+        four = found[i : i + 4]
+        if all(b[0] == a[1] + 1 for a, b in zip(four, four[1:])):
+            yield four[0][0], four[3][1]
+            i += 4
+        else:
+            i += 1
+
+
+def _found(kind: str, run: bytes) -> Iterator[tuple[int, int]]:
+    """Matches in a run of a kind's characters, leftmost first."""
+    if kind == "email":
+        return _emails(run)
+    if kind == "ip":
+        return _addresses(run)
+    return (m.span() for m in _PATTERNS[kind].finditer(run))
+
+
+def _running(flags: np.ndarray) -> np.ndarray:
+    """How many flags stand before each place, and in all."""
+    out = np.zeros(flags.size + 1, np.int32)
+    np.cumsum(flags, out=out[1:])
+    return out
+
+
 def pattern_spans(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
     """(begin, end, number of the kind) in bytes, for all texts; sorted."""
     first = begins(offsets, data.size)
@@ -162,12 +207,13 @@ def pattern_spans(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int,
         stop = mask.copy()
         stop[:-1] &= ~mask[1:] | first[1:]
         start, stop = np.flatnonzero(start), np.flatnonzero(stop) + 1
-        held = np.concatenate([[0], np.cumsum(_table(needed)[data], dtype=np.int32)])
+        held = _running(_table(needed)[data])
         enough = held[stop] - held[start] >= times
         for a, b in zip(start[enough].tolist(), stop[enough].tolist(), strict=True):
-            for m in _PATTERNS[kind].finditer(data[a:b].tobytes()):
-                if _valid(kind, m.group()):
-                    out.append((a + m.start(), a + m.end(), number))
+            run = data[a:b].tobytes()
+            for begin, end in _found(kind, run):
+                if _valid(kind, run[begin:end]):
+                    out.append((a + begin, a + end, number))
     return sorted(out)
 
 
@@ -176,7 +222,7 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if not data.size:
         return (np.zeros(0, np.int64),) * 4
     first = begins(offsets, data.size)
-    kind = np.where(_IS_LETTER[data], 1, np.where(_IS_DIGIT[data], 2, np.where(_IS_SPACE[data], 0, 3))).astype(np.int8)
+    kind = _CLASS[data]
     new = first.copy()
     new[0] = True
     new[1:] |= (kind[1:] != kind[:-1]) | (kind[1:] == 3)
@@ -186,7 +232,7 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     spaced = first[start] | np.concatenate([[True], kind[start[:-1]] == 0])
     start, end, spaced = start[token], end[token], spaced[token]
     size, lead = end - start, data[start]
-    upper = np.concatenate([[0], np.cumsum(_IS_UPPER[data], dtype=np.int32)])
+    upper = _running(_IS_UPPER[data])
     capitals = upper[end] - upper[start]
     letters = np.select([lead >= 128, capitals == 0, (capitals == size) & (size > 1), _IS_UPPER[lead]], [0, np.where(size > 2, 1, 2), 3, 4], 5)
     digits = 6 + np.searchsorted([2, 3, 4, 5, 9, 12, 16, 17, 20], size, side="right")
@@ -206,7 +252,7 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _windows(shape: np.ndarray, sequence: np.ndarray) -> np.ndarray:
     """Shapes at -2 .. +2 of each token of a sequence (the edge beyond its ends)."""
-    out = np.full((2 * _REACH + 1, shape.size), _EDGE)
+    out = np.full((2 * _REACH + 1, shape.size), _EDGE, np.int16)
     for d in range(-_REACH, _REACH + 1):
         low, high = max(0, -d), min(shape.size, shape.size - d)
         same = sequence[low + d : high + d] == sequence[low:high]
@@ -230,34 +276,68 @@ class Field:
 
     def _pairs(self, windows: np.ndarray) -> np.ndarray:
         n = 2 * _SHAPES
-        return np.stack([windows[_REACH] * n + windows[_REACH - 1], windows[_REACH] * n + windows[_REACH + 1]])
+        here = windows[_REACH].astype(np.int64) * n
+        return np.stack([here + windows[_REACH - 1], here + windows[_REACH + 1]])
 
     def emissions(self, windows: np.ndarray) -> np.ndarray:
         out = sum(self.single[i][windows[i]] for i in range(windows.shape[0]))
         return out + sum(self.pair[i][p] for i, p in enumerate(self._pairs(windows)))
 
-    def viterbi(self, emissions: np.ndarray, begin: np.ndarray, length: np.ndarray, batch: int = 2048) -> np.ndarray:
-        """Best labels of sequences begin[i] .. begin[i] + length[i], O before and after."""
-        labels = np.zeros(emissions.shape[0], np.int64)
+    def viterbi(
+        self,
+        emissions: np.ndarray | Callable[[np.ndarray], np.ndarray],
+        begin: np.ndarray,
+        length: np.ndarray,
+        cells: int = 1 << 18,
+        batch: int = 4096,
+    ) -> np.ndarray:
+        """Best labels of sequences begin[i] .. begin[i] + length[i], O before and after.
+
+        ``emissions``: a row per place, or what gives the rows of places. Sequences are worked on
+        together while they have ``cells`` places in all; of a longer one, the rows of so many places
+        are there at a time. What remains of each place is one byte per label.
+        """
+        given = emissions if callable(emissions) else emissions.__getitem__
+        labels = np.zeros(int((begin + length).max()) if length.size else 0, np.int8)
         step = self.step + self.barred
         order = np.argsort(-length, kind="stable")
-        for low in range(0, order.size, batch):
-            own = order[low : low + batch]
-            size, at = length[own], begin[own]
-            score = emissions[at] + step[0]
-            back = np.zeros((int(size[0]), own.size, len(LABELS)), np.int8)
-            for t in range(1, int(size[0])):
-                n = int(np.searchsorted(-size, -t, side="left"))  # sequences longer than t
-                through = score[:n, :, None] + step
-                back[t, :n] = through.argmax(axis=1)
-                score[:n] = through.max(axis=1) + emissions[at[:n] + t]
-            best = (score + step[:, 0]).argmax(axis=1)
-            for t in range(int(size[0]) - 1, -1, -1):
-                n = int(np.searchsorted(-size, -t, side="left"))
-                labels[at[:n] + t] = best[:n]
-                best[:n] = back[t, np.arange(n), best[:n]]
+        low = 0
+        while low < order.size:
+            ends = np.cumsum(length[order[low : low + batch]])
+            high = low + max(int(np.searchsorted(ends, cells, side="right")), 1)
+            own = order[low:high]
+            self._decoded(given, begin[own], length[own], step, labels, cells)
+            low = high
         return labels
 
+    def _decoded(self, given: Callable, at: np.ndarray, size: np.ndarray, step: np.ndarray, labels: np.ndarray, cells: int) -> None:
+        """Put the labels of some sequences, longest first, in their places."""
+        width = int(size[0])
+        active = np.searchsorted(-size, -np.arange(width), side="left")  # sequences longer than t
+        row = np.concatenate([[0], np.cumsum(active)])
+        back = np.zeros((int(row[-1]), len(LABELS)), np.int8)
+        score, low = None, 0
+        for t in range(width):
+            n = int(active[t])
+            if t == low:
+                # The places of the times to come, as many as may be there at once.
+                top = max(int(np.searchsorted(row, row[t] + cells, side="right")) - 1, t + 1)
+                times = np.repeat(np.arange(t, top), active[t:top])
+                place = at[np.arange(int(row[top] - row[t])) - np.repeat(row[t:top] - row[t], active[t:top])] + times
+                rows, first, low = given(place), int(row[t]), top
+            own = rows[int(row[t]) - first : int(row[t]) - first + n]
+            if score is None:
+                score = own + step[0]
+                continue
+            through = score[:n, :, None] + step
+            back[row[t] : row[t] + n] = through.argmax(axis=1)
+            score[:n] = through.max(axis=1) + own
+        best = (score + step[:, 0]).argmax(axis=1)
+        for t in range(width - 1, -1, -1):
+            n = int(active[t])
+            labels[at[:n] + t] = best[:n]
+            best[:n] = back[row[t] : row[t] + n][np.arange(n), best[:n]]
+
     def gradient(self, windows: np.ndarray, gold: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Log-likelihood of gold labels and its slope, by forward-backward."""
         emissions, step = self.emissions(windows), self.step + self.barred
@@ -351,7 +431,8 @@ def field_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> list[tup
         return []
     start, end, sequence = start[used], end[used], sequence[used]
     length = np.bincount(sequence)
-    labels = field.viterbi(field.emissions(_windows(shape[used], sequence)), np.cumsum(length) - length, length)
+    windows = _windows(shape[used], sequence)
+    labels = field.viterbi(lambda at: field.emissions(windows[:, at]), np.cumsum(length) - length, length)
     first = np.flatnonzero(labels % 2 == 1)
     out = []
     for i in first.tolist():
@@ -379,7 +460,7 @@ def all_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> tuple[list
     for a, b, _ in base:
         taken[a] += 1
         taken[b] -= 1
-    covered = np.concatenate([[0], np.cumsum(np.cumsum(taken)[:-1] > 0)])
+    covered = _running(np.cumsum(taken, dtype=np.int32)[:-1] > 0)
     more = [s for s in field_spans(field, data, offsets) if covered[s[1]] == covered[s[0]] and _plausible(s[2], data[s[0] : s[1]].tobytes())]
     return base, sorted([*base, *more])
 
@@ -388,7 +469,7 @@ def _by_text(spans: list, data: np.ndarray, offsets: np.ndarray) -> dict[int, li
     """Spans of each text that has any, in code points."""
     if not spans:
         return {}
-    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    points = _running((data & 0xC0) != 0x80)
     out: dict[int, list] = {}
     for (a, b, kind), text in zip(spans, (np.searchsorted(offsets, [s[0] for s in spans], side="right") - 1).tolist(), strict=True):
         base = points[offsets[text]]

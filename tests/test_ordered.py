@@ -275,7 +275,9 @@ def test_file_rows_over_many_files_and_splits(spark):
     assert {r.p: (r.f, r.i) for r in some} == dict(enumerate(want[:450]))
 
 
-def test_file_rows_through_filters_and_formats(spark):
+@pytest.mark.parametrize("sent", [0, 10**6])
+def test_file_rows_through_filters_and_formats(spark, monkeypatch, sent):
+    monkeypatch.setattr(ordered, "MAX_SPLITS", sent)
     path = shared_path(spark, "parquet")
     spark.range(1000).repartitionByRange(5, "id").sortWithinPartitions("id").write.parquet(path)
     even = spark.read.parquet(path).filter("id % 2 = 0").withColumn("twice", F.col("id") * 2)

@@ -31,6 +31,9 @@ _BUCKET = "__bucket"
 _OFFSET = "__offset"
 _FILE = "__file"
 _BLOCK = "__block"
+_SPLIT = "__split"
+# Splits that are sent to all tasks: 16 bytes each.
+MAX_SPLITS = 1_000_000
 _LOT = "__lot"
 # Rows that key_bound draws, and keys between which it counts, in one round.
 _SAMPLE = 1024
@@ -85,7 +88,7 @@ def number_file_rows(df: DataFrame, out: str = "p", keep_below: int | None = Non
     other columns may stand between, no shuffle. Lines that give no row, such as blank ones, do
     not count. The rows are computed and written once, each with its split, file and offset;
     rows per split are then added up in the order of the splits, of which the driver holds one
-    row each. With ``keep_below`` files beyond that position are not read again after a count.
+    row each, and tasks two numbers each while they are ``MAX_SPLITS`` at most. With ``keep_below`` files beyond that position are not read again after a count.
     """
     split = [F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_block_start").alias(_BLOCK)]
     if keep_below is not None:
@@ -99,22 +102,23 @@ def number_file_rows(df: DataFrame, out: str = "p", keep_below: int | None = Non
             df = df.filter(F.col("_metadata.file_path") <= last)
     rows = _stored(df.select("*", *split, F.monotonically_increasing_id().alias(_PLACE)))
     splits = rows.groupBy(_FILE, _BLOCK).agg(F.min(_PLACE).alias("first"), F.count(F.lit(1)).alias("n"))
-    ordered = splits.orderBy(_FILE, _BLOCK).collect()
+    ordered = splits.withColumn(_SPLIT, F.xxhash64(_FILE, _BLOCK)).orderBy(_FILE, _BLOCK).collect()
     starts = list(itertools.accumulate((r["n"] for r in ordered), initial=0))[:-1]
-    offsets = df.sparkSession.createDataFrame(
-        pa.table(
-            {
-                _FILE: pa.array([r[_FILE] for r in ordered], pa.string()),
-                _BLOCK: pa.array([r[_BLOCK] for r in ordered], pa.int64()),
-                _OFFSET: pa.array([s - r["first"] for s, r in zip(starts, ordered)], pa.int64()),
-            }
-        )
-    )
-    # Spark broadcasts the splits while they are few, and joins by shuffle beyond that.
-    numbered = rows.join(offsets, [_FILE, _BLOCK]).withColumn(out, F.col(_OFFSET) + F.col(_PLACE))
+    # A split is known by a hash, so that its row is two numbers; if two had one, by its name.
+    hashes = [r[_SPLIT] for r in ordered]
+    named = len(set(hashes)) < len(hashes)
+    columns = {_SPLIT: pa.array(hashes, pa.int64())}
+    if named:
+        columns = {_FILE: pa.array([r[_FILE] for r in ordered]), _BLOCK: pa.array([r[_BLOCK] for r in ordered], pa.int64())}
+    shift = pa.array([s - r["first"] for s, r in zip(starts, ordered)], pa.int64())
+    offsets = df.sparkSession.createDataFrame(pa.table({**columns, _OFFSET: shift}))
+    if len(ordered) <= MAX_SPLITS:
+        offsets = F.broadcast(offsets)
+    keyed = rows if named else rows.withColumn(_SPLIT, F.xxhash64(_FILE, _BLOCK))
+    numbered = keyed.join(offsets, list(columns)).withColumn(out, F.col(_OFFSET) + F.col(_PLACE))
     if keep_below is not None:
         numbered = numbered.filter(F.col(out) < keep_below)
-    return numbered.drop(_FILE, _BLOCK, _PLACE, _OFFSET)
+    return numbered.drop(_FILE, _BLOCK, _SPLIT, _PLACE, _OFFSET)
 
 
 def _stored(df: DataFrame) -> DataFrame:

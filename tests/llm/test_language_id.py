@@ -1,8 +1,12 @@
+import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
-from tunefeed.llm.language_id import features, fit, identify, languages, train
+from tunefeed.llm import language_id
+from tunefeed.llm.arrow_text import text_bytes
+from tunefeed.llm.language_id import MARGIN, _threshold, features, fit, identify, languages, train
 from tunefeed.llm.queries import op4_language_id
 
 
@@ -15,7 +19,8 @@ def test_held_out_accuracy_and_calibration(spark):
     right = np.array([r.lang_pred == docs[r.doc_id].lang for r in out])
     assert right.mean() > 0.99
     assert abs(np.mean([r.score for r in out]) - right.mean()) < 0.02
-    assert np.mean([r.rejected for r in rows]) < 0.005
+    # No text that is identified rightly is rejected.
+    assert not any(r.rejected for r in rows if r.lang_pred == docs[r.doc_id].lang)
 
 
 def test_edges(spark):
@@ -35,6 +40,45 @@ def test_edges(spark):
     assert {r.doc_id for r in unlabelled if r.rejected} == {900, 901, 902}
 
 
+def test_predict_equals_a_plain_mean_and_softmax(spark):
+    """One text after the other, one subword after the other."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = train(docs)
+    texts = [r.text for r in docs.select("text").limit(40).collect()] + ["x", "é", "a b", "1a"]
+    data, offsets = text_bytes(pa.array(texts))
+    best, score = model.predict(data, offsets)
+    for text, i, p in zip(texts, best, score, strict=True):
+        raw = b" " + re.sub(rb"[A-Z]", lambda m: m.group().lower(), text.encode()) + b" "
+        grams = [raw[j : j + n] for n in (2, 3, 4) for j in range(len(raw) - n + 1)]
+        codes = [(int.from_bytes(g, "little") + (len(g) << 40)) * 0x9E3779B97F4A7C15 % 2**64 >> 48 for g in grams]
+        z = np.mean([model.logits[c].astype(float) for c in codes], axis=0) / model.temperature
+        want = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert i == want.argmax() and abs(p - want.max()) < 1e-4
+
+
+def test_rejection_is_calibrated_from_two_sides():
+    sure = np.array([0.9, 0.99, 0.999])
+    low = _threshold(sure, np.array([0.95] * 50))  # cannot be told apart: by right answers alone
+    assert abs(low - 0.9 / (0.9 + 0.1 * MARGIN)) < 1e-9
+    between = _threshold(sure, np.array([0.3] * 50))
+    assert 0.3 < between < low < 0.9
+    assert _threshold(sure[:0], sure) == 0.0
+
+
+def test_copies_of_a_text_are_drawn_like_other_rows(spark):
+    """A third of the rows is one text; the sample stays near its size."""
+    other = [(f"the {i} of and", "en") for i in range(2000)] + [(f"der {i} und die", "de") for i in range(2000)]
+    df = spark.createDataFrame(other + [("one text that all share", "en")] * 2000, "text string, lang string")
+    sizes = []
+    fitted = language_id.fit
+    try:
+        language_id.fit = lambda examples, labels, **rest: sizes.append(len(labels)) or fitted(examples, labels, **rest)
+        train(df, sample=400)
+    finally:
+        language_id.fit = fitted
+    assert 300 < sizes[0] < 500
+
+
 def test_labels_are_not_inputs(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = train(docs)

@@ -4,9 +4,12 @@ Subwords are the 2 to 4 byte n-grams of a text (A-Z lower-cased, a space at both
 hashed into 2^16 buckets. A text is the mean of its subwords' embeddings; a linear softmax
 gives the languages. Embeddings and softmax are trained together by stochastic gradient
 descent in numpy, on a sample of about ``SAMPLE`` labelled rows spread evenly over the
-languages (chosen by hash; the bound does not grow with the data). One sampled row in four
-is kept from training: it sets the temperature that makes scores probabilities, and the
-score below which a prediction is rejected, so that at most one right answer in 1,000 is.
+languages (chosen by hash of the row and its place; the bound does not grow with the data).
+One sampled row in four is kept from training: these set the temperature that makes scores
+probabilities, and the score below which a prediction is rejected. It is calibrated from two
+sides: the odds of the least sure right answer, lowered by a margin, as no rightly identified text is to
+go; and the scores of the same texts with their bytes in random order, which are in no language.
+Where nearly all of those score lower, the threshold lies between the two; else it is the first.
 
 For prediction, bucket and softmax are multiplied out to one row of logits per bucket, and
 every whole text is read once, in slices, without a shuffle.
@@ -36,8 +39,10 @@ DIMENSIONS = 16
 SAMPLE = 4000
 EPOCHS = 6
 UNKNOWN = "und"
-#: Share of right answers that the rejection threshold may cost.
-REJECTED = 0.001
+#: The least odds of a right answer are divided by this much.
+MARGIN = 10.0
+#: Share of texts in no language that are to be below the threshold, if that can be.
+SCRAMBLED = 0.95
 
 
 def _framed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,8 +116,25 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: int = 5) -> LanguageModel:
-    """Train on (buckets, shares) of texts; the last quarter of a random order calibrates."""
+def _threshold(sure: np.ndarray, junk: np.ndarray) -> float:
+    """From the scores of right answers and of texts in no language."""
+    if not sure.size:
+        return 0.0
+    least = min(float(sure.min()), 1 - 1e-9)
+    odds = least / (1 - least) / MARGIN
+    low = odds / (1 + odds)
+    high = float(np.quantile(junk, SCRAMBLED)) if junk.size else low
+    return (low + high) / 2 if high < low else low
+
+
+def fit(
+    examples: list[tuple[np.ndarray, np.ndarray]],
+    labels: list[str],
+    seed: int = 5,
+    scrambled: list[tuple[np.ndarray, np.ndarray]] | None = None,
+) -> LanguageModel:
+    """Train on (buckets, shares) of texts; a quarter of a random order calibrates, with the same
+    texts ``scrambled``."""
     languages = sorted(set(labels))
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), 1.0, 0.0)
@@ -126,8 +148,9 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed:
     steps = EPOCHS * -(-learned.size // batch)
     step = 0
     for _ in range(EPOCHS):
+        shuffled = rng.permutation(learned)
         for low in range(0, learned.size, batch):
-            rows = rng.permutation(learned)[:batch] if low == 0 else learned[low : low + batch]
+            rows = shuffled[low : low + batch]
             rate = 8.0 * (1 - step / steps)
             step += 1
             bucket = np.concatenate([examples[i][0] for i in rows])
@@ -142,20 +165,27 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed:
             owner = np.repeat(np.arange(rows.size), [examples[i][0].size for i in rows])
             np.subtract.at(embedding, bucket, rate * back[owner] * share[:, None])
     table = (embedding @ softmax).astype(np.float32)
-    z = np.stack([(table[b] * s[:, None]).sum(axis=0) for b, s in (examples[i] for i in kept)])
+
+
+    def logits(texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        return np.stack([(table[b] * s[:, None]).sum(axis=0) for b, s in texts])
+
+    z = logits([examples[i] for i in kept])
     grid = np.geomspace(0.02, 5, 60)
     loss = [-np.log(_softmax(z / t)[np.arange(kept.size), target[kept]] + 1e-12).mean() for t in grid]
     temperature = float(grid[int(np.argmin(loss))])
     p = _softmax(z / temperature)
     right = p.argmax(axis=1) == target[kept]
-    sure = p.max(axis=1)[right]
-    threshold = float(np.quantile(sure, REJECTED, method="lower")) if sure.size else 0.0
-    return LanguageModel(languages, table, temperature, min(threshold, 0.5))
+    junk = _softmax(logits([scrambled[i] for i in kept]) / temperature).max(axis=1) if scrambled else np.zeros(0)
+    return LanguageModel(languages, table, temperature, _threshold(p.max(axis=1)[right], junk))
 
 
 def train(df: DataFrame, *, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> LanguageModel:
     """A model of the labelled rows of ``df``."""
-    labelled = df.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label")).filter("text IS NOT NULL AND label IS NOT NULL")
+    named = [F.col(text).alias("text"), F.col(label).cast("string").alias("label")]
+    # By the row's place too: of copies of a text no more are drawn than of other texts.
+    place = F.xxhash64(F.lit(11), F.col(text), F.monotonically_increasing_id()).alias("lot")
+    labelled = df.select(*named, place).filter("text IS NOT NULL AND label IS NOT NULL")
     counts = {r.label: r["count"] for r in labelled.groupBy("label").count().collect()}
     if not counts:
         return fit([], [])
@@ -163,34 +193,40 @@ def train(df: DataFrame, *, text: str = "text", label: str = "lang", sample: int
     share = F.lit(0.0)
     for name, n in sorted(counts.items()):
         share = F.when(F.col("label") == name, F.lit(min(1.0, each / n))).otherwise(share)
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(11), "text"), 11) / float(1 << 53)
+    draw = F.shiftrightunsigned("lot", 11) / float(1 << 53)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 0):
             data, offsets = text_bytes(part.column(0))
-            found = features(data, offsets)
             rows = np.flatnonzero(has_letter(data, offsets)).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(1).take(pa.array(rows, pa.int64())),
-                    pa.array([found[i][0].astype(np.int32) for i in rows], pa.list_(pa.int32())),
-                    pa.array([found[i][1].astype(np.float32) for i in rows], pa.list_(pa.float32())),
-                ],
-                ["label", "buckets", "shares"],
-            )
-
-    drawn = labelled.filter(draw < share).mapInArrow(run, "label string, buckets array<int>, shares array<float>")
+            # Text by text in an order of its own, whatever slice it is in.
+            mixed = [np.random.default_rng(b - a).permutation(data[a:b].copy()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            mixed = np.concatenate(mixed) if mixed else data
+            columns = [part.column(1).take(pa.array(rows, pa.int64()))]
+            for found in (features(data, offsets), features(mixed, offsets)):
+                columns.append(pa.array([found[i][0].astype(np.int32) for i in rows], pa.list_(pa.int32())))
+                columns.append(pa.array([found[i][1].astype(np.float32) for i in rows], pa.list_(pa.float32())))
+            yield pa.RecordBatch.from_arrays(columns, ["label", *names])
+
+    names = ["buckets", "shares", "mixed_buckets", "mixed_shares"]
+    schema = ", ".join(["label string", *(f"{n} array<{'int' if 'buckets' in n else 'float'}>" for n in names)])
+    drawn = labelled.filter(draw < share).select("text", "label").mapInArrow(run, schema)
     # About ``sample`` rows of at most one entry per bucket each.
     rows = drawn.toArrow().combine_chunks()
     if not rows.num_rows:
         return fit([], [])
-    lists = [rows.column(c).chunk(0) for c in ("buckets", "shares")]
-    bounds = lists[0].offsets.to_numpy()
-    bucket, share = (x.values.to_numpy(zero_copy_only=False) for x in lists)
     labels = rows.column("label").to_pylist()
+
+    def texts(buckets: str, shares: str) -> list[tuple[np.ndarray, np.ndarray]]:
+        lists = [rows.column(c).chunk(0) for c in (buckets, shares)]
+        bounds = lists[0].offsets.to_numpy()
+        bucket, share = (x.values.to_numpy(zero_copy_only=False) for x in lists)
+        return [(bucket[a:b], share[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+
+    own, mixed = texts(*names[:2]), texts(*names[2:])
     # An order that does not depend on which task came first.
-    order = np.lexsort((np.add.reduceat(bucket, bounds[:-1], dtype=np.int64), np.diff(bounds)))
-    return fit([(bucket[bounds[i] : bounds[i + 1]], share[bounds[i] : bounds[i + 1]]) for i in order], [labels[i] for i in order])
+    order = sorted(range(len(own)), key=lambda i: (own[i][0].size, int(own[i][0].sum(dtype=np.int64)), labels[i]))
+    return fit([own[i] for i in order], [labels[i] for i in order], scrambled=[mixed[i] for i in order])
 
 
 def identify(df: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:

@@ -19,22 +19,32 @@ from tunefeed.llm.positional_index import drop_contaminated
 from tunefeed.session import shared_path, ship_package
 
 
+#: Columns that stages read.
+USED = ("doc_id", "text", "lang", "n_chars")
+
+
+def _aside(docs: DataFrame) -> DataFrame:
+    """Other columns under names that no operator gives to columns of its own."""
+    return docs.toDF(*[c if c in USED else f"extra_{i}" for i, c in enumerate(docs.columns)])
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier, trained on their labels, does not reject."""
     ship_package(spark)
-    return identify(docs, train(docs)).filter("NOT rejected").select(docs.columns)
+    plain = _aside(docs)
+    return identify(plain, train(plain)).filter("NOT rejected").select(plain.columns).toDF(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the document with the smallest id."""
     ship_package(spark)
-    return keep_one(docs)
+    return keep_one(_aside(docs)).toDF(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item stands."""
     ship_package(spark)
-    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drop_contaminated(_aside(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).toDF(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from tunefeed.llm import positional_index
 from tunefeed.llm.positional_index import build_index, contamination, phrase_matches, proximity_matches
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -69,13 +70,28 @@ def test_random_words(spark):
 
 
 def test_groups_of_items(spark, monkeypatch):
-    monkeypatch.setattr("tunefeed.llm.positional_index.GROUP_BYTES", 100)
+    monkeypatch.setattr("tunefeed.llm.positional_index.GROUP_WINDOWS", 7)
     rng = np.random.default_rng(4)
     docs = [(i, " ".join(rng.choice(list("ab"), 60))) for i in range(20)]
     items = [(i, " ".join(rng.choice(list("ab"), 9))) for i in range(40)]
     assert ours(spark, docs, items) == brute(docs, items)
 
 
+def test_a_text_that_many_items_share(spark, monkeypatch):
+    """It is one class; what goes to the driver is bounded by distinct windows, not by items."""
+    monkeypatch.setattr(positional_index, "GROUP_WINDOWS", 20)
+    hot = " ".join(f"hot{i}" for i in range(15))
+    items = [(i, hot) for i in range(3000)] + [(5000 + i, f"own {i} words of item {i} that stand here and there {i}") for i in range(40)]
+    items += [(5000, hot.upper()), (7, "own 7 words of item 7 that stand here and there 7")]
+    docs = [(1, "x " + hot), (2, "see own 7 words of item 7 that stand here and there 7"), (3, "none of them")]
+    groups = []
+    inner = positional_index._groups
+    monkeypatch.setattr(positional_index, "_groups", lambda *a: [groups.append(g) or g for g in inner(*a)])
+    assert ours(spark, docs, items) == brute(docs, items)
+    assert sum(len(g["sizes"]) for g in groups) == 6 + 40 * 3 and max(len(g["sizes"]) for g in groups) < 50
+    assert max(len(c) for g in groups for c in g["classes"]) == 2
+
+
 def test_matches(spark):
     docs = spark.createDataFrame([(1, "q a b c"), (2, "c x b y a"), (3, "a b"), (4, "c a b c")], "doc_id long, text string")
     items = spark.createDataFrame([(7, "a b c")], "item_id long, text string")

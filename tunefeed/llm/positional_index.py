@@ -10,8 +10,10 @@ window within a span, in any order, instead. Positions leave a gap between docum
 match runs from one into the next.
 
 The index is cut by documents, so building and searching need no shuffle, and a common
-word's postings are spread over all blocks. Test items are sent in groups of ``GROUP_BYTES``
-of text at most; more items mean more passes over the index, not a larger broadcast.
+word's postings are spread over all blocks. Test items are cut into windows in tasks: items of
+one text are one class, and windows are distinct. They are sent in groups of about
+``GROUP_WINDOWS`` distinct windows, with their classes; more of them mean more passes over the index,
+not a larger broadcast. Classes found become items again by a join.
 
 Null texts have no words. A null item id counts for hits, but is in no list of items. Items
 with the same id are one item. Empty tables give empty results, or documents without hits.
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunefeed.llm.arrow_text import ALPHANUMERIC, LOWER, ragged_index, slices, strings, text_bytes, words
@@ -33,8 +35,8 @@ from tunefeed.session import shared_path
 
 #: Consecutive words of an item that must occur.
 WINDOW = 10
-#: Text of the test items that one pass sends to the executors.
-GROUP_BYTES = 16 << 20
+#: Distinct windows that one pass sends to the executors, about.
+GROUP_WINDOWS = 1 << 17
 
 
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -162,39 +164,58 @@ class _Block:
         return windows[row], low
 
 
-def _groups(items: DataFrame, item: str, text: str, size: int) -> Iterator[dict]:
-    """Test windows, in groups of bounded size: distinct windows, and the items of each."""
+def _classes(items: DataFrame, item: str, text: str) -> DataFrame:
+    """``class`` (a number), ``text`` and ``items`` of the distinct texts, written. A null item is in no list."""
     plain = items.select(F.col(item).alias("item"), F.col(text).alias("text")).filter("text IS NOT NULL")
-    total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = 1 + total // GROUP_BYTES
-    part = F.pmod(F.xxhash64("text"), F.lit(count))
-    for i in range(count):
-        table = plain.filter(part == i).toArrow().combine_chunks()
-        names = table.column("item").to_pylist()
-        column = table.column("text")
+    path = shared_path(items.sparkSession, "items")
+    same = plain.groupBy("text").agg(F.collect_set("item").alias("items"))
+    same.withColumn("class", F.monotonically_increasing_id()).write.parquet(path)
+    return items.sparkSession.read.parquet(path)
+
+
+def _windows(classes: DataFrame, size: int) -> tuple[str, int]:
+    """Where the distinct windows are written, in parts, with the classes of each; number of parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1):
+            terms, codes, bounds = _terms(*text_bytes(part.column(1)))
+            spelled = terms.cast(pa.string()).to_pylist()
+            for name, a, b in zip(part.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                own = [spelled[c] for c in codes[a:b].tolist()]
+                found = {" ".join(own[i : i + size]) for i in range(max(1, len(own) - size + 1) if own else 0)}
+                yield pa.RecordBatch.from_pydict({"window": pa.array(sorted(found), pa.string()), "class": pa.array([name] * len(found), pa.int64())})
+
+    spark = classes.sparkSession
+    cut, path = shared_path(spark, "windows"), shared_path(spark, "window-parts")
+    each = classes.select("class", "text").mapInArrow(run, "window string, class long")
+    each.groupBy("window").agg(F.collect_set("class").alias("classes")).write.parquet(cut)
+    windows = spark.read.parquet(cut)
+    parts = 1 + windows.count() // GROUP_WINDOWS
+    windows.withColumn("part", F.pmod(F.xxhash64("window"), F.lit(parts))).write.partitionBy("part").parquet(path)
+    return path, parts
+
+
+def _groups(spark: SparkSession, classes: DataFrame, size: int) -> Iterator[dict]:
+    """Test windows, in groups of bounded size, and the classes of each."""
+    path, parts = _windows(classes, size)
+    every = spark.read.schema("window string, classes array<long>, part int").parquet(path)
+    for i in range(parts):
+        table = every.filter(F.col("part") == i).select("window", "classes").toArrow().combine_chunks()
+        column = table.column("window")
         column = column.chunk(0) if column.num_chunks else pa.array([], pa.string())
-        terms, codes, bounds = _terms(*text_bytes(column))
-        found: dict[tuple, set] = {}
-        for name, a, b in zip(names, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            own = codes[a:b].tolist()
-            for start in range(max(1, len(own) - size + 1) if own else 0):
-                found.setdefault(tuple(own[start : start + size]), set()).add(name)
-        windows = np.zeros((len(found), size), np.int64)
-        for row, window in enumerate(found):
-            windows[row, : len(window)] = window
-        yield {
-            "terms": terms,
-            "windows": windows,
-            "sizes": np.array([len(w) for w in found], np.int64),
-            "items": [sorted(x for x in s if x is not None) for s in found.values()],
-        }
+        split = pc.split_pattern(column, " ")
+        coded = split.values.dictionary_encode()
+        sizes = split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        windows = np.zeros((len(split), size), np.int64)
+        windows[np.arange(size) < sizes[:, None]] = coded.indices.to_numpy(zero_copy_only=False)
+        yield {"terms": coded.dictionary.cast(pa.binary()), "windows": windows, "sizes": sizes, "classes": table.column("classes").to_pylist()}
 
 
-def _search(index: DataFrame, items: DataFrame, item: str, text: str, size: int, schema: str, columns: list[str], of_block) -> DataFrame:
-    """Rows that ``of_block(block, number, test)`` yields for all blocks and groups of items."""
+def _search(index: DataFrame, classes: DataFrame, size: int, schema: str, columns: list[str], of_block) -> DataFrame:
+    """Rows that ``of_block(block, number, test)`` yields for all blocks and groups of windows."""
     context = index.sparkSession.sparkContext
     parts = []
-    for test in _groups(items, item, text, size):
+    for test in _groups(index.sparkSession, classes, size):
         sent = context.broadcast(test)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -215,7 +236,7 @@ COLUMNS = ["block", "keys", "firsts", "sizes", "terms", "counts", "steps"]
 
 def _matches(index: DataFrame, items: DataFrame, item: str, text: str, size: int, find) -> DataFrame:
     key_kind = index.schema["keys"].dataType.elementType.simpleString()
-    item_kind = items.schema[item].dataType.simpleString()
+    classes = _classes(items, item, text)
 
     def of_block(block: _Block, number: int, test: dict) -> Iterator[pa.RecordBatch]:
         window, at = find(block, test)
@@ -223,16 +244,27 @@ def _matches(index: DataFrame, items: DataFrame, item: str, text: str, size: int
         rows = {
             (d, name, a - int(block.firsts[d]), n)
             for w, d, a, n in zip(window.tolist(), doc.tolist(), at.tolist(), test["sizes"][window].tolist(), strict=True)
-            for name in test["items"][w]
+            for name in test["classes"][w]
         }
         if rows:
             docs, names, begins, lengths = zip(*sorted(rows), strict=True)
+            # One row per document and match, told apart by its place where keys repeat.
             yield pa.RecordBatch.from_pydict(
-                {"key": block.keys.take(pa.array(docs)), "item": list(names), "begin": list(begins), "words": list(lengths)}
+                {
+                    "key": block.keys.take(pa.array(docs)),
+                    "block": [number] * len(docs),
+                    "place": list(docs),
+                    "class": list(names),
+                    "begin": list(begins),
+                    "words": list(lengths),
+                }
             )
 
-    schema = f"key {key_kind}, item {item_kind}, begin long, words long"
-    return _search(index, items, item, text, size, schema, COLUMNS, of_block)
+    schema = f"key {key_kind}, block long, place long, class long, begin long, words long"
+    found = _search(index, classes, size, schema, COLUMNS, of_block)
+    named = found.join(classes.select("class", F.explode("items").alias("item")), "class")
+    # Items of one id but several texts are one item.
+    return named.select("key", "block", "place", "item", "begin", "words").distinct().drop("block", "place")
 
 
 def phrase_matches(index: DataFrame, items: DataFrame, *, item: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
@@ -262,7 +294,7 @@ def contamination(index: DataFrame, items: DataFrame, *, key: str = "doc_id", it
         begin, end = np.flatnonzero(hit[1:] & ~hit[:-1]), np.flatnonzero(~hit[1:] & hit[:-1])
         names: dict[int, set] = {}
         for w, d in set(zip(window.tolist(), (np.searchsorted(block.firsts, at, side="right") - 1).tolist(), strict=True)):
-            names.setdefault(d, set()).update(test["items"][w])
+            names.setdefault(d, set()).update(test["classes"][w])
         ranges: dict[int, list] = {d: [] for d in names}
         for a, b in zip(begin.tolist(), end.tolist(), strict=True):
             d = int(np.searchsorted(block.firsts, a, side="right")) - 1
@@ -273,20 +305,24 @@ def contamination(index: DataFrame, items: DataFrame, *, key: str = "doc_id", it
                 pa.array([number] * len(docs), pa.int64()),
                 pa.array(docs, pa.int32()),
                 pa.array([ranges[d] for d in docs], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
-                pa.array([[str(x) for x in sorted(names[d])] for d in docs], pa.list_(pa.string())),
+                pa.array([sorted(names[d]) for d in docs], pa.list_(pa.int64())),
             ],
-            ["block", "place", "ranges", "items"],
+            ["block", "place", "ranges", "classes"],
         )
 
     if item_kind not in ("bigint", "int", "smallint", "tinyint", "string"):
         raise TypeError("item ids are integers or strings")
-    schema = "block long, place int, ranges array<struct<a:int,b:int>>, items array<string>"
-    hits = _search(index, items, item, text, size, schema, COLUMNS, of_block)
-    # A document has one row per group of items at most.
-    hits = hits.groupBy("block", "place").agg(
-        F.array_sort(F.flatten(F.collect_list("ranges"))).alias("ranges"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
+    classes = _classes(items, item, text)
+    schema = "block long, place int, ranges array<struct<a:int,b:int>>, classes array<long>"
+    path, spark = shared_path(index.sparkSession, "hits"), index.sparkSession
+    _search(index, classes, size, schema, COLUMNS, of_block).write.parquet(path)
+    hits = spark.read.parquet(path)
+    # A document has one row per group of windows at most.
+    named = hits.select("block", "place", F.explode("classes").alias("class")).distinct().join(classes.select("class", "items"), "class")
+    strings_ = F.col("items").cast("array<string>")
+    lists = named.groupBy("block", "place").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(strings_)))).alias("items"))
+    spans = hits.groupBy("block", "place").agg(F.array_sort(F.flatten(F.collect_list("ranges"))).alias("ranges"))
+    hits = spans.join(lists, ["block", "place"], "left")
     docs = index.select("block", F.posexplode(F.arrays_zip("keys", "sizes")).alias("place", "doc"))
     joined = docs.join(hits, ["block", "place"], "left")
     n_hit = F.coalesce(_covered(F.col("ranges")), F.lit(0)).cast("long")

@@ -12,17 +12,32 @@ def model(spark):
 
 
 def brute(text):
-    run = re.compile(r"[A-Za-z0-9+/_=-]+")
-    return [(m.group(), (text or "")[: m.start()], (text or "")[m.end() :]) for m in run.finditer(text or "") if len(m.group()) >= 16]
+    """Place by place: an assigned value, else a run."""
+    text, out, at = text or "", [], 0
+    name = re.compile(r"""(token|secret|passw|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)[\w-]{0,16}["'`]?\s{0,3}[=:]\s{0,3}["'`]?\Z""", re.I | re.A)
+    while at < len(text):
+        value = re.compile(r"""[^\s"'`]{8,}""", re.A).match(text, at)
+        run = re.compile(r"[A-Za-z0-9+/_=-]{16,}").match(text, at)
+        if value and name.search(text[max(at - 60, 0) : at]):
+            found = value
+        elif run and not re.match(r"[A-Za-z0-9+/_=-]", text[at - 1 : at]):
+            found = run
+        else:
+            at += 1
+            continue
+        out.append((found.group(), text[: found.start()], text[found.end() :]))
+        at = found.end()
+    return out
 
 
 def test_candidates_equal_a_plain_search(spark):
-    texts = {1: None, 2: "", 3: "x" * 16, 4: "a" * 15, 5: "é" + "b1" * 9 + "é " + "/+_=-" * 4 + "\n" + "c" * 20, 6: "Z" * 500_000 + " " + "q" * 17}
+    texts = {1: None, 2: "", 3: "x" * 16, 4: "a" * 15, 5: "é" + "b1" * 9 + "é " + "/+_=-" * 4 + "\n" + "c" * 20, 6: "Z" * 20_000 + " " + "q" * 17, 7: 'password = "hunter2-Pass" PWD: Xk9$vT2!qLp8@mZ4wR, token=short secret:\n  "spaced out"', 8: "api-key_of_mine`:`a.b.c.d.é;x` author = somebody auth : ....,,,,;;;; x: " + "y" * 16 + "$z"}
     df = spark.createDataFrame([(k, v, None, "s") for k, v in texts.items()] + [(None, "k" * 16, "p", "s")], "doc_id long, text string, source string, secret string")
     got = {}
     for r in candidates(df).orderBy("key", "nth").collect():
         got.setdefault(r.key, []).append(r)
-    assert set(got) == {3, 5, 6, None}
+    assert set(got) == {3, 5, 6, 7, 8, None}
+    assert [r.secret for r in got[7]] == ["hunter2-Pass", "Xk9$vT2!qLp8@mZ4wR,"]
     for key, rows in got.items():
         want = brute(texts.get(key, "k" * 16))
         assert [r.nth for r in rows] == list(range(1, len(want) + 1))
@@ -44,11 +59,15 @@ def test_judgements(spark, model):
         (4, "see commit 186661156f3f9905942d70850a01cbf23a203f82 for it"),
         (5, "the 4047549990366437 and +1234567890123456"),
         (6, 'api_key: "your_api_key_goes_here"'),
+        (8, 'password = "hunter2-Pass!" and'),
+        (9, "DB_PASSWORD: Xk9$vT2!qLp8@mZ4wR"),
+        (10, "auth_token = os.environ[TOKEN_NAME]"),
+        (11, "the password: something else, and the secret: thereafter"),
         (7, "aws_secret_access_key = wJalrXUtnFEMIK7MDENGbPxRfiCYzEXAMPLe9Key0 done"),
     ]
     df = spark.createDataFrame([(*t, "src1") for t in texts + texts[:1]], "doc_id long, text string, source string")
     got = [r.doc_id for r in scan(df, model).collect()]
-    assert sorted(got) == [1, 1, 2, 7]
+    assert sorted(got) == [1, 1, 2, 7, 8, 9]
     assert scan(df.limit(0), model).collect() == []
 
 

@@ -1,6 +1,8 @@
 """Secret scan: candidate strings, and a random forest that removes false positives.
 
-A candidate is a run of 16 or more of ``A-Z a-z 0-9 + / _ = -``. The forest judges it by
+A candidate is a run of 16 or more of ``A-Z a-z 0-9 + / _ = -``, or what is assigned to a name
+like those of secrets (``password = "..."``, ``api_key: ...``): 8 or more of any characters but white
+space and quotation marks. Shorter strings are no candidates. The forest judges it by
 
 * its length and kinds of characters,
 * its character transitions (changes of kind; pairs that are common in words),
@@ -36,8 +38,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CHARS = "[A-Za-z0-9+/_=-]"
-#: A whole run of candidate characters.
-CANDIDATE = f"(?<!{_CHARS}){_CHARS}{{16,}}+"
+_NAMES = "token|secret|passw|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential"
+#: After an assignment (looked at first, as it is near), and that to such a name.
+_ASSIGNED = "(?<=[=:]\\s{0,3}[\"'`]{0,1})"
+_NAMED = f"(?<=(?i:{_NAMES})[\\w-]{{0,16}}[\"'`]{{0,1}}\\s{{0,3}}[=:]\\s{{0,3}}[\"'`]{{0,1}})"
+#: An assigned value, or a whole run of candidate characters.
+CANDIDATE = f"{_ASSIGNED}{_NAMED}[^\\s\"'`]{{8,}}+|(?<!{_CHARS}){_CHARS}{{16,}}+"
 #: Labelled rows that the forest learns from, about.
 MOST = 50_000
 #: Characters before and after a candidate that hold its neighbouring words.
@@ -80,6 +86,8 @@ def features(found: DataFrame) -> DataFrame:
         "digits": _share(secret, "[0-9]"),
         "capitals": _share(secret, "[A-Z]"),
         "signs": _share(secret, "[+/_=-]"),
+        "marks": _share(secret, "[^A-Za-z0-9+/_=-]"),
+        "brackets": _share(secret, r"[(){}<>\[\].,;:]"),
         "hex": _share(secret, "[0-9a-fA-F]"),
         "distinct": reduce(Column.__add__, seen) / F.least(F.length(secret), F.lit(36)),
         "digit_turns": _share(secret, "[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])"),
@@ -100,7 +108,7 @@ def features(found: DataFrame) -> DataFrame:
 
 
 FEATURES = [
-    *(f"f_{n}" for n in ("length", "digits", "capitals", "signs", "hex", "distinct", "digit_turns", "case_turns", "repeats")),
+    *(f"f_{n}" for n in ("length", "digits", "capitals", "signs", "marks", "brackets", "hex", "distinct", "digit_turns", "case_turns", "repeats")),
     *(f"f_{n}" for n in ("common_pairs", "covered", "parts", "assigned", "quoted", "secret_before", "secret_last")),
     *(f"f_{n}" for n in ("plain_before", "plain_after", *_PATHS)),
 ]
@@ -125,6 +133,9 @@ def labelled_findings(spark: SparkSession, rows: int = 1600, seed: int = 7) -> D
         lambda: "sk_live_" + drawn(base, 24),
         lambda: drawn(base + "+/", pick([40, 43, 64])),
         lambda: drawn(base + "_-", pick([20, 24, 32])),
+        lambda: drawn(base + "$!@#%^&*?-_", rng.randint(10, 24)),
+        lambda: word()[: rng.randint(4, 8)].title() + pick("!@#$%&*-_") + drawn(string.digits, rng.randint(3, 5)) + pick(["", "!", "#", "x"]),
+        lambda: ".".join(drawn(base + "_-", n) for n in (20, 40, 43)),
     ]
     owners = ["token", "secret", "api_key", "apiKey", "password", "access_key", "auth_token", "client_secret", "aws_secret_access_key", "TOKEN", "SECRET_KEY", "Authorization: Bearer", "private key"]
     plains = [
@@ -138,6 +149,15 @@ def labelled_findings(spark: SparkSession, rows: int = 1600, seed: int = 7) -> D
         lambda: (pick(["def ", "", "x = "]), "_".join(pick(DICTIONARY) for _ in range(5)), "("),
         lambda: (pick(["", "\n"]), pick("-=_x0") * rng.randint(16, 60), "\n"),
         lambda: (pick(owners) + " = \"", pick(["your_api_key_goes_here", "xxxxxxxxxxxxxxxxxxxxxxxx", "changeme_changeme_1", "REPLACE_WITH_YOUR_TOKEN", "example-secret-value", "0000000000000000000000"]), '"'),
+        lambda: (
+            pick(owners) + pick([" = ", ": ", "=", ': "']),
+            pick([
+                word(), word().title() + pick([".", ","]), pick(DICTIONARY) + "." + pick(["password", "token", "getSecret()", "value,"]), "required", "disabled", "undefined",
+                "get" + pick(owners).replace(" ", "") + "()", "os.environ[KEY]", "process.env.TOKEN", "${SECRET_KEY}", "<your-token>", "********", "changeme", "$(cat/run/key)",
+                "function(" + pick(DICTIONARY) + ")", "https://" + pick(DICTIONARY) + ".example.com/login", "self._" + pick(DICTIONARY) + ",", "{{" + pick(DICTIONARY) + "_token}}",
+            ]),
+            pick([" ", "\n", '"']),
+        ),
         lambda: ("mail ", word() + str(rng.randint(10, 99)), "@mail.example.com"),
         lambda: ("data:image/png;base64,", drawn(base, 60), '"'),
     ]
@@ -150,7 +170,8 @@ def labelled_findings(spark: SparkSession, rows: int = 1600, seed: int = 7) -> D
             out.append({"path": pick(paths), "before": lead + pick(owners) + mark[0], "secret": pick(secrets)(), "after": mark[1] + " " + word(), "label": 1.0})
         else:
             before, plain, after = pick(plains)()
-            if len(plain) >= 16:
+            assigned = before.rstrip(" \"")[-1:] in ("=", ":") and any(o in before for o in owners)
+            if len(plain) >= (8 if assigned else 16):
                 out.append({"path": pick(paths), "before": lead + before, "secret": plain, "after": after + word(), "label": 0.0})
     schema = "array<struct<path:string,before:string,secret:string,after:string,label:double>>"
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(out)), schema)))

@@ -8,7 +8,7 @@ languages (chosen by hash of the row and its place; the bound does not grow with
 One sampled row in four is kept from training: these set the temperature that makes scores
 probabilities, and the score below which a prediction is rejected. It is calibrated from two
 sides: the odds of the least sure right answer, lowered by a margin, as no rightly identified text is to
-go; and the scores of the same texts with their bytes in random order, which are in no language.
+go; and the scores of one sampled text in eight with its bytes in random order, which is in no language.
 Where nearly all of those score lower, the threshold lies between the two; else it is the first.
 
 For prediction, bucket and softmax are multiplied out to one row of logits per bucket, and
@@ -43,6 +43,8 @@ UNKNOWN = "und"
 MARGIN = 10.0
 #: Share of texts in no language that are to be below the threshold, if that can be.
 SCRAMBLED = 0.95
+#: One sampled text in so many is scrambled.
+SCRAMBLED_OF = 8
 
 
 def _framed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,8 +135,8 @@ def fit(
     seed: int = 5,
     scrambled: list[tuple[np.ndarray, np.ndarray]] | None = None,
 ) -> LanguageModel:
-    """Train on (buckets, shares) of texts; a quarter of a random order calibrates, with the same
-    texts ``scrambled``."""
+    """Train on (buckets, shares) of texts; a quarter of a random order calibrates, with
+    ``scrambled`` texts, of which nothing is learned."""
     languages = sorted(set(labels))
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), 1.0, 0.0)
@@ -176,7 +178,7 @@ def fit(
     temperature = float(grid[int(np.argmin(loss))])
     p = _softmax(z / temperature)
     right = p.argmax(axis=1) == target[kept]
-    junk = _softmax(logits([scrambled[i] for i in kept]) / temperature).max(axis=1) if scrambled else np.zeros(0)
+    junk = _softmax(logits(scrambled) / temperature).max(axis=1) if scrambled else np.zeros(0)
     return LanguageModel(languages, table, temperature, _threshold(p.max(axis=1)[right], junk))
 
 
@@ -199,34 +201,36 @@ def train(df: DataFrame, *, text: str = "text", label: str = "lang", sample: int
         for part in slices(batches, 0):
             data, offsets = text_bytes(part.column(0))
             rows = np.flatnonzero(has_letter(data, offsets)).tolist()
-            # Text by text in an order of its own, whatever slice it is in.
-            mixed = [np.random.default_rng(b - a).permutation(data[a:b].copy()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            mixed = np.concatenate(mixed) if mixed else data
-            columns = [part.column(1).take(pa.array(rows, pa.int64()))]
-            for found in (features(data, offsets), features(mixed, offsets)):
-                columns.append(pa.array([found[i][0].astype(np.int32) for i in rows], pa.list_(pa.int32())))
-                columns.append(pa.array([found[i][1].astype(np.float32) for i in rows], pa.list_(pa.float32())))
-            yield pa.RecordBatch.from_arrays(columns, ["label", *names])
-
-    names = ["buckets", "shares", "mixed_buckets", "mixed_shares"]
-    schema = ", ".join(["label string", *(f"{n} array<{'int' if 'buckets' in n else 'float'}>" for n in names)])
+            found, labels = features(data, offsets), part.column(1).to_pylist()
+            out = [(labels[i], *found[i]) for i in rows]
+            for i in rows:
+                if found[i][0].sum() % SCRAMBLED_OF == 0:
+                    text = data[offsets[i] : offsets[i + 1]].copy()
+                    np.random.default_rng(text.size).shuffle(text)
+                    out.append((None, *features(text, np.array([0, text.size]))[0]))
+            columns = [
+                pa.array([o[0] for o in out], pa.string()),
+                pa.array([o[1].astype(np.int32) for o in out], pa.list_(pa.int32())),
+                pa.array([o[2].astype(np.float32) for o in out], pa.list_(pa.float32())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["label", "buckets", "shares"])
+
+    # Rows without a label are scrambled.
+    schema = "label string, buckets array<int>, shares array<float>"
     drawn = labelled.filter(draw < share).select("text", "label").mapInArrow(run, schema)
     # About ``sample`` rows of at most one entry per bucket each.
     rows = drawn.toArrow().combine_chunks()
     if not rows.num_rows:
         return fit([], [])
     labels = rows.column("label").to_pylist()
-
-    def texts(buckets: str, shares: str) -> list[tuple[np.ndarray, np.ndarray]]:
-        lists = [rows.column(c).chunk(0) for c in (buckets, shares)]
-        bounds = lists[0].offsets.to_numpy()
-        bucket, share = (x.values.to_numpy(zero_copy_only=False) for x in lists)
-        return [(bucket[a:b], share[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-
-    own, mixed = texts(*names[:2]), texts(*names[2:])
+    lists = [rows.column(c).chunk(0) for c in ("buckets", "shares")]
+    bounds = lists[0].offsets.to_numpy()
+    bucket, share = (x.values.to_numpy(zero_copy_only=False) for x in lists)
+    texts = [(bucket[a:b], share[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
     # An order that does not depend on which task came first.
-    order = sorted(range(len(own)), key=lambda i: (own[i][0].size, int(own[i][0].sum(dtype=np.int64)), labels[i]))
-    return fit([own[i] for i in order], [labels[i] for i in order], scrambled=[mixed[i] for i in order])
+    order = sorted(range(len(texts)), key=lambda i: (texts[i][0].size, int(texts[i][0].sum(dtype=np.int64)), labels[i] or ""))
+    plain, mixed = ([i for i in order if (labels[i] is None) == none] for none in (False, True))
+    return fit([texts[i] for i in plain], [labels[i] for i in plain], scrambled=[texts[i] for i in mixed])
 
 
 def identify(df: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:

@@ -12,7 +12,7 @@ from tunefeed.plans.queries import QUERIES
 from tunefeed.plans.views import log_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-WITH_PYTHON = {"generate_batch", "artifact_manifest"}
+WITH_PYTHON = {"generate_batch", "generate_by_length", "artifact_manifest"}
 
 
 def physical(df):
@@ -56,15 +56,15 @@ def test_logs_are_parsed_once(spark):
     assert physical(QUERIES["explode_metrics"](spark, SF_DIR)).count("from_json(") == 1
 
 
-def test_step_cap_bounds_the_scan(spark):
+@pytest.mark.parametrize("stored", [True, False])
+def test_step_cap_bounds_the_scan(spark, stored):
+    """Looking for the bound writes nothing; what is written is read up to it only."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
-    made = []
-    ran = written_by(
-        spark, lambda: made.append(plan_batches(docs, ["doc_id"], BatchPlan(1, 1, 8, max_steps=2), rows_per_bucket=10))
-    )
-    plan = made[0]
-    assert re.search(r"PushedFilters: \[IsNotNull\(doc_id\), LessThanOrEqual\(doc_id,\d+\)", ran[-1])
-    assert plan.count() == 16
+    made, plan = [], BatchPlan(1, 1, 8, max_steps=2)
+    ran = written_by(spark, lambda: made.append(plan_batches(docs, ["doc_id"], plan, 10, stored)))
+    assert len(ran) == (1 if stored else 2)
+    assert re.search(r"PushedFilters: \[IsNotNull\(doc_id\), LessThanOrEqual\(doc_id,\d+\)", ran[0])
+    assert made[0].count() == 16
 
 
 def test_retention_limits_rows_before_the_shuffle(spark):

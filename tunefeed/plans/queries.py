@@ -166,7 +166,7 @@ def feed_from_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run that stopped after step 2 has still to read."""
     path = shared_path(spark, "feed")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn")
-    planned = batching.plan_batches(turns, ["conv_id", "turn"], PLAN, rows_per_bucket=1000)
+    planned = batching.plan_batches(turns, ["conv_id", "turn"], PLAN, rows_per_bucket=1000, stored=True)
     feed.write_training_feed(planned, path, PLAN.world_size)
     manifest = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("run_id"), F.lit(2).alias("step"))
     return feed.feed_after_checkpoint(spark, path, manifest, run_id=0)
@@ -322,7 +322,7 @@ def user_path_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn")
-    return number(turns, ["conv_id", "turn"])
+    return number(turns, ["conv_id", "turn"], stored=True)
 
 
 def number_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +331,7 @@ def number_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def number_rows_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("lang", "source", "doc_id")
-    return number(rows, ["lang", "source", "doc_id"])
+    return number(rows, ["lang", "source", "doc_id"], stored=True)
 
 
 def number_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,7 +364,7 @@ def assign_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 def step_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     capped = BatchPlan(PLAN.world_size, PLAN.per_device_batch, PLAN.accumulation, max_steps=5)
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn")
-    return batching.plan_batches(turns, ["conv_id", "turn"], capped)
+    return batching.plan_batches(turns, ["conv_id", "turn"], capped, stored=True)
 
 
 def _planned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tunefeed.operators.batching import BatchPlan, plan_batches
 from tunefeed.session import shared_path
+from tunefeed.sources import artifacts
 from tunefeed.sources.artifacts import artifact_diff, artifact_manifest, tree_digest
 from tunefeed.sources.datasets import load_split, read_jsonl, resolve_source, write_jsonl
 from tunefeed.sources.feed import feed_after_checkpoint, feed_from_step, read_feed_index, write_training_feed
@@ -110,6 +111,28 @@ def test_other_stores_need_an_opener(spark, tmp_path):
     assert (row["path"], row["sha256"]) == ("dbfs:/x/f", hashlib.sha256(b"abc").hexdigest())
 
 
+def test_a_store_is_opened_once(monkeypatch):
+    from urllib.parse import unquote
+
+    from pyarrow import fs
+
+    opened = []
+
+    class FileSystem:
+        @staticmethod
+        def from_uri(uri):
+            opened.append(uri)
+            scheme, rest = unquote(uri).split("://", 1)
+            return f"system {len(opened)}", rest if scheme == "s3" else "/" + rest.split("/", 1)[1]
+
+    monkeypatch.setattr(artifacts, "_opened", {})
+    monkeypatch.setattr(fs, "FileSystem", FileSystem)
+    got = [artifacts.open_by_scheme(p) for p in ("s3a://b/", "s3a://b/x y/1", "s3://b/2", "s3a://c/é", "hdfs://h:9000/d/3", "hdfs://h:9000/4")]
+    want = [("system 1", "b"), ("system 1", "b/x y/1"), ("system 1", "b/2"), ("system 2", "c/é"), ("system 3", "/d/3"), ("system 3", "/4")]
+    assert got == want
+    assert len(opened) == 3
+
+
 def test_listing_does_not_read_contents(spark, tmp_path):
     (tmp_path / "f").write_bytes(b"x")
     plan = artifact_manifest(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()

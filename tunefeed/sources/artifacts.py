@@ -20,8 +20,13 @@ _PIECE = 8 << 20
 _SCHEMES = {"s3a": "s3", "s3n": "s3", "s3": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss"}
 
 
+# File systems that this process has opened, by scheme and authority, and what names begin with there.
+_opened: dict[tuple[str, str], tuple] = {}
+
+
 def open_by_scheme(path: str) -> tuple:
-    """Arrow's file system for a path, by its scheme; none is a local path."""
+    """Arrow's file system for a path, by its scheme; none is a local path. A store is opened
+    once per process, not once per file."""
     from urllib.parse import quote
 
     from pyarrow import fs
@@ -29,7 +34,13 @@ def open_by_scheme(path: str) -> tuple:
     scheme, name = _scheme(path)
     if scheme in ("", "file"):
         return fs.LocalFileSystem(), "/" + name.lstrip("/")
-    return fs.FileSystem.from_uri(quote(f"{_SCHEMES[scheme]}:{name}", safe=":/@=+"))
+    authority, rest = re.match(r"(//[^/]*)?/*(.*)", name, re.DOTALL).groups()
+    key = (_SCHEMES[scheme], authority or "")
+    if key not in _opened:
+        system, found = fs.FileSystem.from_uri(quote(f"{key[0]}:{name}", safe=":/@=+"))
+        _opened[key] = system, found[: len(found) - len(rest)].rstrip("/")
+    system, begin = _opened[key]
+    return system, f"{begin}/{rest}".rstrip("/") or "/"
 
 
 def _scheme(path: str) -> tuple[str, str]:

@@ -45,29 +45,42 @@ _LEVELS = np.array([1, 2, 4, 8, 16, 64, 1024])
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The n-gram of each byte and each end, the current byte lowest; and texts' ranges."""
-    n = np.diff(offsets)
+    n, before = np.diff(offsets), ORDERS[-1]
     bounds = offsets + np.arange(offsets.size)
-    full = np.full(int(bounds[-1]), EDGE, np.uint8)
+    # Each text with as many edges before it as the longest context has bytes, and one behind.
+    full = np.full(int(bounds[-1]) + before * n.size, EDGE, np.uint8)
+    begin = bounds[:-1] + before * np.arange(n.size)
     keep = np.ones(full.size, bool)
-    keep[bounds[1:] - 1] = False
-    full[keep] = LOWER[data]
-    out = full.astype(np.uint64)
-    place = np.arange(full.size) - np.repeat(bounds[:-1], n + 1)
-    near = np.flatnonzero(place < ORDERS[-1])
-    for back in range(1, ORDERS[-1] + 1):
-        byte = np.full(full.size, EDGE, np.uint8)
-        byte[back:] = full[:-back]
-        byte[near[place[near] < back]] = EDGE
-        out |= byte.astype(np.uint64) << np.uint64(8 * back)
-    return out, bounds
+    keep[(begin[:, None] + np.arange(before)).ravel()] = False
+    inside = keep.copy()
+    inside[begin + before + n] = False
+    full[inside] = LOWER[data]
+    last = full.astype(np.uint32)
+    last[1:] |= last[:-1] << np.uint32(8)
+    last[2:] |= last[:-2] << np.uint32(16)
+    out = last.astype(np.uint64)
+    out[4:] |= (last[:-4] & np.uint32(0xFFFFFF)).astype(np.uint64) << np.uint64(32)
+    return out[keep], bounds
+
+
+def ordered(gram: np.ndarray) -> np.ndarray:
+    """N-grams as numbers of 56 bits that sort by the last three bytes of context and the byte,
+    then the bytes before."""
+    out = gram & np.uint64(0xFFFFFFFF)
+    out <<= np.uint64(24)
+    out |= gram >> np.uint64(32)
+    return out
+
+
+def parts_of(order: np.ndarray) -> np.ndarray:
+    """The part of each of such numbers."""
+    return ((order >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PART_BITS)
 
 
 def keyed(gram: np.ndarray) -> np.ndarray:
-    """N-grams as numbers that sort by part, then the last three bytes of context and the
-    byte, then the bytes before."""
-    last = (gram >> np.uint64(8)) & np.uint64(0xFFFFFF)
-    part = (last * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PART_BITS)
-    return (part << np.uint64(56)) | ((gram & np.uint64(0xFFFFFFFF)) << np.uint64(24)) | (gram >> np.uint64(32))
+    """N-grams as numbers that sort by part, then as ``ordered`` does."""
+    order = ordered(gram)
+    return (parts_of(order) << np.uint64(56)) | order
 
 
 def unkeyed(key: np.ndarray) -> np.ndarray:
@@ -93,28 +106,29 @@ def slots(gram: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
-def node_codes(gram: np.ndarray, count: np.ndarray, order: int) -> np.ndarray:
+def node_codes(gram: np.ndarray, count: np.ndarray, order: int, asked: np.ndarray | None = None) -> np.ndarray:
     """Packed exact counts of each of the eight decisions of each n-gram: shape (8, n).
 
-    ``gram`` must hold all n-grams with the contexts of this order that it has.
+    ``gram`` must hold all n-grams with the contexts of this order that it has; ``asked``
+    chooses those to answer for.
     """
     own = gram & np.uint64((1 << 8 * (order + 1)) - 1)
     by = np.argsort(own)
     own = own[by]
-    first = _firsts(own)
+    first = firsts(own)
     place = np.empty(own.size, np.int64)
     place[by] = np.repeat(np.arange(first.size), np.diff(np.append(first, own.size)))
     total, own = np.add.reduceat(count[by].astype(np.float64), first), own[first]
     out = np.empty((8, own.size), np.uint16)
     for i in range(8):
-        runs = _firsts(own >> np.uint64(8 - i))
+        runs = firsts(own >> np.uint64(8 - i))
         one = total * ((own >> np.uint64(7 - i)) & np.uint64(1))
         every, ones = np.add.reduceat(total, runs), np.add.reduceat(one, runs)
         out[i] = np.repeat(packed(every - ones, ones), np.diff(np.append(runs, own.size)))
-    return out[:, place]
+    return out[:, place if asked is None else place[asked]]
 
 
-def _firsts(values: np.ndarray) -> np.ndarray:
+def firsts(values: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin."""
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if values.size else np.zeros(0, np.int64)
 
@@ -125,7 +139,16 @@ def bits(gram: np.ndarray) -> np.ndarray:
 
 
 def packed(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Slots as 16 bits: level of the count above, logit below; 0 where nothing was seen."""
+    """Slots as 16 bits: level of the count above, logit below; 0 where nothing was seen.
+    Counts are whole numbers; most are small, and looked up."""
+    small = (zeros < _FEW) & (ones < _FEW)
+    out = _SMALL[np.where(small, zeros * _FEW + ones, 0).astype(np.int64)]
+    large = ~small
+    out[large] = _coded(zeros[large], ones[large])
+    return out
+
+
+def _coded(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     total = zeros + ones
     logit = np.log((ones + 0.4) / (zeros + 0.4))
     step = np.clip(np.rint(logit * (2048 / _LIMIT)) + 2048, 0, 4095).astype(np.uint16)
@@ -133,6 +156,10 @@ def packed(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.where(total > 0, (level << 12) | step, 0).astype(np.uint16)
 
 
+_FEW = 64
+_SMALL = _coded(np.repeat(np.arange(_FEW), _FEW), np.tile(np.arange(_FEW), _FEW))
+
+
 @dataclass
 class Model:
     tables: list[np.ndarray]  # packed slots of each order

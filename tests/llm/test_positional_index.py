@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tunefeed.llm import positional_index
-from tunefeed.llm.positional_index import build_index, contamination, phrase_matches, proximity_matches
+from tunefeed.llm.positional_index import build_index, contamination, drop_contaminated, phrase_matches, proximity_matches
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -109,3 +109,33 @@ def test_whole_table(spark, sf):
     got = sorted((tuple(r) for r in contamination(build_index(docs), items).collect()), key=repr)
     want = brute([tuple(r) for r in docs.select("doc_id", "text").collect()], [tuple(r) for r in items.collect()])
     assert got == want and any(r[5] for r in got)
+
+
+def test_texts_stay_where_they_are(spark, monkeypatch):
+    """Also where contaminated rows are too many for the session's threshold: only beyond SENT do texts move."""
+    item = "one two three four five six seven eight nine ten"
+    rows = [(i % 50 if i % 9 else None, f"{i} {item}" if i % 3 == 0 else f"{i} {item[4:]}") for i in range(400)] + [(7, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    monkeypatch.setattr(positional_index, "SENT", 1000, raising=False)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = drop_contaminated(docs, items)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, kept.collect()), key=repr)
+        monkeypatch.setattr(positional_index, "SENT", 10)
+        assert sorted(map(tuple, drop_contaminated(docs, items).collect()), key=repr) == got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert got == sorted((r for r in rows if item not in (r[1] or "")), key=repr)
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_blocks_are_carried_packed(spark):
+    """The JVM gets one value of a block's postings, however many terms it has."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(300))) for i in range(40)] + [(40, "")], "doc_id long, text string")
+    index = build_index(docs)
+    assert {f.name: f.dataType.simpleString() for f in index.schema} == {"keys": "array<bigint>", "sizes": "array<int>", "postings": "binary", "block": "bigint"}
+    items = spark.createDataFrame([(1, " ".join(f"w7x{j}" for j in range(50, 60)))], "item_id long, text string")
+    assert [tuple(r) for r in phrase_matches(index, items).collect()] == [(7, 1, 50, 10)]

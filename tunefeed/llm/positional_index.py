@@ -1,7 +1,8 @@
 """Benchmark decontamination on a distributed positional inverted index.
 
 ``build_index`` stores the postings of all training tokens: one row per block of documents
-with its terms and, for each term, the sorted positions at which it stands. A search sends
+with its terms and, for each term, the sorted positions at which it stands, packed into one
+value, so that the JVM carries a block through as it is and never unpacks it. A search sends
 the test windows to every block. A window whose terms all have postings in the block starts
 from its rarest term: those positions, less the term's offset in the window, are the
 candidates, and the offset-adjusted lists of the other terms, rarest first, are intersected
@@ -22,6 +23,7 @@ Repeated documents are documents of their own. Other columns are not read.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +39,8 @@ from tunefeed.session import shared_path
 WINDOW = 10
 #: Distinct windows that one pass sends to the executors, about.
 GROUP_WINDOWS = 1 << 17
+#: Numbers of contaminated rows that may be sent to all tasks.
+SENT = 1 << 20
 
 
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -47,6 +51,26 @@ def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray,
     return coded.dictionary.cast(pa.binary()), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), bounds
 
 
+def _packed(terms: pa.Array, count: np.ndarray, step: np.ndarray) -> bytes:
+    """Terms, length and steps of the list of each; bytes of numbers lowest of all first."""
+    size = pc.binary_length(terms).to_numpy(zero_copy_only=False)
+    planes = [np.asarray(x).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes() for x in (size, count, step)]
+    spelled = text_bytes(terms)[0].tobytes()
+    return struct.pack("<qqq", len(spelled), len(terms), step.size) + pa.compress(b"".join([spelled, *planes]), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: pa.Buffer) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    chars, terms, steps = struct.unpack_from("<qqq", data)
+    flat = np.frombuffer(pa.decompress(data[24:], chars + 4 * (2 * terms + steps), codec="zstd"), np.uint8)
+
+    def numbers(begin: int, n: int) -> np.ndarray:
+        return np.ascontiguousarray(flat[begin : begin + 4 * n].reshape(4, n).T).view("<i4").ravel().astype(np.int64)
+
+    ends = np.cumsum(numbers(chars, terms))
+    spelled = strings(flat[:chars], np.concatenate([[0], ends[:-1]]) if terms else ends, ends)
+    return spelled, numbers(chars + 4 * terms, terms), numbers(chars + 8 * terms, steps)
+
+
 def build_index(df: DataFrame, path: str | None = None, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Write the postings of all words of ``text`` to ``path`` (default: the shared folder)."""
     path = path or shared_path(df.sparkSession, "postings")
@@ -55,7 +79,6 @@ def build_index(df: DataFrame, path: str | None = None, *, key: str = "doc_id",
         for part in slices(batches, 1):
             terms, codes, bounds = _terms(*text_bytes(part.column(1)))
             rows = np.diff(bounds)
-            firsts = bounds[:-1] + np.arange(rows.size)
             position = np.arange(codes.size) + np.repeat(np.arange(rows.size), rows)
             by = np.argsort(codes, kind="stable")
             count = np.bincount(codes, minlength=len(terms))
@@ -70,17 +93,14 @@ def build_index(df: DataFrame, path: str | None = None, *, key: str = "doc_id",
             yield pa.RecordBatch.from_arrays(
                 [
                     one(part.column(0)),
-                    one(pa.array(firsts.astype(np.int32))),
                     one(pa.array(rows.astype(np.int32))),
-                    one(terms),
-                    one(pa.array(count.astype(np.int32))),
-                    pa.array([step.astype("<i4").tobytes()], pa.binary()),
+                    pa.array([_packed(terms, count, step)], pa.binary()),
                 ],
-                ["keys", "firsts", "sizes", "terms", "counts", "steps"],
+                ["keys", "sizes", "postings"],
             )
 
     kind = df.schema[key].dataType.simpleString()
-    schema = f"keys array<{kind}>, firsts array<int>, sizes array<int>, terms array<binary>, counts array<int>, steps binary"
+    schema = f"keys array<{kind}>, sizes array<int>, postings binary"
     out = df.select(key, text).mapInArrow(run, schema)
     # A block's number lives in the stored row, so every later read agrees on it.
     out.withColumn("block", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
@@ -91,17 +111,13 @@ class _Block:
     """Postings of one stored block: ``listed`` has term * width + position, sorted."""
 
     def __init__(self, row: pa.RecordBatch, i: int) -> None:
-        def values(name: str) -> pa.Array:
-            return row.column(name)[i].values
-
-        self.keys = values("keys")
-        self.terms = values("terms")
-        self.firsts = values("firsts").to_numpy(zero_copy_only=False).astype(np.int64)
-        self.sizes = values("sizes").to_numpy(zero_copy_only=False).astype(np.int64)
-        self.count = values("counts").to_numpy(zero_copy_only=False).astype(np.int64)
+        self.keys = row.column("keys")[i].values
+        self.sizes = row.column("sizes")[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
+        # Between two documents a place stays free.
+        self.firsts = np.cumsum(self.sizes + 1) - self.sizes - 1
+        self.terms, self.count, step = _unpacked(row.column("postings")[i].as_buffer())
         self.begin = np.cumsum(self.count) - self.count
         self.width = int(self.sizes.sum() + self.sizes.size + 1)
-        step = np.frombuffer(row.column("steps")[i].as_py(), "<i4").astype(np.int64)
         run = np.cumsum(step)
         before = np.where(self.begin > 0, run[self.begin - 1], 0) if run.size else self.begin
         self.position = run - np.repeat(before, self.count)
@@ -231,7 +247,7 @@ def _search(index: DataFrame, classes: DataFrame, size: int, schema: str, column
     return out
 
 
-COLUMNS = ["block", "keys", "firsts", "sizes", "terms", "counts", "steps"]
+COLUMNS = ["block", "keys", "sizes", "postings"]
 
 
 def _matches(index: DataFrame, items: DataFrame, item: str, text: str, size: int, find) -> DataFrame:
@@ -315,7 +331,8 @@ def contamination(index: DataFrame, items: DataFrame, *, key: str = "doc_id", it
     classes = _classes(items, item, text)
     schema = "block long, place int, ranges array<struct<a:int,b:int>>, classes array<long>"
     path, spark = shared_path(index.sparkSession, "hits"), index.sparkSession
-    _search(index, classes, size, schema, COLUMNS, of_block).write.parquet(path)
+    # Few rows, dealt to few tasks: a file of each task that searched would be nearly empty.
+    _search(index, classes, size, schema, COLUMNS, of_block).repartition("block").write.parquet(path)
     hits = spark.read.parquet(path)
     # A document has one row per group of windows at most.
     named = hits.select("block", "place", F.explode("classes").alias("class")).distinct().join(classes.select("class", "items"), "class")
@@ -349,7 +366,10 @@ def drop_contaminated(df: DataFrame, items: DataFrame, *, item: str = "item_id",
     found = contamination(build_index(rows, key="__row", text=text), items, key="__row", item=item, size=size)
     hit = shared_path(spark, "contaminated")
     found.filter("contaminated").select("__row").write.parquet(hit)
-    return rows.join(spark.read.parquet(hit), "__row", "left_anti").select(df.columns)
+    gone = spark.read.parquet(hit)
+    # While they are few, the texts stay where they are.
+    few = gone.count() <= SENT
+    return rows.join(F.broadcast(gone) if few else gone, "__row", "left_anti").select(df.columns)
 
 
 def _covered(ranges: Column) -> Column:
